@@ -28,7 +28,7 @@ hits as (
          string_agg(a.additive, '; ' order by a.pos) as additives,
          max(case when lower(a.description) like '%sweetener%' then 1 else 0 end) as has_sweetener,
          max(case when lower(a.description) like '%colour%' then 1 else 0 end) as has_colour,
-         string_agg(concat(upper(substr(a.additive, 1, 1)), substr(a.additive, 2), ': ', a.description), '; ' order by a.pos)
+         string_agg(concat(array_to_string(list_transform(string_split(a.additive, ' '), lambda w: concat(upper(substr(w, 1, 1)), substr(w, 2))), ' '), ': ', a.description), '; ' order by a.pos)
            filter (where a.pos is not null) as additive_details
   from {source} c left join additive_dict a
     on contains(lower(coalesce(c.ingredients_text, '')), a.additive)
