@@ -88,3 +88,22 @@ def normalise_sql(item: str, synonyms=None, prefixes=None) -> str:
     cases = " ".join(f"when {clean} = {_q(k)} then {_q(v)}" for k, v in synonyms.items())
     mapped = f"(case {cases} else {clean} end)"
     return f"(case when {skip} then '' when length({mapped}) > 1 then {mapped} else '' end)"
+
+
+DASH_CTE = """dash as (
+  select code, product_name, brand, category_searched, nova_group, ingredients_text, countries_sold,
+         coalesce(sugar_100g, 0.0) as sugar_100g, coalesce(salt_100g, 0.0) as salt_100g, coalesce(fat_100g, 0.0) as fat_100g,
+         (category_searched = 'Soup' and
+          coalesce(regexp_matches(lower(product_name), 'stock|pot|cube|bouillon|powder|instant|dry|mix'), false))
+           as is_soup_concentrate
+  from catalogue
+  where (countries_sold ilike '%Ireland%' or countries_sold ilike '%en:ie%') and ingredients_text <> ''
+    and not coalesce(regexp_matches(lower(ingredients_text), 'zucker|wasser|spiesesalz|weizenmehl'), false))"""
+
+
+def with_dash(body: str, scored: bool = False) -> str:
+    """Catalogue -> dashboard load (P1/P2/P14/P5/P6) -> optional scoring."""
+    ctes = CATALOGUE_CTE + ",\n" + DASH_CTE
+    if scored:
+        ctes += "," + scored_ctes("dash")
+    return f"with {ctes}\n{body}"

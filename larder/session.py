@@ -20,6 +20,7 @@ def get_spark(app: str = "larder", master: str | None = None,
         builder = builder.master(master)
     builder = (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
