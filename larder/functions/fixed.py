@@ -13,6 +13,8 @@ from __future__ import annotations
 # (?U) makes \s Unicode-aware like Python's re; possessive quantifiers keep the
 # look-ahead linear per comma.
 INGREDIENT_SPLIT_PATTERN = r"(?U),\s*+(?![^()]*+\))"
+# Equivalent split for texts without any ')': the look-ahead can never fail.
+PLAIN_SPLIT_PATTERN = r"(?U),\s*+"
 
 # Unicode-aware trim (Python str.strip semantics).
 UNICODE_TRIM_PATTERN = r"(?U)^\s+|\s+$"

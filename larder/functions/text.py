@@ -28,7 +28,12 @@ def tokenize(text) -> Column:
 
     NULL and '' give an empty array.
     """
-    parts = F.split(F.coalesce(_col(text), F.lit("")), fixed.INGREDIENT_SPLIT_PATTERN)
+    t = F.coalesce(_col(text), F.lit(""))
+    # Without a ')' the look-ahead always succeeds, so the plain split is the
+    # same split in linear time (the look-ahead rescans to the next paren,
+    # which is the end of the text when there is none).
+    parts = F.when(t.contains(")"), F.split(t, fixed.INGREDIENT_SPLIT_PATTERN)).otherwise(
+        F.split(t, fixed.PLAIN_SPLIT_PATTERN))
     return F.filter(F.transform(parts, unicode_trim), lambda x: x != "")
 
 

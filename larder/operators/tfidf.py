@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from larder.operators.aggregates import attach_one_row
 
-WORD_PATTERN = r"(?U)\b\w\w+\b"
+# Maximal runs of 2+ word characters (letters, numbers, underscore) — the
+# tokens of ``\b\w\w+\b`` with Python's notion of a word character.
+WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
 def word_tokens(text) -> Column:
@@ -106,8 +108,11 @@ def cosine_topk(weights: DataFrame, key: str, k: int) -> DataFrame:
     listed."""
     a = weights.select(F.col(key).alias("a"), "term", F.col("weight").alias("wa"))
     b = weights.select(F.col(key).alias("b"), "term", F.col("weight").alias("wb"))
-    pairs = (a.join(b, "term").where(F.col("a") != F.col("b"))
-             .groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")))
+    # Similarity is symmetric: build each pair once (a < b), then emit both
+    # directions — half the join output and half the aggregation.
+    half = (a.join(b, "term").where(F.col("a") < F.col("b"))
+            .groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")))
+    pairs = half.unionByName(half.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
     # Rank on the similarity rounded to 9 places so float summation order
     # cannot reorder exact ties (duplicate documents).
     w = Window.partitionBy("a").orderBy(F.desc(F.round("sim", 9)), F.asc("b"))
