@@ -51,12 +51,13 @@ def scope_shortlists(cands: DataFrame, scope: str, exclude_key: str, order: list
 def healthier_alternatives(scored: DataFrame, top_n: int = 3, same_category_only: bool = True,
                            key: str = "code", name_col: str = "product_name",
                            category_col: str = "category_searched", score_col: str = "processing_score",
-                           broadcast_max_rows: int = 50_000) -> DataFrame:
+                           broadcast_max_rows: int = 50_000, targets: DataFrame | None = None) -> DataFrame:
     """J1 + J2 + W1 (+ J3 when ``same_category_only`` is False) for every
     product: rows (code, rank, alt_*) with the best ``top_n`` candidates of
     strictly lower score, or of equal-or-lower score when none is strictly
     lower; candidates with the product's own (non-NULL) name are excluded, a
-    NULL name excludes nothing; ties by candidate code."""
+    NULL name excludes nothing; ties by candidate code.  ``targets`` (a
+    DataFrame of keys) restricts the products answered for."""
     cat = F.col(category_col)
     if same_category_only:
         scope = F.when(cat.isNull() | (cat == ""), F.lit(GLOBAL_SCOPE)).otherwise(cat)
@@ -89,6 +90,8 @@ def healthier_alternatives(scored: DataFrame, top_n: int = 3, same_category_only
     shortlist = short_rows.groupBy("scope").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("shortlist"))
     shortlist = size_checked_broadcast(shortlist, broadcast_max_rows)
     prod = base.select("k", "name", "score", "scope")
+    if targets is not None:
+        prod = prod.join(targets.select(F.col(key).alias("k")).distinct(), "k", "left_semi")
     joined = prod.join(shortlist, "scope", "left")
     eligible = F.filter(F.coalesce(F.col("shortlist"), F.array()),
                         lambda c: (c["score"] <= F.col("score"))
