@@ -127,5 +127,5 @@ def centroid_top_terms(weights: DataFrame, labels: DataFrame, key: str, label: s
     sizes = labels.groupBy(label).agg(F.count(F.lit(1)).alias("size"))
     sums = weights.join(labels, key).groupBy(label, "term").agg(F.sum("weight").alias("s"))
     mean = sums.join(sizes, label).select(label, "term", (F.col("s") / F.col("size")).alias("weight"))
-    w = Window.partitionBy(label).orderBy(F.desc("weight"), F.asc("term"))
+    w = Window.partitionBy(label).orderBy(F.desc(F.round("weight", 12)), F.asc("term"))
     return mean.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n_terms)
