@@ -105,9 +105,11 @@ def q_gmm_selection(spark, sf_dir):
 
 @register("gmm_probabilities")
 def q_gmm_probabilities(spark, sf_dir):
-    """Component probabilities per point (each row sums to 1)."""
+    """Component probabilities per point (each row sums to 1).  Two
+    full-covariance components: with 64 dimensions, more components leave
+    too few points per covariance matrix at the small scale factors."""
     feats = _emb_features(spark, sf_dir)
-    m = M.GaussianMixture(k=4, seed=42, featuresCol="features").fit(feats)
+    m = M.GaussianMixture(k=2, seed=42, featuresCol="features").fit(feats)
     return m.transform(feats).select("vec_id", "prediction", vector_to_array("probability").alias("probability"))
 
 
