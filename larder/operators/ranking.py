@@ -173,3 +173,41 @@ def evaluate(products: DataFrame, recommender: Callable[[DataFrame], DataFrame],
     per = metrics_per_scenario(recs, rel, sc, item_cat, k_values)
     return {"scenarios": sc, "relevance": rel, "recs": recs, "metrics": per,
             "summary": summarise(per), "coverage": coverage(recs, products)}
+
+
+def tfidf_grid_search(products: DataFrame, scenarios: DataFrame, rel: DataFrame, param_grid: Sequence[dict],
+                      n_eval: int = 20, k: int = 10, top_n: int = 20, key: str = "code",
+                      name_col: str = "product_name", text_col: str = "ingredients_text",
+                      category_col: str = "category_searched") -> DataFrame:
+    """V7/T5: for every TF-IDF configuration, recommend the ``top_n`` most
+    similar products (cosine) to each of the first ``n_eval`` scenarios and
+    score mean NDCG@k (also precision, recall, diversity).  Tokens are
+    computed by Spark per configuration from the same cached text; each
+    configuration is one Spark job; the result is one row per configuration,
+    the best picked with ``max_by``."""
+    from larder.operators.tfidf import cosine_topk, tfidf
+    text = F.lower(F.coalesce(F.nullif(F.col(text_col), F.lit("")), F.lit("unknown")))
+    docs = products.select(key, text.alias("text")).cache()
+    sc = scenarios.where(F.col("scenario_id") <= n_eval)
+    names = products.select(F.col(key).alias("similar_key"), F.col(name_col).alias("item"))
+    item_cat = (products.where(F.col(name_col).isNotNull())
+                .groupBy(name_col).agg(F.min_by(category_col, F.col(key)).alias("category"))
+                .withColumnRenamed(name_col, "item"))
+    out = None
+    for i, params in enumerate(param_grid):
+        w, _ = tfidf(docs, key, "text", **params)
+        sims = cosine_topk(w, key, top_n).withColumnRenamed(f"similar_{key}", "similar_key")
+        recs = sc.select("scenario_id", key).join(sims, key).join(names, "similar_key") \
+            .select("scenario_id", "rank", "item")
+        per = metrics_per_scenario(recs, rel, sc, item_cat, [k])
+        row = per.agg(F.avg("ndcg").alias("score"), F.avg("precision").alias("precision"),
+                      F.avg("recall").alias("recall"), F.avg("diversity").alias("diversity")) \
+            .withColumn("config", F.lit(i)).withColumn("params", F.lit(repr(sorted(params.items()))))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def best_configuration(results: DataFrame) -> DataFrame:
+    """T5: the configuration with the highest score (ties: lowest index)."""
+    return results.agg(F.max_by(F.struct("config", "params", "score"),
+                                F.struct(F.col("score"), -F.col("config"))).alias("best")).select("best.*")

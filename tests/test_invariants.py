@@ -84,3 +84,57 @@ def test_gmm_probabilities_sum_to_one(spark):
     from tests.conftest import SF_SMALL
     rows = e.queries()["gmm_probabilities"](spark, SF_SMALL).collect()
     assert rows and all(abs(sum(r["probability"]) - 1.0) < 1e-9 for r in rows)
+
+
+def test_tfidf_grid_search_small(spark):
+    from larder.operators import ranking as R
+    from larder.sources.tables import catalogue
+    from tests.conftest import SF_SMALL
+    prod = catalogue(spark, SF_SMALL)
+    sc = R.create_scenarios(prod, 20)
+    rel = R.relevance(prod, sc)
+    grid = [{"max_df": 50, "min_df": 1, "max_features": 50, "ngram_range": (1, 1)},
+            {"max_df": 50, "min_df": 2, "max_features": 100, "ngram_range": (1, 2)}]
+    res = R.tfidf_grid_search(prod, sc, rel, grid, n_eval=5)
+    rows = res.collect()
+    assert len(rows) == 2 and all(0.0 <= r["score"] <= 1.0 for r in rows)
+    assert R.best_configuration(res).first()["config"] in (0, 1)
+
+
+def test_dbscan_matches_brute_force(spark):
+    import numpy as np
+    from larder.operators.dbscan import dbscan
+    from larder.operators.tfidf import tfidf
+    from larder.sources.tables import read_table
+    from tests.conftest import SF_SMALL
+    docs = read_table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    w, _ = tfidf(docs, "doc_id", "text", max_df=50)
+    got = {r["doc_id"]: (r["cluster"], r["is_core"]) for r in dbscan(docs.select("doc_id"), w, "doc_id", 0.6, 2).collect()}
+    keys = sorted(r[0] for r in docs.select("doc_id").collect())
+    terms = sorted({r["term"] for r in w.select("term").collect()})
+    tix = {t: i for i, t in enumerate(terms)}
+    kix = {k: i for i, k in enumerate(keys)}
+    X = np.zeros((len(keys), len(terms)))
+    for r in w.collect():
+        X[kix[r["doc_id"]], tix[r["term"]]] = r["weight"]
+    D = np.sqrt(np.maximum(0, ((X[:, None, :] - X[None, :, :]) ** 2).sum(-1)))
+    nb = D <= 0.6
+    core = nb.sum(1) >= 2
+    # components over core-core edges, named by smallest key
+    lab = {}
+    for i in range(len(keys)):
+        if core[i] and i not in lab:
+            stack, comp = [i], {i}
+            while stack:
+                j = stack.pop()
+                for m in np.nonzero(nb[j] & core)[0]:
+                    if m not in comp:
+                        comp.add(m)
+                        stack.append(m)
+            name = min(keys[c] for c in comp)
+            lab.update({c: name for c in comp})
+    for i, k in enumerate(keys):
+        if not core[i]:
+            cs = [lab[m] for m in np.nonzero(nb[i] & core)[0]]
+            lab[i] = min(cs) if cs else None
+        assert got[k] == (lab[i], bool(core[i])), k
