@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -164,9 +165,12 @@ def evaluate(products: DataFrame, recommender: Callable[[DataFrame], DataFrame],
     """M8/M9: run a pluggable recommender ``scenarios -> recs(scenario_id,
     rank, item)`` and return the scenario, relevance, per-scenario metric,
     summary and coverage tables."""
-    sc = create_scenarios(products, n_scenarios, seed, key, name_col, category_col, nova_col)
-    rel = relevance(products, sc, key, name_col, category_col, nova_col)
-    recs = recommender(sc)
+    # Scenario, relevance and recommendation tables are small (bounded by
+    # n_scenarios) and each feeds several metrics: materialise them once.
+    sc = create_scenarios(products, n_scenarios, seed, key, name_col, category_col, nova_col) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    rel = relevance(products, sc, key, name_col, category_col, nova_col).persist(StorageLevel.MEMORY_AND_DISK)
+    recs = recommender(sc).persist(StorageLevel.MEMORY_AND_DISK)
     item_cat = (products.where(F.col(name_col).isNotNull())
                 .groupBy(name_col).agg(F.min_by(category_col, F.col(key)).alias("category"))
                 .withColumnRenamed(name_col, "item"))

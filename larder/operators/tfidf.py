@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,7 +85,9 @@ def tfidf(docs: DataFrame, key: str, text: str, max_df: float | int = 1.0, min_d
     The vocabulary is broadcast into the term join only when its size is
     bounded (``max_features`` <= ``vocab_broadcast_rows``); otherwise the
     join is a shuffle join on term, where AQE splits the hot terms."""
-    tf = term_counts(docs, key, text, ngram_range, stop_words)
+    # The term counts feed both the vocabulary fit and the weights: keep one
+    # materialised copy instead of tokenising the corpus twice.
+    tf = term_counts(docs, key, text, ngram_range, stop_words).persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = docs.agg(F.count(F.lit(1)).cast("long").alias("n"))
     vocab = fit_vocabulary(tf, n_docs, key, max_df, min_df, max_features)
     v = vocab.select("term", "idf")
@@ -96,6 +99,25 @@ def tfidf(docs: DataFrame, key: str, text: str, max_df: float | int = 1.0, min_d
     return weights, vocab
 
 
+def half_pair_sums(weights: DataFrame, key: str) -> DataFrame:
+    """(a, b, sim) for a < b sharing at least one term.  Both join sides read
+    one persisted copy of the weights; the per-term pair rows are summed
+    with a partial aggregate right after the join."""
+    w = weights.select(F.col(key).alias("k"), "term", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+    x, y = w.alias("x"), w.alias("y")
+    return (x.join(y, F.col("x.term") == F.col("y.term"))
+            .where(F.col("x.k") < F.col("y.k"))
+            .groupBy(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
+            .agg(F.sum(F.col("x.weight") * F.col("y.weight")).alias("sim")))
+
+
+def mirror_pairs(half: DataFrame, value: str) -> DataFrame:
+    """Both directions of each (a < b) pair from one pass (no self-union)."""
+    both = F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")),
+                             F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    return half.select(both.alias("p"), value).select("p.a", "p.b", value)
+
+
 def cosine_topk(weights: DataFrame, key: str, k: int) -> DataFrame:
     """J8 + W3: for every document, its ``k`` most similar other documents
     (similarity desc, then key) by the dot product of L2-normalised rows.
@@ -106,13 +128,8 @@ def cosine_topk(weights: DataFrame, key: str, k: int) -> DataFrame:
     ``max_df`` the pair rows are at most max_df times the postings — linear
     in the data.  Documents sharing no term have similarity 0 and are not
     listed."""
-    a = weights.select(F.col(key).alias("a"), "term", F.col("weight").alias("wa"))
-    b = weights.select(F.col(key).alias("b"), "term", F.col("weight").alias("wb"))
-    # Similarity is symmetric: build each pair once (a < b), then emit both
-    # directions — half the join output and half the aggregation.
-    half = (a.join(b, "term").where(F.col("a") < F.col("b"))
-            .groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")))
-    pairs = half.unionByName(half.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
+    half = half_pair_sums(weights, key)
+    pairs = mirror_pairs(half, "sim")
     # Rank on the similarity rounded to 9 places so float summation order
     # cannot reorder exact ties (duplicate documents).
     w = Window.partitionBy("a").orderBy(F.desc(F.round("sim", 9)), F.asc("b"))

@@ -55,9 +55,24 @@ from {part}
 CATALOGUE_CTE = ("catalogue as (" + CATALOGUE_SQL.replace("{part}", "part") + ")")
 
 
+# Tables whose rows carry long free text: per-row work (regex tokenising,
+# splitting) dominates, so their scans must use every core.
+TEXT_TABLES = frozenset({"documents", "pages", "conversations", "benchmark"})
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; callers project columns so Catalyst prunes the read."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan; callers project columns so Catalyst prunes the read.
+
+    A text table whose scan yields fewer splits than the session's default
+    parallelism (a small file with one row group) is spread round-robin
+    before the per-row work; a large table already has enough splits and is
+    returned untouched."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+    return df
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
