@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larder.plans.registry import register
+from larder.plans.sqlkit import with_catalogue
 from larder.sources import ingest as I
 from larder.sources.tables import read_table
 
@@ -45,3 +46,25 @@ def q_events_upsert(spark, sf_dir):
     existing = I.latest_per_key(ev.where(F.col("ts") < cut), "user_id", ["ts", "event_id"])
     incoming = ev.where(F.col("ts") >= cut)
     return I.upsert(existing, incoming, "user_id", ["ts", "event_id"])
+
+
+@register("landed_pages_ingest", with_catalogue("""
+select cast(code as varchar) as code, coalesce(nullif(product_name, ''), 'Unknown') as product_name,
+       coalesce(nullif(brand, ''), 'Unknown') as brand, nova_group,
+       coalesce(sugar_100g, 0.0) as sugar_100g, coalesce(salt_100g, 0.0) as salt_100g,
+       coalesce(fat_100g, 0.0) as fat_100g, coalesce(nullif(countries_sold, ''), 'Unknown') as countries_sold,
+       category_searched
+from catalogue where coalesce(ingredients_text, '') <> ''"""))
+def q_landed_pages_ingest(spark, sf_dir):
+    """S10 + S2 + P4 + P15 + S4: land the catalogue as nested JSON pages under
+    the shared checkpoint folder, then ingest them with the explicit schema
+    (cleaned, de-duplicated by code)."""
+    import uuid
+
+    from larder.session import ensure_checkpoint_dir
+    from larder.sources.tables import catalogue
+    landing = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    I.land_pages(catalogue(spark, sf_dir), landing)
+    clean = I.ingest_pages(spark, landing)
+    return clean.select("code", "product_name", "brand", "nova_group", "sugar_100g", "salt_100g", "fat_100g",
+                        "countries_sold", "category_searched")

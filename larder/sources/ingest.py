@@ -42,7 +42,7 @@ def _blank_to(col, default: str):
     return F.when(c.isNull() | (c == ""), F.lit(default)).otherwise(c)
 
 
-def clean_raw_products(raw: DataFrame, category_col: str = "category") -> DataFrame:
+def clean_raw_products(raw: DataFrame, category_col: str = "category", keep: Iterable[str] = ()) -> DataFrame:
     """S2 + P4 + P15: flatten the nested document into the clean schema.
 
     Rows without a code or without ingredients are skipped; falsy nutrients
@@ -66,6 +66,7 @@ def clean_raw_products(raw: DataFrame, category_col: str = "category") -> DataFr
         _blank_to("origins", "Unknown").alias("origin_of_ingredients"),
         F.coalesce(F.col("link"), F.lit("")).alias("producer_link"),
         F.col(category_col).cast("string").alias("category_searched"),
+        *[F.col(c) for c in keep],
     )
 
 
@@ -77,6 +78,17 @@ def read_landed_pages(spark: SparkSession, landing: str) -> DataFrame:
     return spark.read.schema(schema).json(landing)
 
 
+def ingest_pages(spark: SparkSession, landing: str, existing: DataFrame | None = None) -> DataFrame:
+    """S10 -> S2/P4/P15 -> S4: clean every landed page and upsert by code; a
+    code landed more than once keeps its row from the highest page (then
+    category) — the last write of the harvest loop."""
+    clean = clean_raw_products(read_landed_pages(spark, landing), keep=["page"])
+    fresh = latest_per_key(clean, "code", ["page", "category_searched"]).drop("page")
+    if existing is None:
+        return fresh
+    return existing.join(fresh.select("code"), "code", "left_anti").unionByName(fresh.select(*existing.columns))
+
+
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:
     """S3: CSV export read back with the explicit schema; an absent file
     gives an empty frame rather than an error."""
@@ -162,3 +174,21 @@ def dedupe_window(df: DataFrame, key: str, order_cols: Iterable[str]) -> DataFra
     """W5 alternative with ``row_number`` (keeps all columns, NULL-safe keys)."""
     w = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order_cols])
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def land_pages(products: DataFrame, landing: str, page_size: int = 50) -> None:
+    """Write products as raw nested JSON documents into
+    ``landing/category=<c>/page=<n>/`` (the shape the harvest receives), so
+    ingest can be exercised from tables.  Page numbers follow key order
+    within a category: ``floor(rank / page_size) + 1``."""
+    w = Window.partitionBy("category_searched").orderBy("code")
+    raw = products.select(
+        F.col("code").cast("string").alias("code"), "product_name", F.col("brand").alias("brands"),
+        "nova_group", "ingredients_text",
+        F.struct(F.col("sugar_100g").cast("string").alias("sugars_100g"),
+                 F.col("salt_100g").cast("string").alias("salt_100g"),
+                 F.col("fat_100g").cast("string").alias("fat_100g")).alias("nutriments"),
+        F.col("countries_sold").alias("countries"),
+        F.col("category_searched").alias("category"),
+        (F.floor((F.row_number().over(w) - 1) / page_size) + 1).cast("int").alias("page"))
+    raw.write.mode("overwrite").partitionBy("category", "page").json(landing)

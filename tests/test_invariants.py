@@ -138,3 +138,34 @@ def test_dbscan_matches_brute_force(spark):
             cs = [lab[m] for m in np.nonzero(nb[i] & core)[0]]
             lab[i] = min(cs) if cs else None
         assert got[k] == (lab[i], bool(core[i])), k
+
+
+def test_land_and_ingest_pages_dedupes(spark, tmp_path):
+    rows = [(1, "A", "B", "4", "Water, salt", 1.0, 0.5, 2.0, "en:ie", "Soup"),
+            (2, "C", "B", "1", "Oats", None, 0.1, 1.0, "en:ie", "Soup")]
+    schema = ("code long, product_name string, brand string, nova_group string, ingredients_text string, "
+              "sugar_100g double, salt_100g double, fat_100g double, countries_sold string, category_searched string")
+    df = spark.createDataFrame(rows, schema)
+    landing = str(tmp_path / "landing")
+    I.land_pages(df, landing, page_size=1)
+    out = {r["code"]: r for r in I.ingest_pages(spark, landing).collect()}
+    assert set(out) == {"1", "2"} and out["2"]["sugar_100g"] == 0.0
+
+
+def test_sinks_roundtrip(spark, tmp_path):
+    from larder.operators.models import load_pipeline, save_model
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import Tokenizer
+    df = spark.createDataFrame([("1", "Soup"), ("2", "Jam")], "code string, category_searched string")
+    I.write_csv(df, str(tmp_path / "csv"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
+    I.write_report(I.update_log(df), str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).where("is_total = 1").first()["n"] == 2
+    I.write_catalogue(df, str(tmp_path / "cat"))
+    I.write_catalogue(df.where("category_searched = 'Soup'").selectExpr("'3' as code", "category_searched"),
+                      str(tmp_path / "cat"))
+    got = sorted(r["code"] for r in spark.read.parquet(str(tmp_path / "cat")).collect())
+    assert got == ["2", "3"]  # dynamic overwrite replaced only the Soup partition
+    model = Pipeline(stages=[Tokenizer(inputCol="code", outputCol="t")]).fit(df)
+    save_model(model, str(tmp_path / "model"))
+    assert load_pipeline(str(tmp_path / "model")).transform(df).count() == 2
