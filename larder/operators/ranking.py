@@ -143,14 +143,30 @@ def coverage(recs: DataFrame, products: DataFrame) -> DataFrame:
         (F.col("n_items") / F.col("total")).alias("catalog_coverage"))
 
 
-def similarity_diversity(recs: DataFrame, pair_sims: DataFrame, threshold: float = fixed.DISSIMILAR_THRESHOLD) -> DataFrame:
-    """M6: share of item pairs (i < j in list order) with similarity below the
-    threshold; pairs without a similarity row count as 0; no pairs -> 0.0."""
-    a = recs.select("scenario_id", F.col("rank").alias("ra"), F.col("item").alias("ia"))
-    b = recs.select("scenario_id", F.col("rank").alias("rb"), F.col("item").alias("ib"))
+def pair_similarity(weights: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
+    """Cosine of the listed (ka, kb) pairs only, from L2-normalised sparse
+    rows: each pair joins the terms of its first item, then the matching
+    terms of its second.  Cost is bounded by pairs x terms per item; pairs
+    sharing no term are absent (similarity 0)."""
+    a = weights.select(F.col(key).alias("ka"), "term", F.col("weight").alias("wa"))
+    b = weights.select(F.col(key).alias("kb"), "term", F.col("weight").alias("wb"))
+    p = pairs.select("ka", "kb").distinct()
+    return (p.join(a, "ka").join(b, ["kb", "term"])
+            .groupBy("ka", "kb").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")))
+
+
+def similarity_diversity(recs: DataFrame, item_key: DataFrame, weights: DataFrame, key: str,
+                         threshold: float = fixed.DISSIMILAR_THRESHOLD) -> DataFrame:
+    """M6 per scenario: share of item pairs (earlier, later position) whose
+    similarity is below ``threshold``; items are looked up by name
+    (``item_key(item, key)``), pairs with an unknown item are skipped,
+    pairs without shared terms have similarity 0; no pairs -> 0.0."""
+    r = recs.join(item_key, "item")
+    a = r.select("scenario_id", F.col("rank").alias("ra"), F.col(key).alias("ka"))
+    b = r.select("scenario_id", F.col("rank").alias("rb"), F.col(key).alias("kb"))
     pairs = a.join(b, "scenario_id").where(F.col("ra") < F.col("rb"))
-    s = pair_sims.select(F.col("item_a").alias("ia"), F.col("item_b").alias("ib"), "sim")
-    j = pairs.join(s, ["ia", "ib"], "left")
+    sims = pair_similarity(weights, pairs, key)
+    j = pairs.join(sims, ["ka", "kb"], "left")
     per = j.groupBy("scenario_id").agg(
         F.sum(F.when(F.coalesce(F.col("sim"), F.lit(0.0)) < threshold, 1).otherwise(0)).alias("d"),
         F.count(F.lit(1)).alias("t"))

@@ -50,7 +50,9 @@ cand as (select sc.scenario_id, c.code as alt_code, c.product_name as item, c.pr
 flag as (select *, max(case when strict then 1 else 0 end) over (partition by scenario_id) as has_strict from cand),
 recs0 as (select scenario_id, item, row_number() over (partition by scenario_id order by alt_score, alt_code) as rank
           from flag where strict or has_strict = 0),
-recs as (select * from recs0 where rank <= 20),
+recs as (select * from recs0 where rank <= 20)"""
+
+_METRICS_SQL = """,
 ks as (select scenario_id, unnest([5, 10, 20]) as k from sc),
 itemcat as (select product_name as item, arg_min(category_searched, code) as category
             from catalogue where product_name is not null group by 1),
@@ -79,7 +81,7 @@ m as (select ks.scenario_id, ks.k,
 
 
 def _sql(body: str) -> str:
-    return with_catalogue(_EVAL_SQL + "\n" + body, scored=True)
+    return with_catalogue(_EVAL_SQL + _METRICS_SQL + "\n" + body, scored=True)
 
 
 def _evaluation(spark, sf_dir):
@@ -127,3 +129,31 @@ def q_ranking_summary(spark, sf_dir):
     "select count(distinct item) / (select count(*) from catalogue) as catalog_coverage from recs"))
 def q_catalog_coverage(spark, sf_dir):
     return _evaluation(spark, sf_dir)["coverage"]
+
+
+# --- M6: similarity-based diversity of the recommendation lists ------------------------
+from larder.operators.tfidf import tfidf  # noqa: E402
+from larder.plans.text_queries import _CAT_TEXT, _tfidf_sql  # noqa: E402
+
+
+@register("similarity_diversity", with_catalogue(
+    ", cat_docs as (select code, " + _CAT_TEXT + " as text from catalogue),"
+    + _tfidf_sql("cat_docs", "code", "text", 0.8, 2, 100, bigrams=True) + _EVAL_SQL + """,
+fnm as (select product_name as item, min(code) as code from catalogue where product_name is not null group by 1),
+rk as (select r.scenario_id, r.rank, f.code from recs r join fnm f on f.item = r.item),
+pr as (select a.scenario_id, a.code as ka, b.code as kb from rk a join rk b
+       on a.scenario_id = b.scenario_id and a.rank < b.rank),
+sims as (select p.ka, p.kb, sum(wa.weight * wb.weight) as sim
+         from (select distinct ka, kb from pr) p join w wa on wa.key = p.ka join w wb on wb.key = p.kb and wb.term = wa.term
+         group by all)
+select pr.scenario_id, sum(case when coalesce(s.sim, 0) < 0.7 then 1 else 0 end) * 1.0 / count(*) as similarity_diversity
+from pr left join sims s on s.ka = pr.ka and s.kb = pr.kb group by pr.scenario_id""", scored=True))
+def q_similarity_diversity(spark, sf_dir):
+    res = _evaluation(spark, sf_dir)
+    products = catalogue(spark, sf_dir)
+    t = F.lower(F.coalesce(F.nullif(F.col("ingredients_text"), F.lit("")), F.lit("unknown")))
+    w, _ = tfidf(products.select("code", t.alias("text")), "code", "text", max_df=0.8, min_df=2,
+                 max_features=100, ngram_range=(1, 2))
+    item_key = (products.where(F.col("product_name").isNotNull()).groupBy("product_name")
+                .agg(F.min("code").alias("code")).withColumnRenamed("product_name", "item"))
+    return R.similarity_diversity(res["recs"], item_key, w, "code")

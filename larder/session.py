@@ -29,6 +29,10 @@ def get_spark(app: str = "larder", master: str | None = None,
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the only executor, and its heap
+        # defaults to 1 GB.  On a cluster, spark-submit sizes the executors.
+        builder = builder.config("spark.driver.memory", os.environ.get("LARDER_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
