@@ -12,13 +12,16 @@ from larder.functions import scoring as S
 from larder.functions import text as X
 
 
-def irish_catalogue(df: DataFrame) -> DataFrame:
-    """P1 + P2: sold in Ireland (ILIKE) and non-empty ingredients.
+def irish_catalogue(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """P1 + P2 (+ T2): sold in Ireland (ILIKE) and non-empty ingredients.
 
     Both predicates are plain Column filters, so they are evaluated in the scan
     stage; the ``!= ''`` part also drops NULL text, as the remote filter did.
+    The optional row cap is off by default and, when given, ordered by code
+    (a deterministic top-n rather than an arbitrary sample).
     """
-    return df.where(X.sold_in_ireland_like(F.col("countries_sold")) & (F.col("ingredients_text") != ""))
+    out = df.where(X.sold_in_ireland_like(F.col("countries_sold")) & (F.col("ingredients_text") != ""))
+    return out.orderBy("code").limit(limit) if limit else out
 
 
 def coerce_nutrients(df: DataFrame, cols: Iterable[str] = ("sugar_100g", "salt_100g", "fat_100g")) -> DataFrame:

@@ -305,3 +305,31 @@ select case when grouping(category_searched) = 1 then 'total' else 'category' en
 from catalogue group by rollup(category_searched)"""))
 def q_volume_gates(spark, sf_dir):
     return Q.volume_gates(catalogue(spark, sf_dir), "category_searched")
+
+
+@register("refresh_dry_run", with_catalogue("""
+select category_searched, count(*) as n_incoming,
+       category_searched in ('Biscuits', 'Bread', 'Yogurt', 'Cereal', 'Crisps', 'Sausages', 'Jam', 'Soup',
+                             'Pizza', 'Cheese', 'Soft Drinks', 'Frozen Meals') as valid
+from catalogue group by category_searched"""))
+def q_refresh_dry_run(spark, sf_dir):
+    from larder.sources.ingest import refresh_dry_run
+    return refresh_dry_run(catalogue(spark, sf_dir))
+
+
+@register("events_overview_approx")
+def q_events_overview_approx(spark, sf_dir):
+    """A10 approximate variant: HyperLogLog++ distinct counts (bounded state
+    per task, mergeable partials) — rows-only, the values are estimates."""
+    ev = read_table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    return ev.agg(F.count(F.lit(1)).alias("n_rows"), F.approx_count_distinct("user_id").alias("n_distinct_keys"),
+                  F.approx_count_distinct("event_type").alias("n_categories"),
+                  F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
+
+
+@register("quantity_box_stats_approx")
+def q_quantity_box_stats_approx(spark, sf_dir):
+    """A14 approximate variant for very large groups: ``percentile_approx``
+    keeps bounded memory per group (rows-only)."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
+    return A.box_stats(li, "l_returnflag", "l_quantity", exact=False)

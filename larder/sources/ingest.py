@@ -192,3 +192,14 @@ def land_pages(products: DataFrame, landing: str, page_size: int = 50) -> None:
         F.col("category_searched").alias("category"),
         (F.floor((F.row_number().over(w) - 1) / page_size) + 1).cast("int").alias("page"))
     raw.write.mode("overwrite").partitionBy("category", "page").json(landing)
+
+
+def refresh_dry_run(incoming: DataFrame, categories: Iterable[str] | None = None,
+                    allowed: Iterable[str] = fixed.SEARCH_CATEGORIES) -> DataFrame:
+    """S5 dry run: what a refresh would do, without writing — rows per
+    requested category, and whether the category is on the allow-list.
+    No categories means every category present in the batch."""
+    cats = list(categories or [])
+    inc = incoming.where(F.col("category_searched").isin(cats)) if cats else incoming
+    counts = inc.groupBy("category_searched").agg(F.count(F.lit(1)).cast("long").alias("n_incoming"))
+    return counts.withColumn("valid", F.col("category_searched").isin(list(allowed)))
