@@ -149,3 +149,18 @@ def q_similar_ingredients(spark, sf_dir):
 def q_ingredient_analogy(spark, sf_dir):
     """E5: 'citric acid' + 'palm oil' - 'e330'."""
     return M.ingredient_analogy(spark, _w2v(spark, sf_dir), ["citric acid", "palm oil"], ["e330"], 10)
+
+
+@register("hierarchical_analysis")
+def q_hierarchical_analysis(spark, sf_dir):
+    """Ward / complete / average / single over K-Means micro-clusters,
+    2..9 clusters each, silhouette per configuration."""
+    from larder.operators.hierarchical import hierarchical_analysis
+    return hierarchical_analysis(spark, _bigram_features(spark, sf_dir), "code")
+
+
+@register("hierarchical_labels")
+def q_hierarchical_labels(spark, sf_dir):
+    """Ward labels with 5 clusters for every product."""
+    from larder.operators.hierarchical import hierarchical_labels
+    return hierarchical_labels(spark, _bigram_features(spark, sf_dir), "code", 5, "ward")

@@ -169,3 +169,24 @@ def test_sinks_roundtrip(spark, tmp_path):
     model = Pipeline(stages=[Tokenizer(inputCol="code", outputCol="t")]).fit(df)
     save_model(model, str(tmp_path / "model"))
     assert load_pipeline(str(tmp_path / "model")).transform(df).count() == 2
+
+
+def test_agglomeration_matches_naive_linkage():
+    import numpy as np
+    from larder.operators.hierarchical import agglomerate, cut
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(12, 3))
+    sizes = np.ones(12)
+    for linkage in ("single", "complete", "average"):
+        merges = agglomerate(x, sizes, linkage)
+        # naive recomputation of cluster distances from the points
+        clusters = [{i} for i in range(12)]
+        dist = lambda a, b: np.linalg.norm(x[a] - x[b])
+        agg = {"single": min, "complete": max, "average": lambda v: sum(v) / len(v)}[linkage]
+        for i, j in merges:
+            best = min(((agg([dist(p, q) for p in clusters[a] for q in clusters[b]]), a, b)
+                        for a in range(12) for b in range(a + 1, 12) if clusters[a] and clusters[b]))
+            assert {i, j} == {best[1], best[2]}
+            clusters[i] |= clusters[j]
+            clusters[j] = set()
+        assert sorted(set(cut(12, merges, 3))) == [0, 1, 2]
