@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import fixed
@@ -71,12 +71,12 @@ def value_counts(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
 
 def distribution_with_share(df: DataFrame, col: str) -> DataFrame:
     """Count and percentage of all rows per non-NULL value.  The total
-    (including NULL rows) comes from the grouped rows themselves through a
-    window over the small grouped result, so the table is scanned once."""
+    (including NULL rows) is the sum over the grouped rows, attached as a
+    one-row broadcast; the table itself is aggregated once."""
     grouped = df.groupBy(col).agg(F.count(F.lit(1)).cast("long").alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return (grouped.withColumn("pct", F.col("n") * 100.0 / total)
-            .where(F.col(col).isNotNull()))
+    total = grouped.agg(F.sum("n").alias("_total"))
+    return (attach_one_row(grouped, total).withColumn("pct", F.col("n") * 100.0 / F.col("_total"))
+            .drop("_total").where(F.col(col).isNotNull()))
 
 
 def crosstab(df: DataFrame, row_col: str, col_col: str, values: Sequence[str], prefix: str) -> DataFrame:

@@ -44,7 +44,12 @@ def cluster_summaries(pts: DataFrame) -> DataFrame:
 
 def _with_all_clusters(pts: DataFrame, summ: DataFrame) -> DataFrame:
     """Attach every cluster summary (one array, <= MAX_CLUSTERS entries) to
-    every point: a one-row broadcast."""
+    every point: a one-row broadcast whose size is checked first."""
+    from pyspark import StorageLevel
+    summ = summ.persist(StorageLevel.MEMORY_AND_DISK)
+    k = summ.count()
+    if k > MAX_CLUSTERS:
+        raise ValueError(f"{k} clusters: the per-point silhouette needs at most {MAX_CLUSTERS}")
     packed = summ.agg(F.collect_list(F.struct("label", "n", "psi", "s")).alias("clusters"),
                       F.count(F.lit(1)).alias("k"))
     return attach_one_row(pts, packed)

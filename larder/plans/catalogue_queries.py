@@ -236,3 +236,31 @@ where rn = 1""", scored=True))
 def q_why_ultra_processed(spark, sf_dir):
     from larder.operators.clean import why_ultra_processed
     return why_ultra_processed(score_catalogue(catalogue(spark, sf_dir)), ["category_searched"])
+
+
+# --- P3 parentheses example, P9 category selection, Q1 overview -----------------------------
+@register("has_parentheses", with_catalogue(
+    "select code, product_name, ingredients_text from catalogue where contains(ingredients_text, '(') "
+    "order by code limit 1"))
+def q_has_parentheses(spark, sf_dir):
+    """One product whose ingredients contain a parenthesis (first by code)."""
+    from larder.operators.aggregates import top_n
+    df = catalogue(spark, sf_dir).where(F.col("ingredients_text").contains("("))
+    return top_n(df, 1, ["code"]).select("code", "product_name", "ingredients_text")
+
+
+@register("category_filter", with_catalogue(
+    "select code, category_searched from catalogue where category_searched in ('Soup', 'Crisps')"))
+def q_category_filter(spark, sf_dir):
+    """Multi-select of categories (an empty selection means no filter)."""
+    from larder.operators.clean import category_filter
+    return category_filter(catalogue(spark, sf_dir), ["Soup", "Crisps"]).select("code", "category_searched")
+
+
+@register("catalogue_overview", with_catalogue("""
+select count(*) as n_rows, count(distinct code) as n_distinct_keys, count(distinct category_searched) as n_categories
+from catalogue"""))
+def q_catalogue_overview(spark, sf_dir):
+    """Q1: rows, distinct codes, categories."""
+    from larder.operators.quality import overview
+    return overview(catalogue(spark, sf_dir), "code", "category_searched")

@@ -164,3 +164,40 @@ def q_hierarchical_labels(spark, sf_dir):
     """Ward labels with 5 clusters for every product."""
     from larder.operators.hierarchical import hierarchical_labels
     return hierarchical_labels(spark, _bigram_features(spark, sf_dir), "code", 5, "ward")
+
+
+@register("combined_features")
+def q_combined_features(spark, sf_dir):
+    """V4: bigram TF-IDF vector plus standardised nutrients (size per row)."""
+    from pyspark.ml.functions import vector_to_array as v2a
+
+    from larder.operators.cluster_metrics import standardize
+    feats = _bigram_features(spark, sf_dir)
+    nut = standardize(catalogue(spark, sf_dir).select("code", "sugar_100g", "salt_100g", "fat_100g"),
+                      ["sugar_100g", "salt_100g", "fat_100g"])
+    comb = M.combined_features(feats.join(nut, "code"), "features", ["sugar_100g", "salt_100g", "fat_100g"])
+    return comb.select("code", F.size(v2a("combined")).alias("n_features"))
+
+
+@register("clustering_report")
+def q_clustering_report(spark, sf_dir):
+    """C15 + T5: best K-Means k by silhouette, best DBSCAN setting on the
+    document grid, bootstrap stability summary — one table of findings."""
+    from larder.operators import dbscan as D
+    from larder.operators.tfidf import tfidf
+    feats = _bigram_features(spark, sf_dir)
+    km = M.kmeans_analysis(spark, feats, (2, 8), 2)
+    best_k = km.agg(F.max_by(F.struct("k", "silhouette"), F.col("silhouette")).alias("b")).select(
+        F.lit("kmeans_best_k").alias("finding"), F.col("b.k").cast("double").alias("value"),
+        F.col("b.silhouette").alias("score"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    w, _ = tfidf(docs, "doc_id", "text", max_df=50)
+    grid = D.dbscan_grid(spark, docs.select("doc_id"), w, "doc_id", [0.3, 0.5], [2, 3])
+    best_db = grid.where("valid").agg(F.max_by(F.struct("eps", "min_samples", "n_clusters"),
+                                               F.col("n_clusters")).alias("b")).select(
+        F.lit("dbscan_best_eps").alias("finding"), F.col("b.eps").alias("value"),
+        F.col("b.n_clusters").cast("double").alias("score"))
+    boot = M.bootstrap_stability(spark, feats, "code", k=5, n_boot=5).agg(
+        F.avg("ari").alias("m"), F.stddev_pop("ari").alias("s")).select(
+        F.lit("bootstrap_mean_ari").alias("finding"), F.col("m").alias("value"), F.col("s").alias("score"))
+    return best_k.unionByName(best_db).unionByName(boot)
