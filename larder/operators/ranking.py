@@ -53,7 +53,7 @@ def create_scenarios(products: DataFrame, n_scenarios: int = 100, seed: int = 42
                        F.col(category_col).alias("s_cat"), F.col(nova_col).alias("s_nova"))
     s = s.join(F.broadcast(first), name_col, "left")
     return s.select(
-        "scenario_id",
+        F.col("scenario_id").cast("long").alias("scenario_id"),
         F.coalesce(F.col("f").getField(key), F.col("sampled_key")).alias(key),
         F.col(name_col).alias("test_product"),
         F.when(F.col("f").isNotNull(), F.col("f").getField(category_col)).otherwise(F.col("s_cat"))

@@ -298,8 +298,8 @@ def q_quality_gates(spark, sf_dir):
 @register("volume_gates", with_catalogue("""
 select case when grouping(category_searched) = 1 then 'total' else 'category' end as scope,
        category_searched as subject, count(*) as n,
-       case when grouping(category_searched) = 1 then 2000 else 50 end as low,
-       case when grouping(category_searched) = 1 then 2500 else 300 end as high,
+       cast(case when grouping(category_searched) = 1 then 2000 else 50 end as bigint) as low,
+       cast(case when grouping(category_searched) = 1 then 2500 else 300 end as bigint) as high,
        count(*) between (case when grouping(category_searched) = 1 then 2000 else 50 end)
                     and (case when grouping(category_searched) = 1 then 2500 else 300 end) as passed
 from catalogue group by rollup(category_searched)"""))
