@@ -9,7 +9,7 @@ from larder.operators import aggregates as A
 from larder.operators import quality as Q
 from larder.operators.clean import dashboard_catalogue, valid_nova
 from larder.operators.scoring import score_catalogue
-from larder.plans.registry import register
+from larder.plans.registry import register, rounded
 from larder.plans.sqlkit import normalise_sql, token_ctes, with_catalogue, with_dash
 from larder.sources.tables import catalogue, read_table
 
@@ -51,11 +51,11 @@ def q_dashboard_kpis(spark, sf_dir):
 @register("category_stats", with_catalogue("""
 select category_searched, count(*) as product_count, avg(processing_score) as avg_processing_score,
        min(processing_score) as min_processing_score, max(processing_score) as max_processing_score,
-       avg(sugar_100g) as avg_sugar, avg(salt_100g) as avg_salt,
+       round(avg(sugar_100g), 9) as avg_sugar, round(avg(salt_100g), 9) as avg_salt,
        first(product_name order by processing_score, code) as cleanest_product
 from scored group by category_searched""", scored=True))
 def q_category_stats(spark, sf_dir):
-    return A.category_stats(score_catalogue(catalogue(spark, sf_dir)))
+    return rounded(A.category_stats(score_catalogue(catalogue(spark, sf_dir))), ["avg_sugar", "avg_salt"])
 
 
 @register("category_top10", with_catalogue("""
@@ -72,10 +72,11 @@ def q_sugar_by_category(spark, sf_dir):
 
 
 @register("nutrient_means", with_dash(
-    "select avg(sugar_100g) as avg_sugar, avg(salt_100g) as avg_salt, avg(fat_100g) as avg_fat from dash"))
+    "select round(avg(sugar_100g), 9) as avg_sugar, round(avg(salt_100g), 9) as avg_salt, "
+    "round(avg(fat_100g), 9) as avg_fat from dash"))
 def q_nutrient_means(spark, sf_dir):
-    return _dash(spark, sf_dir).agg(F.avg("sugar_100g").alias("avg_sugar"), F.avg("salt_100g").alias("avg_salt"),
-                                    F.avg("fat_100g").alias("avg_fat"))
+    return rounded(_dash(spark, sf_dir).agg(F.avg("sugar_100g").alias("avg_sugar"), F.avg("salt_100g").alias("avg_salt"),
+                                            F.avg("fat_100g").alias("avg_fat")), ["avg_sugar", "avg_salt", "avg_fat"])
 
 
 @register("category_nova_crosstab", with_catalogue("""
@@ -107,7 +108,7 @@ def q_events_overview(spark, sf_dir):
 
 
 @register("nutrient_stats", with_catalogue("""
-select * from (
+select nutrient, round(mean, 9) as mean, round(median, 9) as median, min, max, round(std, 9) as std from (
   select 'sugar_100g' as nutrient, avg(sugar_100g) as mean, median(sugar_100g) as median, min(sugar_100g) as min,
          max(sugar_100g) as max, stddev_samp(sugar_100g) as std from catalogue
   union all
@@ -115,11 +116,12 @@ select * from (
   union all
   select 'fat_100g', avg(fat_100g), median(fat_100g), min(fat_100g), max(fat_100g), stddev_samp(fat_100g) from catalogue)"""))
 def q_nutrient_stats(spark, sf_dir):
-    return A.nutrient_stats(catalogue(spark, sf_dir), ["sugar_100g", "salt_100g", "fat_100g", "saturated_fat_100g"])
+    return rounded(A.nutrient_stats(catalogue(spark, sf_dir), ["sugar_100g", "salt_100g", "fat_100g", "saturated_fat_100g"]),
+                   ["mean", "median", "std"])
 
 
 @register("lineitem_stats", """
-select * from (
+select nutrient, round(mean, 9) as mean, round(median, 9) as median, min, max, round(std, 9) as std from (
   select 'l_quantity' as nutrient, avg(l_quantity) as mean, median(l_quantity) as median, min(l_quantity) as min,
          max(l_quantity) as max, stddev_samp(l_quantity) as std from lineitem
   union all
@@ -127,17 +129,19 @@ select * from (
   from lineitem)""")
 def q_lineitem_stats(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select("l_quantity", "l_discount")
-    return A.nutrient_stats(li, ["l_quantity", "l_discount"])
+    return rounded(A.nutrient_stats(li, ["l_quantity", "l_discount"]), ["mean", "median", "std"])
 
 
 @register("salt_compare", with_dash("""
-select soup_clean_avg, crisps_avg, soup_all_avg, soup_all_avg - soup_clean_avg as concentrate_delta,
-       (soup_all_avg - crisps_avg) / crisps_avg * 100.0 as soup_vs_crisps_pct from (
+select round(soup_clean_avg, 9) as soup_clean_avg, round(crisps_avg, 9) as crisps_avg,
+       round(soup_all_avg, 9) as soup_all_avg, round(soup_all_avg - soup_clean_avg, 9) as concentrate_delta,
+       round((soup_all_avg - crisps_avg) / crisps_avg * 100.0, 9) as soup_vs_crisps_pct from (
   select avg(case when category_searched = 'Soup' and not is_soup_concentrate then salt_100g end) as soup_clean_avg,
          avg(case when category_searched = 'Crisps' then salt_100g end) as crisps_avg,
          avg(case when category_searched = 'Soup' then salt_100g end) as soup_all_avg from dash)"""))
 def q_salt_compare(spark, sf_dir):
-    return A.salt_comparison(_dash(spark, sf_dir))
+    return rounded(A.salt_comparison(_dash(spark, sf_dir)),
+                   ["soup_clean_avg", "crisps_avg", "soup_all_avg", "concentrate_delta", "soup_vs_crisps_pct"])
 
 
 _BOX_SQL = """
@@ -145,21 +149,25 @@ _BOX_SQL = """
               quantile_cont({v}, 0.25) as q1, quantile_cont({v}, 0.5) as median, quantile_cont({v}, 0.75) as q3
        from {t} where {v} is not null group by {g}),
   f as (select *, q3 - q1 as iqr, q1 - 1.5 * (q3 - q1) as lower_fence, q3 + 1.5 * (q3 - q1) as upper_fence from q)
-select f.grp as {g}, f.n, f.min, f.max, f.q1, f.median, f.q3, f.iqr, f.lower_fence, f.upper_fence,
+select f.grp as {g}, f.n, f.min, f.max, round(f.q1, 9) as q1, round(f.median, 9) as median, round(f.q3, 9) as q3,
+       round(f.iqr, 9) as iqr, round(f.lower_fence, 9) as lower_fence, round(f.upper_fence, 9) as upper_fence,
        cast(sum(case when t.{v} < f.lower_fence or t.{v} > f.upper_fence then 1 else 0 end) as bigint) as n_outliers
 from f join {t} t on t.{g} = f.grp and t.{v} is not null
 group by all"""
 
 
+_BOX_FLOATS = ["q1", "median", "q3", "iqr", "lower_fence", "upper_fence"]
+
+
 @register("salt_box_stats", with_dash(_BOX_SQL.format(g="category_searched", v="salt_100g", t="dash")))
 def q_salt_box_stats(spark, sf_dir):
-    return A.box_stats(_dash(spark, sf_dir), "category_searched", "salt_100g")
+    return rounded(A.box_stats(_dash(spark, sf_dir), "category_searched", "salt_100g"), _BOX_FLOATS)
 
 
 @register("quantity_box_stats", "with x as (select 1)" + _BOX_SQL.format(g="l_returnflag", v="l_quantity", t="lineitem"))
 def q_quantity_box_stats(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
-    return A.box_stats(li, "l_returnflag", "l_quantity")
+    return rounded(A.box_stats(li, "l_returnflag", "l_quantity"), _BOX_FLOATS)
 
 
 @register("salt_histogram", with_dash("""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from larder.operators import ranking as R
 from larder.operators.alternatives import healthier_alternatives
 from larder.operators.scoring import score_catalogue
-from larder.plans.registry import register
+from larder.plans.registry import register, rounded
 from larder.plans.sqlkit import with_catalogue
 from larder.sources.tables import catalogue
 
@@ -111,18 +111,18 @@ def q_ranking_recs(spark, sf_dir):
     return _evaluation(spark, sf_dir)["recs"]
 
 
-@register("ranking_metrics", _sql("select scenario_id, k, precision, recall, ndcg, diversity from m"))
+@register("ranking_metrics", _sql("select scenario_id, k, precision, recall, round(ndcg, 9) as ndcg, diversity from m"))
 def q_ranking_metrics(spark, sf_dir):
-    return _evaluation(spark, sf_dir)["metrics"]
+    return rounded(_evaluation(spark, sf_dir)["metrics"], ["ndcg"])
 
 
 @register("ranking_summary", _sql("""
-select metric, k, avg(value) as mean, stddev_pop(value) as std, median(value) as median, min(value) as min,
-       max(value) as max
+select metric, k, round(avg(value), 9) as mean, round(stddev_pop(value), 9) as std,
+       round(median(value), 9) as median, round(min(value), 9) as min, round(max(value), 9) as max
 from (select k, unnest(['precision', 'recall', 'ndcg', 'diversity']) as metric,
              unnest([precision, recall, ndcg, diversity]) as value from m) group by all"""))
 def q_ranking_summary(spark, sf_dir):
-    return _evaluation(spark, sf_dir)["summary"]
+    return rounded(_evaluation(spark, sf_dir)["summary"], ["mean", "std", "median", "min", "max"])
 
 
 @register("catalog_coverage", _sql(

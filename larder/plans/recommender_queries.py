@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from larder.operators.alternatives import better_alternatives, health_improvement, healthier_alternatives
 from larder.operators.scoring import health_features, score_catalogue
-from larder.plans.registry import register
+from larder.plans.registry import register, rounded
 from larder.plans.sqlkit import token_ctes, with_catalogue
 from larder.sources.tables import catalogue, categories_text
 
@@ -108,14 +108,15 @@ top as (select * from ranked where rank <= 10),
 per as (select p.code, avg(p.a_cnt) as m_cnt, avg(p.a_nova) as m_nova, avg(p.a_e) as m_e, avg(p.improvement) as m_imp,
                any_value(p.t_cnt) as t_cnt, any_value(p.t_nova) as t_nova, any_value(p.t_e) as t_e
         from top p group by p.code)
-select avg(t_cnt - m_cnt) as avg_ingredient_reduction, avg(t_nova - m_nova) as avg_nova_improvement,
-       avg(t_e - m_e) as avg_e_number_reduction, avg(m_imp) as avg_score_improvement,
+select round(avg(t_cnt - m_cnt), 9) as avg_ingredient_reduction, round(avg(t_nova - m_nova), 9) as avg_nova_improvement,
+       round(avg(t_e - m_e), 9) as avg_e_number_reduction, round(avg(m_imp), 9) as avg_score_improvement,
        (select count(*) from feat) as n_tested
 from per""", scored=True))
 def q_health_improvement(spark, sf_dir):
     feats = _features(spark, sf_dir)
     alts = better_alternatives(feats, top_n=10)
-    return health_improvement(feats, alts)
+    return rounded(health_improvement(feats, alts), ["avg_ingredient_reduction", "avg_nova_improvement",
+                                                     "avg_e_number_reduction", "avg_score_improvement"])
 
 
 @register("healthiness_score", with_catalogue(_FEATURES_SQL + """
