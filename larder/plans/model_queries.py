@@ -201,3 +201,26 @@ def q_clustering_report(spark, sf_dir):
         F.avg("ari").alias("m"), F.stddev_pop("ari").alias("s")).select(
         F.lit("bootstrap_mean_ari").alias("finding"), F.col("m").alias("value"), F.col("s").alias("score"))
     return best_k.unionByName(best_db).unionByName(boot)
+
+
+def _pairs(spark, sf_dir):
+    from larder.operators.pairs import sample_pairs
+    cat = catalogue(spark, sf_dir)
+    n = cat.count()  # one positive pair per product on average, so the sample grows with the table
+    return sample_pairs(spark, cat, n_positive=n, negative_ratio=1.0)
+
+
+@register("training_pairs")
+def q_training_pairs(spark, sf_dir):
+    """E6 (re-aimed): seeded sample of same-category (label 1) and
+    cross-category (label 0) product pairs."""
+    return _pairs(spark, sf_dir)
+
+
+@register("pair_model_eval")
+def q_pair_model_eval(spark, sf_dir):
+    """Pair classifier on hashed product/category features, 80/20 hash
+    split, validation accuracy and log-loss."""
+    from larder.operators.pairs import train_pair_model
+    _, metrics = train_pair_model(_pairs(spark, sf_dir))
+    return metrics

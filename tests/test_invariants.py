@@ -190,3 +190,17 @@ def test_agglomeration_matches_naive_linkage():
             clusters[i] |= clusters[j]
             clusters[j] = set()
         assert sorted(set(cut(12, merges, 3))) == [0, 1, 2]
+
+
+def test_sampled_pairs_labels_match_categories(spark):
+    from larder.operators.pairs import sample_pairs
+    from larder.sources.tables import catalogue
+    from tests.conftest import SF_SMALL
+    cat = catalogue(spark, SF_SMALL)
+    pairs = sample_pairs(spark, cat, 300, 1.0, seed=7).collect()
+    assert len(pairs) == 600
+    for r in pairs:
+        assert (r["category1"] == r["category2"]) == (r["label"] == 1)
+        assert r["product1"] != r["product2"]
+    again = sample_pairs(spark, cat, 300, 1.0, seed=7).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, pairs))
