@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from larder.operators.alternatives import better_alternatives, health_improvement, healthier_alternatives
 from larder.operators.scoring import health_features, score_catalogue
 from larder.plans.registry import register, rounded
-from larder.plans.sqlkit import token_ctes, with_catalogue
+from larder.plans.sqlkit import badge_sql, label_sql, token_ctes, with_catalogue
 from larder.sources.tables import catalogue, categories_text
 
 
@@ -47,11 +47,20 @@ def q_alternatives_global(spark, sf_dir):
     return _alternatives(spark, sf_dir, False, 3).select("code", "rank", "alt_code", "alt_score", "score_improvement")
 
 
-@register("alternatives_detail")
+def _detail_sql() -> str:
+    base = _alt_sql(True, 3)
+    head, tail = base.rsplit("select code, rank, alt_code, alt_score, score_improvement from ranked where rank <= 3", 1)
+    return head + f"""select r.code, r.rank, r.alt_code, c.product_name as alt_name, c.category_searched as alt_category,
+       r.alt_score, r.score_improvement, {badge_sql('r.alt_score')} as alt_badge,
+       {label_sql('r.alt_score')} as alt_label, c.nova_label as alt_nova_label, c.e_numbers as alt_e_numbers,
+       c.sugar_100g as alt_sugar_100g, c.salt_100g as alt_salt_100g, c.brand as alt_brand
+from ranked r join scored c on c.code = r.alt_code where r.rank <= 3""" + tail
+
+
+@register("alternatives_detail", _detail_sql())
 def q_alternatives_detail(spark, sf_dir):
     """Flagship display form: every product with its top-3 alternatives and
-    their badge, NOVA label, E-numbers and nutrients (rows-only check; the
-    ranking itself is value-checked by ``alternatives_top3``)."""
+    their badge, label, NOVA label, E-numbers, nutrients and brand."""
     return _alternatives(spark, sf_dir, True, 3)
 
 
