@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larder.functions import text as X
 from larder.operators import aggregates as A
 from larder.operators import quality as Q
 from larder.operators.clean import dashboard_catalogue, valid_nova

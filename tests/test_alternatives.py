@@ -1,6 +1,5 @@
 """Healthier alternatives on the literal 3-row frame, and brute force on the catalogue."""
 
-from pyspark.sql import functions as F
 
 from larder.operators.alternatives import healthier_alternatives
 from larder.operators.scoring import score_catalogue
