@@ -162,11 +162,13 @@ def ingredient_penetration(df: DataFrame, key: str = "code", text_col: str = "in
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row: an equi-join on
-    a constant key with the one-row side broadcast (its size is one row by
-    construction, so the broadcast is bounded)."""
-    return (df.withColumn("_one", F.lit(0))
-            .join(F.broadcast(one_row.withColumn("_one", F.lit(0))), "_one").drop("_one"))
+    """Attach the columns of a one-row aggregate to every row as a scalar
+    subquery: the aggregate runs once and its values are injected into the
+    projection — no join, no shuffle of ``df``."""
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*cols).alias("_v")).scalar()
+    out = df.withColumn("_one_row", packed)
+    return out.select(*df.columns, *[F.col("_one_row")[c].alias(c) for c in cols])
 
 
 def rollup_counts(df: DataFrame, col: str) -> DataFrame:

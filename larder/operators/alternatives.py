@@ -88,11 +88,15 @@ def healthier_alternatives(scored: DataFrame, top_n: int = 3, same_category_only
     short_rows = scoped[0] if len(scoped) == 1 else scoped[0].unionByName(scoped[1])
     fields = ["score", "k"] + payload
     shortlist = short_rows.groupBy("scope").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("shortlist"))
-    shortlist = size_checked_broadcast(shortlist, broadcast_max_rows)
     prod = base.select("k", "name", "score", "scope")
     if targets is not None:
         prod = prod.join(targets.select(F.col(key).alias("k")).distinct(), "k", "left_semi")
-    joined = prod.join(shortlist, "scope", "left")
+    if same_category_only:
+        joined = prod.join(size_checked_broadcast(shortlist, broadcast_max_rows), "scope", "left")
+    else:
+        # One global shortlist (<= 2N entries): a scalar subquery, no join.
+        from larder.operators.aggregates import attach_one_row
+        joined = attach_one_row(prod, shortlist.select("shortlist"))
     eligible = F.filter(F.coalesce(F.col("shortlist"), F.array()),
                         lambda c: (c["score"] <= F.col("score"))
                         & ~(F.col("name").isNotNull() & c["name"].isNotNull() & (c["name"] == F.col("name"))))
@@ -136,8 +140,10 @@ def root_category_map(roots: DataFrame, categories: DataFrame) -> DataFrame:
     hit = (keyed_r.join(keyed_c, "sk")
            .where(F.col("categories_lc").contains(F.col("root_lc")))
            .select("root", "categories_lc"))
-    empty = (r.where(F.length("root_lc") == 0).withColumn("_one", F.lit(0))
-             .join(c.withColumn("_one", F.lit(0)), "_one").select("root", "categories_lc"))
+    # The empty root (if any product has one) matches every category.
+    empty_root = r.where(F.length("root_lc") == 0).agg(F.first("root").alias("root"))
+    from larder.operators.aggregates import attach_one_row
+    empty = attach_one_row(c, empty_root).where(F.col("root").isNotNull()).select("root", "categories_lc")
     return hit.unionByName(empty).distinct()
 
 

@@ -16,6 +16,7 @@ def _plan(df) -> str:
 def test_no_cartesian_product(spark, name):
     plan = _plan(entry.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
 
 
 def test_recommender_plan_shape(spark):
