@@ -43,16 +43,16 @@ def ttest(summary: DataFrame, welch="auto", min_size: int = 0) -> DataFrame:
     se_w = F.sqrt(v1 / n1 + v2 / n2)
     sp2 = ((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)
     se_p = F.sqrt(sp2 * (1.0 / n1 + 1.0 / n2))
-    dof_w = F.pow(v1 / n1 + v2 / n2, 2) / (F.pow(v1 / n1, 2) / (n1 - 1) + F.pow(v2 / n2, 2) / (n2 - 1))
+    dof_w = F.try_divide(F.pow(v1 / n1 + v2 / n2, 2), F.pow(v1 / n1, 2) / (n1 - 1) + F.pow(v2 / n2, 2) / (n2 - 1))
     ok = (n1 > min_size) & (n2 > min_size) & (n1 > 1) & (n2 > 1)
     se = F.when(use_welch, se_w).otherwise(se_p)
     return summary.select(
         "n1", "n2", "mean1", "mean2",
         F.when(ok, F.lit("ok")).otherwise(F.lit("insufficient")).alias("status"),
         F.when(ok, use_welch).alias("welch"),
-        F.when(ok, (m1 - m2) / se).alias("t"),
+        F.when(ok, F.try_divide(m1 - m2, se)).alias("t"),
         F.when(ok, F.when(use_welch, dof_w).otherwise((n1 + n2 - 2).cast("double"))).alias("dof"),
-        F.when(ok, (m1 - m2) / F.sqrt(sp2)).alias("cohen_d"),
+        F.when(ok, F.try_divide(m1 - m2, F.sqrt(sp2))).alias("cohen_d"),
         F.when(ok, se).alias("se"),
     )
 
@@ -73,7 +73,8 @@ def anova(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
     df_b = F.col("k") - 1
     df_w = F.col("n_total") - F.col("k")
     return out.select(df_b.cast("long").alias("df_between"), df_w.cast("long").alias("df_within"),
-                      "ssb", "ssw", ((F.col("ssb") / df_b) / (F.col("ssw") / df_w)).alias("f"))
+                      "ssb", "ssw", F.try_divide(F.try_divide(F.col("ssb"), df_b),
+                                                 F.try_divide(F.col("ssw"), df_w)).alias("f"))
 
 
 # --- distribution helper (one summary row; plain Python) ------------------------------
@@ -163,6 +164,7 @@ def with_f_pvalue(res: DataFrame) -> DataFrame:
     """Add the ANOVA p-value to an ``anova`` row."""
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(p_value=[f_sf(r["f"], r["df_between"], r["df_within"]) for _, r in pdf.iterrows()])
+            yield pdf.assign(p_value=[None if pd.isna(r["f"]) else f_sf(r["f"], r["df_between"], r["df_within"])
+                                      for _, r in pdf.iterrows()])
     schema = res.schema.simpleString()[len("struct<"):-1] + ",p_value double"
     return res.coalesce(1).mapInPandas(fn, schema)

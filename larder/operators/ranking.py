@@ -140,7 +140,7 @@ def coverage(recs: DataFrame, products: DataFrame) -> DataFrame:
     items = recs.agg(F.count_distinct("item").alias("n_items"))
     total = products.agg(F.count(F.lit(1)).alias("total"))
     return attach_one_row(items, total).select(
-        (F.col("n_items") / F.col("total")).alias("catalog_coverage"))
+        F.try_divide(F.col("n_items"), F.col("total")).alias("catalog_coverage"))
 
 
 def pair_similarity(weights: DataFrame, pairs: DataFrame, key: str) -> DataFrame:

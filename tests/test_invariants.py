@@ -204,3 +204,11 @@ def test_sampled_pairs_labels_match_categories(spark):
         assert r["product1"] != r["product2"]
     again = sample_pairs(spark, cat, 300, 1.0, seed=7).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, pairs))
+
+
+def test_degenerate_inputs_give_null_not_errors(spark):
+    df = spark.createDataFrame([("x", 1.0), ("x", 1.0), ("y", 1.0), ("y", 1.0)], "g string, v double")
+    r = H.ttest(H.group_summary(df, "g", "v", "x", "y")).first()
+    assert r["t"] is None and r["cohen_d"] is None
+    one_group = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "g string, v double")
+    assert H.anova(one_group, "g", "v").first()["f"] is None
