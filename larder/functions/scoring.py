@@ -50,8 +50,8 @@ def nova_points(nova, numeric: bool = False) -> Column:
     """
     n = _col(nova)
     if numeric:
-        as_int = n.cast("double").cast("int")
-        unknown = n.isNull() | F.isnan(n.cast("double")) | (n.cast("double") == 0)
+        as_int = n.cast("double").try_cast("int")
+        unknown = n.isNull() | F.isnan(n.cast("double")) | (n.cast("double") == 0) | as_int.isNull()
     else:
         as_int = n.cast("string").try_cast("int")
         unknown = as_int.isNull()
