@@ -38,14 +38,21 @@ def con():
     return c
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float", "DATE": "date"}
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
-    res = con.execute(entry.oracle_sql()[name])
+    sql = entry.oracle_sql()[name]
+    res = con.execute(sql)
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _rows(df.columns, got) == _rows(ocols, res.fetchall())
+    types = {r[0]: r[1] for r in con.execute(f"describe {sql}").fetchall()}
+    assert {c: t for c, t in df.dtypes} == {c: DUCK_TO_SPARK.get(t, t) for c, t in types.items()}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW_ROWS_ONLY))
