@@ -15,6 +15,10 @@ from __future__ import annotations
 INGREDIENT_SPLIT_PATTERN = r"(?U),\s*+(?![^()]*+\))"
 # Equivalent split for texts without any ')': the look-ahead can never fail.
 PLAIN_SPLIT_PATTERN = r"(?U),\s*+"
+# Zero-width cut after every parenthesis, and the private-use marker that
+# stands for a splitting comma in the linear tokeniser.
+PAREN_CUT_PATTERN = r"(?<=[()])"
+SPLIT_MARK = "\ue000"
 
 # Unicode-aware trim (Python str.strip semantics).
 UNICODE_TRIM_PATTERN = r"(?U)^\s+|\s+$"

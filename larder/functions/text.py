@@ -29,11 +29,19 @@ def tokenize(text) -> Column:
     NULL and '' give an empty array.
     """
     t = F.coalesce(_col(text), F.lit(""))
-    # Without a ')' the look-ahead always succeeds, so the plain split is the
-    # same split in linear time (the look-ahead rescans to the next paren,
-    # which is the end of the text when there is none).
-    parts = F.when(t.contains(")"), F.split(t, fixed.INGREDIENT_SPLIT_PATTERN)).otherwise(
-        F.split(t, fixed.PLAIN_SPLIT_PATTERN))
+    # A comma splits unless the next parenthesis after it is ')'.  The
+    # look-ahead regex rescans to the next paren for every comma (quadratic on
+    # long texts), so the same rule is applied in linear time: cut the text
+    # after every paren; a comma is protected exactly when its segment ends
+    # with ')'; every other comma becomes a split mark.  Without any ')' the
+    # plain split is already the answer; a text that contains the mark
+    # itself falls back to the regex.
+    segments = F.split(t, fixed.PAREN_CUT_PATTERN)
+    marked = F.array_join(F.transform(segments, lambda seg: F.when(seg.endswith(")"), seg).otherwise(
+        F.replace(seg, F.lit(","), F.lit(fixed.SPLIT_MARK)))), "")
+    parts = (F.when(~t.contains(")"), F.split(t, fixed.PLAIN_SPLIT_PATTERN))
+             .when(t.contains(fixed.SPLIT_MARK), F.split(t, fixed.INGREDIENT_SPLIT_PATTERN))
+             .otherwise(F.split(marked, fixed.SPLIT_MARK)))
     return F.filter(F.transform(parts, unicode_trim), lambda x: x != "")
 
 
