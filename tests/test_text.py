@@ -89,8 +89,8 @@ def test_count_ingredients(spark):
 _PY = re.compile(r",\s*(?![^()]*\))")
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(alphabet="ab (),\t", min_size=0, max_size=30), min_size=1, max_size=25))
+@settings(max_examples=120, deadline=None)
+@given(st.lists(st.text(alphabet="ab ()(),,\t\n", min_size=0, max_size=40), min_size=1, max_size=25))
 def test_tokeniser_matches_python_re(spark, texts):
     got = tok(spark, texts)
     want = [[p.strip() for p in _PY.split(t) if p.strip()] for t in texts]
