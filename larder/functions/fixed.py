@@ -19,6 +19,7 @@ PLAIN_SPLIT_PATTERN = r"(?U),\s*+"
 # stands for a splitting comma in the linear tokeniser.
 PAREN_CUT_PATTERN = r"(?<=[()])"
 SPLIT_MARK = "\ue000"
+REGEX_SPLIT_MAX_CHARS = 2000
 
 # Unicode-aware trim (Python str.strip semantics).
 UNICODE_TRIM_PATTERN = r"(?U)^\s+|\s+$"

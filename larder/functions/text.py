@@ -39,8 +39,11 @@ def tokenize(text) -> Column:
     segments = F.split(t, fixed.PAREN_CUT_PATTERN)
     marked = F.array_join(F.transform(segments, lambda seg: F.when(seg.endswith(")"), seg).otherwise(
         F.replace(seg, F.lit(","), F.lit(fixed.SPLIT_MARK)))), "")
+    regex = F.split(t, fixed.INGREDIENT_SPLIT_PATTERN)
+    # Short texts (ingredient lists) are split faster by the single regex,
+    # whose rescans are bounded by the text length; long texts go linear.
     parts = (F.when(~t.contains(")"), F.split(t, fixed.PLAIN_SPLIT_PATTERN))
-             .when(t.contains(fixed.SPLIT_MARK), F.split(t, fixed.INGREDIENT_SPLIT_PATTERN))
+             .when((F.length(t) <= fixed.REGEX_SPLIT_MAX_CHARS) | t.contains(fixed.SPLIT_MARK), regex)
              .otherwise(F.split(marked, fixed.SPLIT_MARK)))
     return F.filter(F.transform(parts, unicode_trim), lambda x: x != "")
 
