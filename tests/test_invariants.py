@@ -212,3 +212,14 @@ def test_degenerate_inputs_give_null_not_errors(spark):
     assert r["t"] is None and r["cohen_d"] is None
     one_group = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "g string, v double")
     assert H.anova(one_group, "g", "v").first()["f"] is None
+
+
+def test_ingest_pages_last_page_wins(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for page, name in ((1, "old"), (2, "new")):
+        d = landing / "category=Soup" / f"page={page}"
+        d.mkdir(parents=True)
+        (d / "part.json").write_text(
+            '{"code": "7", "product_name": "%s", "ingredients_text": "Water", "nutriments": {}}\n' % name)
+    rows = I.ingest_pages(spark, str(landing)).collect()
+    assert [(r["code"], r["product_name"], r["category_searched"]) for r in rows] == [("7", "new", "Soup")]
