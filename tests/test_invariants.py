@@ -239,3 +239,12 @@ def test_stream_restart_is_idempotent(spark, tmp_path):
     n = spark.read.parquet(first).count()
     second = run()  # restart on the same checkpoint: nothing new to process
     assert second == first and spark.read.parquet(second).count() == n
+
+
+def test_size_checked_broadcast_respects_bound(spark):
+    from larder.operators.joins import size_checked_broadcast
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = size_checked_broadcast(spark.range(10).withColumnRenamed("id", "k"), 100)
+    over = size_checked_broadcast(spark.range(500).withColumnRenamed("id", "k"), 100)
+    assert "broadcast" in big.join(small, "k")._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "broadcast" not in big.join(over, "k")._jdf.queryExecution().optimizedPlan().toString().lower()
