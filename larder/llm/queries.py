@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larder.llm import content_sort, url_vocabulary
+from larder.llm import content_sort, leak_simhash, url_vocabulary
 from larder.llm.common import LOWER, UPPER, table
 from larder.llm.registry import register
 
@@ -17,6 +17,11 @@ def op6_exact_dedup(spark, sf_dir):
     return content_sort.content_groups(table(spark, sf_dir, "documents", "doc_id", "text"), keep="max")
 
 
+@register("op7_benchmark_leaks")
+def op7_benchmark_leaks(spark, sf_dir):
+    return leak_simhash.leaks(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/")]
 
