@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from larder.llm import content_sort, leak_simhash, url_vocabulary
+from larder.llm import content_sort, kd_shards, leak_simhash, url_vocabulary, warc_normal
 from larder.llm.common import LOWER, UPPER, table
 from larder.llm.registry import register
 
 
+@register("op2_kd_shards")
+def op2_kd_shards(spark, sf_dir):
+    return kd_shards.kd_shards(table(spark, sf_dir, "documents"), shards=8)
+
+
+@register("op3_warc_normal", """
+with p as (select page_id, coalesce(html, '') as body from pages),
+f as (select page_id, body, strlen(body) as n, min(page_id) over (partition by body) as first from p)
+select page_id, n as payload_bytes, sha256(body) as payload_digest,
+  case when n >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+  case when n >= 100 and page_id <> first then first end as refers_to from f
+""")
+def op3_warc_normal(spark, sf_dir):
+    return warc_normal.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register("op6_exact_dedup", f"""
 with n as (select doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as body from documents)
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
