@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from larder.llm import content_sort, kd_shards, leak_simhash, url_vocabulary, warc_normal
+from pyspark.sql import functions as F
+
+from larder.llm import best_fit, content_sort, kd_shards, leak_simhash, token_store, url_vocabulary, warc_normal
 from larder.llm.common import LOWER, UPPER, table
+from larder.llm.encode import tokenizer_path
 from larder.llm.registry import register
 
 
+@register("op1_best_fit")
+def op1_best_fit(spark, sf_dir):
+    pieces = best_fit.token_pieces(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("byte_bpe_50k.json"))
+    return best_fit.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @register("op2_kd_shards")
 def op2_kd_shards(spark, sf_dir):
     return kd_shards.kd_shards(table(spark, sf_dir, "documents"), shards=8)
@@ -39,6 +49,12 @@ def op7_benchmark_leaks(spark, sf_dir):
     return leak_simhash.leaks(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op8_token_store")
+def op8_token_store(spark, sf_dir):
+    read = token_store.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("word_bpe_49k.json"), 2)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/")]
 
