@@ -8,7 +8,7 @@ bytes, so a text's ids are its words' ids in a row.
   and whose whole-text loop is about five times faster.
 * Lower-case word files (white space dropped, ``</w>`` at word ends): words
   are cut by the file's own pattern and each distinct word is encoded once
-  per worker by ``tokenizers``.
+  per worker by the model of ``tokenizers``.
 
 ``tests/llm/test_encode.py`` holds both against ``Tokenizer.encode``.
 """
@@ -16,7 +16,6 @@ bytes, so a text's ids are its words' ids in a row.
 from __future__ import annotations
 
 import json
-import os
 import re
 from array import array
 from collections.abc import Iterable
@@ -60,18 +59,24 @@ class ByteEncoder:
 
 class WordEncoder:
     def __init__(self, path: str, given: dict) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.model = self.tokenizer.model
+        self.shown = {b: c for c, b in _byte_of().items()}
         self.words = regex.compile(given["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.chunks: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
     def _words(self, chunk: str) -> list[str]:
-        return self.words.findall(chunk.lower() if chunk.isascii() else self.tokenizer.normalizer.normalize_str(chunk))
+        if not chunk.isascii():
+            return self.words.findall(self.tokenizer.normalizer.normalize_str(chunk))
+        return [chunk.lower()] if chunk.isalpha() else self.words.findall(chunk.lower())
+
+    def _ids(self, word: str) -> bytes:
+        shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.shown)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > CACHE:
@@ -81,8 +86,7 @@ class WordEncoder:
         cut = [SPACES.split(t) if CONTROLS.search(t) else t.split() for t in texts]
         new = {c: self._words(c) for c in set().union(*cut).difference(chunks)}
         words = list(set().union(*new.values()).difference(known))
-        for word, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-            known[word] = array("I", e.ids).tobytes()
+        known.update(zip(words, map(self._ids, words), strict=True))
         for chunk, parts in new.items():
             chunks[chunk] = known[parts[0]] if len(parts) == 1 else b"".join([known[w] for w in parts])
         out = [b"".join(map(chunks.__getitem__, c)) for c in cut]
