@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larder.llm import best_fit, content_sort, kd_shards, leak_simhash, token_store, url_vocabulary, warc_normal
+from larder.llm import best_fit, content_sort, icws, kd_shards, leak_simhash, log_bilinear, token_store, toxic_kernel, url_vocabulary, warc_normal
 from larder.llm.common import LOWER, UPPER, table
 from larder.llm.encode import tokenizer_path
 from larder.llm.registry import register
@@ -34,6 +34,16 @@ def op3_warc_normal(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@register("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    return toxic_kernel.toxicity(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
+@register("op5_lm_score")
+def op5_lm_score(spark, sf_dir):
+    return log_bilinear.score_texts(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @register("op6_exact_dedup", f"""
 with n as (select doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as body from documents)
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
@@ -55,6 +65,12 @@ def op8_token_store(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@register("op9_near_dedup")
+def op9_near_dedup(spark, sf_dir):
+    return icws.near_classes(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "class_id", "class_size", "kept")
+
+
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/")]
 
