@@ -20,7 +20,7 @@ import re
 from array import array
 from collections.abc import Iterable
 
-#: Distinct chunks and words that a worker keeps; then it starts anew.
+#: Distinct chunks that a worker keeps: the newer half, and the half before it.
 CACHE = 700_000
 CACHE_CHARS = 48
 #: Texts, or so many characters of them, that are encoded together.
@@ -66,7 +66,7 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.shown = {b: c for c, b in _byte_of().items()}
         self.words = regex.compile(given["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.chunks: dict[str, bytes] = {}
+        self.chunks, self.older = {}, {}
         self.known: dict[str, bytes] = {}
 
     def _words(self, chunk: str) -> list[str]:
@@ -79,12 +79,18 @@ class WordEncoder:
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.chunks) > CACHE:
-            self.chunks, self.known = {}, {}
-        chunks, known = self.chunks, self.known
+        if len(self.chunks) > CACHE // 2:  # chunks that are met again move on from the older half
+            self.chunks, self.older, self.known = {}, self.chunks, {}
+        chunks, older, known = self.chunks, self.older, self.known
         # str.split() also cuts at four control characters that are no white space to the file's pattern.
         cut = [SPACES.split(t) if CONTROLS.search(t) else t.split() for t in texts]
-        new = {c: self._words(c) for c in set().union(*cut).difference(chunks)}
+        new = {}
+        for chunk in set().union(*cut).difference(chunks):
+            ids = older.get(chunk)
+            if ids is None:
+                new[chunk] = self._words(chunk)
+            else:
+                chunks[chunk] = ids
         words = list(set().union(*new.values()).difference(known))
         known.update(zip(words, map(self._ids, words), strict=True))
         for chunk, parts in new.items():

@@ -13,11 +13,14 @@ table of fixed size: a shingle shares its slot with about one in ``SLOTS`` of
 all others, so at any size only shingles that more than a fraction of a percent
 of all documents share lose weight.
 
-No step works on all pairs of a group.  Texts of the same words are one node.
-A bucket of up to ``PAIRED`` nodes is paired off; in a larger one all nodes
-are held against a leader, and those that are not similar to it go on, in
-finer buckets and with new leaders, until none is left over.  Leaders differ
-between the bands of a text.
+No group is paired off as a whole.  Texts of the same words are one node.  A
+bucket of up to ``PAIRED`` nodes is paired off; in a larger one all nodes are
+held against a leader, which differs between the bands of a text.  Nodes that
+are not in their leader's component by then are left over.  They are compared
+with all nodes they share a bucket with, in blocks, without writing pairs:
+nodes that are in one component already are skipped, a bound on what a pair
+can share rules most others out, and only links that join two components leave
+a task.
 """
 
 from __future__ import annotations
@@ -33,15 +36,15 @@ from larder.llm.common import stored
 from larder.llm.shingles import mix, sequence_key, shingle_hashes, word_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
-BANDS, ROWS = 20, 4
+BANDS, ROWS = 16, 4
 SLOTS = 1 << 16
 #: Nodes of a bucket that are held against each other directly.
 PAIRED = 24
 #: Agreeing draws, as a share of all, below which a pair cannot be similar
 #: (five standard deviations under the similarity that is asked for).
 AGREEING = 0.55
-#: Finer buckets of what a large bucket leaves over: keys, and draws in each.
-FINER, FINER_ROWS = 8, 2
+#: Nodes of a block, where nodes that are left over meet the others of their buckets.
+BLOCK_NODES = 512
 CHUNK = 512
 SLICE_TEXTS = 64
 
@@ -214,6 +217,12 @@ class _Pairs:
         self.docs, self.nodes, self.shingle, self.similarity = docs, nodes, shingle, similarity
         self.sent = docs.sparkSession.sparkContext.broadcast(idf)
 
+    def features(self, nodes: DataFrame) -> DataFrame:
+        """(node, f: its sorted shingles) of some nodes, stored."""
+        wanted = stored(nodes.join(self.nodes.select("node", "row_id", "raw"), "node"), "near-nodes")
+        texts = self.docs.join(wanted, ["row_id", "raw"]).select("node", "text").dropDuplicates(["node"])
+        return stored(texts.mapInArrow(_features(self.shingle), "node long, f array<long>"), "near-sets")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """(a, b, similarity) of the similar ones among distinct pairs, stored."""
         sig = self.nodes.select(F.col("node").alias("a"), F.col("sig").alias("sa"))
@@ -221,10 +230,7 @@ class _Pairs:
         near = stored(pairs.join(sig, "a").join(other, "b").select("a", "b", "sa", "sb")
                       .mapInArrow(_agreement, "a long, b long"), "near-pairs")
         ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = stored(ends.join(self.nodes.select("node", "row_id", "raw"), "node"), "near-nodes")
-        texts = self.docs.join(wanted, ["row_id", "raw"]).select("node", "text")
-        sets = stored(texts.mapInArrow(_features(self.shingle), "node long, f array<long>")
-                      .dropDuplicates(["node"]), "near-sets")
+        sets = self.features(ends)
         left = sets.select(F.col("node").alias("a"), F.col("f").alias("fa"))
         right = sets.select(F.col("node").alias("b"), F.col("f").alias("fb"))
         both = near.join(left, "a").join(right, "b").select("a", "b", "fa", "fb")
@@ -243,33 +249,89 @@ def _sized(members: DataFrame) -> DataFrame:
     return stored(members.join(sizes, "key"), "bucketed")
 
 
+def _compared(sent, least: float):
+    """Links that join two components, between the left-over nodes (``side``
+    0) and the nodes (1) of one pair of blocks."""
+    def compare(key, part):
+        import pandas as pd
+
+        idf = sent.value
+        side = part["side"].to_numpy()
+        sig = np.frombuffer(b"".join(part["sig"]), "<u2").reshape(len(part), -1)
+        nodes, roots = part["node"].to_numpy(), part["root"].to_numpy().copy()
+        sets = [weigh(np.asarray(f).view(np.uint64), idf) for f in part["f"]]
+        total = np.array([w.sum() for _, w in sets])
+        # What only this text holds here it shares with none of the others.
+        _, once = np.unique(nodes, return_index=True)  # a node may stand on both sides
+        every, times = np.unique(np.concatenate([sets[i][0] for i in once]), return_counts=True)
+        common = every[times > 1]
+        most = np.array([w[np.isin(x, common, assume_unique=True)].sum() for x, w in sets])
+        ours, theirs = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        found = []
+        for i in ours:
+            shared = np.minimum(most[i], most[theirs])
+            hope = shared / np.maximum(total[i] + total[theirs] - shared, 1e-12) >= least - 1e-9
+            hope &= (roots[theirs] != roots[i]) & ((sig[theirs] == sig[i]).mean(axis=1) >= AGREEING)
+            for j in theirs[hope]:
+                if roots[j] == roots[i]:
+                    continue
+                (sa, wa), (sb, wb) = sets[i], sets[j]
+                _, ia, ib = np.intersect1d(sa, sb, assume_unique=True, return_indices=True)
+                low = np.minimum(wa[ia], wb[ib]).sum()
+                likeness = low / (total[i] + total[j] - low)
+                if likeness >= least:
+                    found.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j]), likeness))
+                    roots[roots == roots[j]] = roots[i]
+        return pd.DataFrame(found, columns=["a", "b", "similarity"])
+    return compare
+
+
+def _left_over_links(pairs: _Pairs, large: DataFrame, links: DataFrame) -> DataFrame | None:
+    """Compares the nodes of large buckets that are in no component with their
+    leader with all nodes they share such a bucket with."""
+    roots = stored(components(links), "roots")
+    leads = roots.select(F.col("node").alias("leader"), F.col("root").alias("leads"))
+    rooted = large.join(roots, "node", "left").join(leads, "leader", "left")
+    own, lead = F.coalesce("root", "node"), F.coalesce("leads", "leader")
+    over = stored(rooted.filter(own != lead).select("key", "node"), "left-over")
+    if over.isEmpty():
+        return None
+    # Buckets that share nodes form one group, so that no pair is compared in each band anew.
+    keys = over.select("key").distinct()
+    members = stored(large.join(keys, "key").select("key", "node"), "left-over-buckets")
+    first = members.groupBy("key").agg(F.min("node").alias("a"))
+    groups = components(members.join(first, "key").select("a", F.col("node").alias("b")))
+    nodes = stored(members.select("node").distinct().join(groups.withColumnRenamed("root", "g"), "node")
+                   .join(over.select("node").distinct().withColumn("open", F.lit(True)), "node", "left")
+                   .join(roots, "node", "left").select("node", "g", F.coalesce("open", F.lit(False)).alias("open"),
+                                                       F.coalesce("root", "node").alias("root")), "left-over-nodes")
+    sizes = nodes.groupBy("g").agg(F.ceil(F.sum(F.col("open").cast("long")) / BLOCK_NODES).alias("us"),
+                                   F.ceil(F.count("*") / BLOCK_NODES).alias("ms"))
+    filled = (nodes.join(pairs.features(nodes.select("node")), "node").join(pairs.nodes.select("node", "sig"), "node")
+              .join(sizes, "g"))
+    u, m = F.pmod(F.xxhash64("node"), "us"), F.pmod(F.xxhash64("node"), "ms")
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1)
+    columns = ["g", "node", "root", "sig", "f"]
+    mine = filled.filter("open").select(*columns, F.lit(0).alias("side"), u.alias("ub"), F.explode(upto("ms")).alias("mb"))
+    others = filled.select(*columns, F.lit(1).alias("side"), F.explode(upto("us")).alias("ub"), m.alias("mb"))
+    compared = mine.unionByName(others).groupBy("g", "ub", "mb").applyInPandas(
+        _compared(pairs.sent, pairs.similarity), "a long, b long, similarity double")
+    return stored(compared, "left-over-links")
+
+
 def similar_links(docs: DataFrame, nodes: DataFrame, idf: np.ndarray, shingle: int, similarity: float) -> DataFrame:
-    """Links between nodes: all pairs of the small buckets, and of the large
-    ones every node with the leader of its bucket, until none is left over."""
+    """Links between nodes whose components are the classes: all links of the
+    small buckets, and of the large ones as many as join all that belongs
+    together."""
     pairs = _Pairs(docs, nodes, idf, shingle, similarity)
-    members = nodes.select("node", F.explode("bands").alias("key"))
-    links = None
-    while True:
-        sized = _sized(members)
-        small = sized.filter(F.col("n") <= PAIRED).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("own"))
-        spread = small.select("own", F.posexplode("own").alias("at", "a"))
-        paired = spread.select("a", F.explode(F.slice("own", F.col("at") + 2, F.size("own"))).alias("b"))
-        large = sized.filter(F.col("n") > PAIRED)
-        starred = _ordered(large, "node", "leader")
-        found = pairs.links(paired.unionByName(starred).distinct())
-        links = found if links is None else links.unionByName(found)
-        if large.isEmpty():
-            return links
-        # Nodes of a large bucket that no link joins to its leader go on.
-        roots = stored(components(links), "roots")
-        own = (large.filter(F.col("node") != F.col("leader")).join(roots, "node", "left")
-               .join(roots.select(F.col("node").alias("leader"), F.col("root").alias("leads")), "leader", "left"))
-        over = stored(own.filter("root is null or leads is null or root <> leads").select("key", "node"), "left-over")
-        if over.isEmpty():
-            return links
-        width = 2 * FINER_ROWS
-        finer = F.array(*[F.xxhash64("key", F.lit(j), F.substring("sig", 1 + (7 * j * width) % 128, width)) for j in range(FINER)])
-        members = over.join(nodes.select("node", "sig"), "node").select("node", F.explode(finer).alias("key"))
+    sized = _sized(nodes.select("node", F.explode("bands").alias("key")))
+    small = sized.filter(F.col("n") <= PAIRED).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("own"))
+    spread = small.select("own", F.posexplode("own").alias("at", "a"))
+    paired = spread.select("a", F.explode(F.slice("own", F.col("at") + 2, F.size("own"))).alias("b"))
+    large = sized.filter(F.col("n") > PAIRED)
+    links = pairs.links(paired.unionByName(_ordered(large, "node", "leader")).distinct())
+    more = _left_over_links(pairs, large, links)
+    return links if more is None else links.unionByName(more)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -82,10 +82,9 @@ def _cuts(points: DataFrame, nodes: list[dict], dims: int, unit: float) -> None:
 
 
 def kd_leaves(points: DataFrame, dims: int, shards: int) -> DataFrame:
-    """``points`` has a weight ``size`` and places p0, p1, ...; adds ``shard``."""
+    """``points`` has a weight ``size``, ``node`` 0 and places p0, p1, ...; adds ``shard``."""
     spark = points.sparkSession
     spread = [f for d in range(dims) for f in (F.min(f"p{d}").alias(f"lo{d}"), F.max(f"p{d}").alias(f"hi{d}"))]
-    points = points.withColumn("node", F.lit(0).cast("long"))
     span: list[int] = []
     room = {0: (0, shards)}  # node: its first shard, and how many it fills
     level, done = 0, {}
@@ -159,16 +158,16 @@ def kd_shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if shards is None:
         shards = max(1, math.ceil(total.w / target_bytes))
     lead = F.min(F.struct("doc_id", *[f"c{n}" for n in range(dims)])).alias("lead")
-    groups = (base.groupBy("same", "text_crc32", "size").agg(F.count("*").alias("copies"), lead)
-              .filter((F.col("copies") > 1) & (F.col("copies") * F.col("size") <= whole_share * total.w / shards))
-              .select("same", "text_crc32", "size", "lead"))
+    groups = stored(base.groupBy("same", "text_crc32", "size").agg(F.count("*").alias("copies"), lead)
+                    .filter((F.col("copies") > 1) & (F.col("copies") * F.col("size") <= whole_share * total.w / shards))
+                    .select("same", "text_crc32", "size", "lead"), "kd-groups")
     whole = F.col("lead").isNotNull()
     tie = F.when(whole, F.xxhash64("same")).otherwise(F.xxhash64("same", "doc_id"))
     low = F.col("tie").bitwiseAND(F.lit(2**LOW_BITS - 1))
     places = [(F.shiftleft(F.when(whole, F.col(f"lead.c{n}")).otherwise(F.col(f"c{n}")), LOW_BITS) + low).alias(f"p{n}")
               for n in range(dims)]
     points = stored(base.join(groups, ["same", "text_crc32", "size"], "left").withColumn("tie", tie)
-                    .select("doc_id", "size", "text_crc32", "tie", *places), "kd-points")
+                    .select("doc_id", "size", "text_crc32", "tie", F.lit(0).cast("long").alias("node"), *places), "kd-points")
     placed = stored(kd_leaves(points, dims, shards).select("doc_id", "size", "text_crc32", "tie", "shard"), "kd-placed")
     return _numbered(placed, total.n).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",

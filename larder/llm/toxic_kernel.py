@@ -319,3 +319,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     scored = given.mapInArrow(_scored(sent, "scored_"), f"{fields}, score double")
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
                          *[F.col(f"c{n}_").alias(c) for n, c in enumerate(carry)])
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  label_col: str = "toxic") -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, all columns unchanged."""
+    names = [f"d{n}_" for n in range(len(docs.columns))]
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                       *[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    own = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("toxic"))
+    return toxicity(rows, own, carry=tuple(names)).filter("predicted = 0").select(
+        *[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])

@@ -136,8 +136,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     html = F.coalesce(F.col(html_col), F.lit(""))
     given = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                          F.sha2(html, 256).alias("digest"), F.octet_length(html).cast("long").alias("bytes"))
-    firsts = (given.filter(F.col("bytes") >= least).groupBy("digest")
-              .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
+    firsts = stored(given.filter(F.col("bytes") >= least).groupBy("digest")
+                    .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "warc-firsts")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                         F.sha2(html, 256).alias("digest"), F.octet_length(html).cast("long").alias("bytes"),
                         html.alias("html_"))
