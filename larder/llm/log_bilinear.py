@@ -284,10 +284,10 @@ def fit(train: DataFrame, id_col: str = "doc_id") -> tuple[Vocabulary, Parameter
         if room < 0:
             break
         least = s
-    frequent = size >= least
-    head = sorted(((bytes(r.token), r.n) for r in counts.filter(frequent).collect()), key=lambda r: (r[0] != END, -r[1], r[0]))
-    if not head or head[0][0] != END:  # no training text
-        head.insert(0, (END, 0))
+    # The end is always in the table, with count 0 where there is no training text.
+    frequent = (size >= least) | (F.col("token") == F.lit(END))
+    head = {END: 0} | {bytes(r.token): r.n for r in counts.filter(frequent).collect()}
+    head = sorted(head.items(), key=lambda r: (r[0] != END, -r[1], r[0]))
     words = min(WORDS, len(head))
     tail = counts.filter(~frequent)
     mass = np.zeros(CLASSES)
@@ -345,7 +345,7 @@ def _score(sent, key: str):
                     base = v.base[at[known]].sum() - v.log_denominator * (~known).sum()
                     model = (scorer.log10(*contexts(unit, v.end), unit).sum() + v.inside[at[known]].sum()
                              - v.class_log[unit].sum())
-                    rows.append((doc.as_py(), out.as_py(), len(tokens), int(known.sum()), float(base), float(model),
+                    rows.append((doc.as_py(), out.as_py(), len(tokens), int((v.counts[at[known]] > 0).sum()), float(base), float(model),
                                  [{"token": t, "n": n} for t, n in others.items()]))
                 if len(classes) > COUNTED:
                     classes.clear()

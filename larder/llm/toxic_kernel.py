@@ -38,8 +38,8 @@ DECAY, SPAN, PART = 0.6, 6, 24
 #: Bounds of the training sample: labelled rows of each class, and characters of a text that is used for it.
 SAMPLE_ROWS, SAMPLE_CHARS = 1500, 20_000
 TOXIC_LANDMARKS, CLEAN_LANDMARKS, ROUNDS, PENALTY = 128, 128, 3, 3e-4
-#: A window tells toxic texts clearly from so many of them on, and from this log ratio on.
-CLEAR_TEXTS, CLEAR_ODDS = 3, 2.0
+#: A window tells toxic texts clearly from so many of them on (and this share of all), and from this log ratio on.
+CLEAR_TEXTS, CLEAR_SHARE, CLEAR_ODDS = 3, 0.01, 2.0
 CACHE = 500_000
 SENTENCE = re.compile(r"[.!?\n]+")
 SPELT = re.compile(r"(?<!\S)\S(?:\s\S){3,}(?!\S)")
@@ -128,20 +128,35 @@ def kernel(a: str, b: str) -> float:
     return sum(w * y.get(c, 0.0) for c, w in x.items())
 
 
-def _dense(strings: list[str]) -> np.ndarray:
-    out = np.zeros((1 << 18, len(strings)), dtype=np.float32)
-    for n, s in enumerate(strings):
-        for c, w in features(s).items():
-            out[c, n] += w
-    return out
-
-
-def _kernels(strings: list[str], landmarks: np.ndarray, known: dict[str, np.ndarray]) -> np.ndarray:
-    for s in strings:
-        if s not in known:
-            own = features(s)
-            known[s] = np.fromiter(own.values(), dtype=np.float32, count=len(own)) @ landmarks[np.array(list(own), dtype=np.int64)]
-    return np.array([known[s] for s in strings], dtype=float).reshape(len(strings), landmarks.shape[1])
+class Landmarks:
+    """The landmarks' subsequence vectors, kept for the subsequences they hold."""
+
+    def __init__(self, strings: list[str]) -> None:
+        vectors = [features(s) for s in strings]
+        self.codes = np.array(sorted(set().union(*vectors)), dtype=np.int64)
+        self.row = np.full(1 << 18, -1, dtype=np.int32)
+        self.row[self.codes] = np.arange(len(self.codes))
+        self.matrix = np.zeros((len(self.codes), len(strings)), dtype=np.float32)
+        for n, vector in enumerate(vectors):
+            for code, weight in vector.items():
+                self.matrix[self.row[code], n] += weight
+        self.known: dict[str, np.ndarray] = {}
+
+    def kernels(self, strings: list[str]) -> np.ndarray:
+        """Kernel values of each string with each landmark."""
+        for s in strings:
+            if s not in self.known:
+                own = features(s)
+                rows = self.row[np.fromiter(own, dtype=np.int64, count=len(own))]
+                weights = np.fromiter(own.values(), dtype=np.float32, count=len(own))
+                self.known[s] = weights[rows >= 0] @ self.matrix[rows[rows >= 0]]
+        return np.array([self.known[s] for s in strings], dtype=float).reshape(len(strings), self.matrix.shape[1])
+
+    def folded(self, gamma: np.ndarray) -> np.ndarray:
+        """One weight per subsequence: the sum of gamma times the landmarks."""
+        out = np.zeros(1 << 18, dtype=np.float32)
+        out[self.codes] = self.matrix @ gamma
+        return out
 
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> np.ndarray:
@@ -199,55 +214,57 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
     if len(set(labels)) < 2:
         sure = 40.0 if labels and labels[0] else -40.0
         return Machine(np.zeros(1 << 18, dtype=np.float32), 0.0, 1.0, -sure)
-    sentences = [[w for s in SENTENCE.split(t.lower()) if (w := windows(s))] for t in texts]
-    words = [sorted({w for s in doc for w in s}) for doc in sentences]
-    toxic, clean = Counter(), Counter()
-    for doc, label in zip(words, y, strict=True):
-        (toxic if label else clean).update(doc)
-    n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    odds = {w: np.log((n + 0.5) / (n1 + 1)) - np.log((clean[w] + 0.5) / (n0 + 1)) for w, n in toxic.items()}
-    strength = {w: o * np.sqrt(toxic[w]) for w, o in odds.items()}  # both sure and frequent
-    clear = {w for w, o in odds.items() if o > CLEAR_ODDS and toxic[w] >= CLEAR_TEXTS}
-    usable = [w for w in sorted(strength, key=lambda w: (-strength[w], w)) if len(features(w)) > 0][:4 * TOXIC_LANDMARKS]
-    common = sorted(clean, key=lambda w: (-clean[w], w))[:4 * CLEAN_LANDMARKS]
-    others = sorted(clean)
-    drawn = [others[i] for i in rng.choice(len(others), min(len(others), 2 * CLEAN_LANDMARKS), replace=False)] if others else []
-    landmarks = list(dict.fromkeys([w for w in usable if odds[w] > 0][:TOXIC_LANDMARKS]
-                                   + [w for w in common + drawn if features(w)][:CLEAN_LANDMARKS // 2]
-                                   + [w for w in drawn if features(w)][:CLEAN_LANDMARKS // 2]))
-    base = _dense(landmarks)
-    known: dict[str, np.ndarray] = {}
-    values, vectors = np.linalg.eigh(_kernels(landmarks, base, known))
-    keep = values > 1e-4 * max(values.max(), 1e-9)
+    place: dict[str, int] = {}  # windows by number
+    docs = [[np.array([place.setdefault(w, len(place)) for w in found], dtype=np.int32)
+             for sentence in SENTENCE.split(t.lower()) if (found := windows(sentence))] for t in texts]
+    every = list(place)
+    held = [np.unique(np.concatenate(doc)) if doc else np.empty(0, dtype=np.int32) for doc in docs]
+    count = lambda label: np.bincount(np.concatenate([h for h, n in zip(held, y, strict=True) if n == label]), minlength=len(every))
+    n1, n0 = int(y.sum()), int((1 - y).sum())
+    toxic, clean = count(1), count(0)
+    odds = np.log((toxic + 0.5) / (n1 + 1)) - np.log((clean + 0.5) / (n0 + 1))
+    strength = np.where(toxic > 0, odds * np.sqrt(toxic), -1.0)  # both sure and frequent
+    clear = (odds > CLEAR_ODDS) & (toxic >= max(CLEAR_TEXTS, CLEAR_SHARE * n1))
+    best = sorted(np.argsort(-strength, kind="stable")[:4 * TOXIC_LANDMARKS].tolist(), key=lambda i: (-strength[i], every[i]))
+    usable = [every[i] for i in best if odds[i] > 0 and toxic[i] and features(every[i])][:TOXIC_LANDMARKS]
+    common = sorted(np.argsort(-clean, kind="stable")[:4 * CLEAN_LANDMARKS].tolist(), key=lambda i: (-clean[i], every[i]))
+    seen = np.flatnonzero(clean)
+    drawn = rng.choice(seen, min(len(seen), 2 * CLEAN_LANDMARKS), replace=False).tolist()
+    half = CLEAN_LANDMARKS // 2
+    usual = [every[i] for i in common if clean[i] and features(every[i])][:half]
+    chance = [every[i] for i in drawn if features(every[i])][:half]
+    landmarks = list(dict.fromkeys([*usable, *usual, *chance]))
+    if not landmarks:  # no window is long enough for a subsequence
+        return Machine(np.zeros(1 << 18, dtype=np.float32), 0.0, 1.0, 40.0)
+    marks = Landmarks(landmarks)
+    values, vectors = np.linalg.eigh(marks.kernels(landmarks))
+    keep = values > 1e-4 * max(values.max(initial=0), 1e-9)
     whiten = vectors[:, keep] / np.sqrt(values[keep])
-    every = sorted({w for doc in words for w in doc})
-    place = {w: n for n, w in enumerate(every)}
-    score = np.array([strength.get(w, -1.0) for w in every])
+    score = strength.astype(float)
     machine, hard = Machine(np.zeros(1 << 18, dtype=np.float32), -1.0, 1.0, 0.0), []
     for _ in range(ROUNDS):
         positive, negative = Counter(), Counter()
-        for doc, label in zip(sentences, y, strict=True):
+        for doc, own, label in zip(docs, held, y, strict=True):
             if not doc:
                 continue
-            best = [max(s, key=lambda w: score[place[w]]) for s in doc]  # what each sentence offers
             if label:
-                shown = sorted({w for s in doc for w in s if w in clear}) or [max(best, key=lambda w: score[place[w]])]
-                for w in shown:
-                    positive[w] += 1 / len(shown)
+                shown = own[clear[own]] if clear[own].any() else own[[int(score[own].argmax())]]
+                for i in shown.tolist():
+                    positive[every[i]] += 1 / len(shown)
             else:
-                negative.update(sorted(best, key=lambda w: -score[place[w]])[:3])
-                negative.update(doc[int(rng.integers(len(doc)))][:2])
+                offer = np.array([s[int(score[s].argmax())] for s in doc])  # the highest window of each sentence
+                negative.update(every[i] for i in offer[np.argsort(-score[offer], kind="stable")[:3]].tolist())
+                negative.update(every[i] for i in doc[int(rng.integers(len(doc)))][:2].tolist())
         hard = sorted({*hard, *negative})
         strings = [*positive, *hard]
         side = np.array([1] * len(positive) + [-1] * len(hard))
         mass = np.array([*positive.values(), *(max(negative[w], 1) for w in hard)], dtype=float)
         for s in (1, -1):
-            mass[side == s] /= mass[side == s].sum()
-        beta = _machine(_kernels(strings, base, known) @ whiten, side, mass, PENALTY)
-        folded = (base @ (whiten @ beta[:-1])).astype(np.float32)
-        machine = Machine(folded, float(beta[-1]), 1.0, 0.0)
+            mass[side == s] /= max(mass[side == s].sum(), 1e-12)
+        beta = _machine(marks.kernels(strings) @ whiten, side, mass, PENALTY)
+        machine = Machine(marks.folded(whiten @ beta[:-1]), float(beta[-1]), 1.0, 0.0)
         score = machine.margins(every)
-    top = np.array([max((score[place[w]] for w in doc), default=-1.0) for doc in words])
+    top = np.array([score[h].max(initial=-1e9) if len(h) else machine.bias for h in held])
     share = n1 / len(y) if share is None else share
     weight = np.where(y == 1, share / n1, (1 - share) / n0) * len(y)
     machine.slope, machine.centre = _logistic(top, y, weight)
@@ -295,7 +312,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     # Bounded: two narrow columns of at most 2 * rows rows.
     found = (docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
              .filter(F.length("text_").between(1, SAMPLE_CHARS)).join(F.broadcast(chosen), "id_"))
-    pairs = sorted((r.text_, r.toxic_) for r in found.collect())
+    # Copies would make the words of one text look frequent.
+    pairs = sorted({(r.text_, r.toxic_) for r in found.collect()})
     total = sum(sizes.values())
     return pairs, sizes.get(1, 0) / total if total else 0.0
 

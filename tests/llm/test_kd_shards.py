@@ -58,7 +58,8 @@ def test_equal_texts_stay_together_unless_they_outweigh_a_shard(spark):
 
 
 def test_first_cut_is_the_weighted_median(spark):
-    values = [random.Random(4).randint(0, 10**6) for _ in range(500)]
+    rng = random.Random(4)
+    values = [rng.randint(0, 10**6) for _ in range(500)]
     points = spark.createDataFrame([(n, 1 + n % 13, v << 31, 0) for n, v in enumerate(values)], "doc_id long, size long, p0 long, node long")
     got = kd_shards.kd_leaves(points, 1, 2).collect()
     left = [r.p0 for r in got if r.shard == 0]

@@ -35,7 +35,7 @@ def test_folded_scores_are_kernel_sums():
     rng = random.Random(1)
     words = ["".join(rng.choice("abcdeé1-") for _ in range(rng.randint(1, 24))) for _ in range(80)]
     marks, gamma = words[:9], np.linspace(-1, 1, 9)
-    folded = (tk._dense(marks) @ gamma).astype(np.float32)
+    folded = tk.Landmarks(marks).folded(gamma)
     want = [sum(g * tk.kernel(w, m) for g, m in zip(gamma, marks, strict=True)) for w in words]
     assert np.allclose(tk.folded_scores(words, folded), want, atol=1e-4)
 
