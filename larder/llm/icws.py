@@ -220,7 +220,8 @@ class _Pairs:
     def features(self, nodes: DataFrame) -> DataFrame:
         """(node, f: its sorted shingles) of some nodes, stored."""
         wanted = stored(nodes.join(self.nodes.select("node", "row_id", "raw"), "node"), "near-nodes")
-        texts = self.docs.join(wanted, ["row_id", "raw"]).select("node", "text").dropDuplicates(["node"])
+        # Always by shuffle: few nodes would be broadcast and many not, so that cost would jump with the size.
+        texts = self.docs.join(wanted.hint("merge"), ["row_id", "raw"]).select("node", "text").dropDuplicates(["node"])
         return stored(texts.mapInArrow(_features(self.shingle), "node long, f array<long>"), "near-sets")
 
     def links(self, pairs: DataFrame) -> DataFrame:
@@ -336,25 +337,25 @@ def similar_links(docs: DataFrame, nodes: DataFrame, idf: np.ndarray, shingle: i
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of the nodes with links: root is the component's least
-    node.  Large and small stars take turns until nothing changes; the edges
-    stay in the shared folder and never reach the driver."""
+    node.  Large and small stars take turns until every edge leads to a root;
+    the edges stay in the shared folder and never reach the driver."""
     edges = stored(_ordered(links, "a", "b").select(F.col("b").alias("u"), F.col("a").alias("v")), "edges")
-    state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large.filter("u <> v"), "large-star")
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(low, "u")
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        large = both.join(least, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = stored(large, "large-star")
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         edges = stored(small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                                       F.struct("u", F.col("m").alias("v")))).alias("e"))
                        .select("e.u", "e.v").filter("u <> v").distinct(), "small-star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        roots = edges.select("v").distinct()
+        # Done when each node has one edge, to a node that has none to a smaller one.
+        uneven = edges.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").select("u").unionByName(
+            edges.select("u").join(roots, F.col("u") == F.col("v"), "left_semi"))
+        if uneven.isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        state = now
+                roots.select(F.col("v").alias("node"), F.col("v").alias("root")))
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
