@@ -13,11 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark import StorageLevel
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators.aggregates import attach_one_row
+from larder.operators.joins import size_checked_broadcast
+from larder.session import cut_lineage
 
 # Maximal runs of 2+ word characters (letters, numbers, underscore) — the
 # tokens of ``\b\w\w+\b`` with Python's notion of a word character.
@@ -77,6 +79,11 @@ def fit_vocabulary(tf: DataFrame, n_docs: DataFrame, key: str, max_df: float | i
     return vocab
 
 
+def english_stop_words() -> list[str]:
+    """Spark's own English list (the default of ``StopWordsRemover``)."""
+    return list(StopWordsRemover.loadDefaultStopWords("english"))
+
+
 def tfidf(docs: DataFrame, key: str, text: str, max_df: float | int = 1.0, min_df: float | int = 1,
           max_features: int | None = None, ngram_range=(1, 1), stop_words: Iterable[str] | None = None,
           vocab_broadcast_rows: int = 200_000) -> tuple[DataFrame, DataFrame]:
@@ -87,7 +94,7 @@ def tfidf(docs: DataFrame, key: str, text: str, max_df: float | int = 1.0, min_d
     join is a shuffle join on term, where AQE splits the hot terms."""
     # The term counts feed both the vocabulary fit and the weights: keep one
     # materialised copy instead of tokenising the corpus twice.
-    tf = term_counts(docs, key, text, ngram_range, stop_words).persist(StorageLevel.MEMORY_AND_DISK)
+    tf = cut_lineage(term_counts(docs, key, text, ngram_range, stop_words))
     n_docs = docs.agg(F.count(F.lit(1)).cast("long").alias("n"))
     vocab = fit_vocabulary(tf, n_docs, key, max_df, min_df, max_features)
     v = vocab.select("term", "idf")
@@ -99,16 +106,32 @@ def tfidf(docs: DataFrame, key: str, text: str, max_df: float | int = 1.0, min_d
     return weights, vocab
 
 
-def half_pair_sums(weights: DataFrame, key: str) -> DataFrame:
-    """(a, b, sim) for a < b sharing at least one term.  Both join sides read
-    one persisted copy of the weights; the per-term pair rows are summed
-    with a partial aggregate right after the join."""
-    w = weights.select(F.col(key).alias("k"), "term", "weight").persist(StorageLevel.MEMORY_AND_DISK)
-    x, y = w.alias("x"), w.alias("y")
-    return (x.join(y, F.col("x.term") == F.col("y.term"))
-            .where(F.col("x.k") < F.col("y.k"))
-            .groupBy(F.col("x.k").alias("a"), F.col("y.k").alias("b"))
-            .agg(F.sum(F.col("x.weight") * F.col("y.weight")).alias("sim")))
+def similar_pairs(weights: DataFrame, key: str, least: float) -> DataFrame:
+    """(a, b, sim) with a < b and cosine ``sim >= least`` > 0, exact, from
+    L2-normalised rows.
+
+    Each row's terms are put in order of rising document frequency.  The tail
+    of a row whose norm is below ``least`` cannot reach it alone, so two
+    similar rows share a term in both heads: only heads are joined.  Frequent
+    terms stand in the tails and meet nobody.  Candidates are then verified on
+    their full rows.  No term and no document is left out; the candidates are
+    few unless ``least`` is so low that the result itself is quadratic."""
+    if not 0 < least <= 1:
+        raise ValueError("the least similarity must be in (0, 1]")
+    w = cut_lineage(weights.select(F.col(key).alias("k"), "term", "weight"))
+    df = w.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    tail = Window.partitionBy("k").orderBy("df", "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # The slack keeps rows whose tail equals the bound but for rounding.
+    head = (w.join(df, "term").withColumn("tail", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(tail)))
+            .where(F.col("tail") >= least - 1e-9).select("k", "term"))
+    head = cut_lineage(head)
+    x, y = head.alias("x"), head.alias("y")
+    candidates = cut_lineage(x.join(y, (F.col("x.term") == F.col("y.term")) & (F.col("x.k") < F.col("y.k")))
+                             .select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct())
+    left = w.select(F.col("k").alias("a"), "term", F.col("weight").alias("wa"))
+    right = w.select(F.col("k").alias("b"), "term", F.col("weight").alias("wb"))
+    return (candidates.join(left, "a").join(right, ["b", "term"])
+            .groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")).where(F.col("sim") >= least))
 
 
 def mirror_pairs(half: DataFrame, value: str) -> DataFrame:
@@ -118,18 +141,7 @@ def mirror_pairs(half: DataFrame, value: str) -> DataFrame:
     return half.select(both.alias("p"), value).select("p.a", "p.b", value)
 
 
-def cosine_topk(weights: DataFrame, key: str, k: int) -> DataFrame:
-    """J8 + W3: for every document, its ``k`` most similar other documents
-    (similarity desc, then key) by the dot product of L2-normalised rows.
-
-    Pairs are generated only through shared terms (a self-join on term) and
-    summed with a map-side partial aggregate.  Each term emits df^2 pair
-    rows, so the vocabulary's ``max_df`` bounds the cost: with an absolute
-    ``max_df`` the pair rows are at most max_df times the postings — linear
-    in the data.  Documents sharing no term have similarity 0 and are not
-    listed."""
-    half = half_pair_sums(weights, key)
-    pairs = mirror_pairs(half, "sim")
+def _ranked(pairs: DataFrame, key: str, k: int) -> DataFrame:
     # Rank on the similarity rounded to 9 places so float summation order
     # cannot reorder exact ties (duplicate documents).
     w = Window.partitionBy("a").orderBy(F.desc(F.round("sim", 9)), F.asc("b"))
@@ -138,6 +150,25 @@ def cosine_topk(weights: DataFrame, key: str, k: int) -> DataFrame:
                     F.col("b").alias(f"similar_{key}"), "sim"))
 
 
+def cosine_topk(weights: DataFrame, key: str, k: int, least: float) -> DataFrame:
+    """J8 + W3: for every document, its ``k`` most similar other documents
+    (similarity desc, then key) among those with a cosine of at least
+    ``least``; see ``similar_pairs``."""
+    return _ranked(mirror_pairs(similar_pairs(weights, key, least), "sim"), key, k)
+
+
+def cosine_topk_of(weights: DataFrame, targets: DataFrame, key: str, k: int) -> DataFrame:
+    """V6: the ``k`` most similar other documents of the given targets (a
+    bounded set of keys), without a least similarity.  Only the targets' terms
+    meet the postings, so the cost is linear in the documents; documents that
+    share no term with a target are not listed."""
+    t = weights.join(F.broadcast(targets.select(key).distinct()), key).select(F.col(key).alias("a"), "term", F.col("weight").alias("wa"))
+    t = size_checked_broadcast(t)
+    pairs = (weights.select(F.col(key).alias("b"), "term", "weight").join(t, "term").where(F.col("a") != F.col("b"))
+             .groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("weight")).alias("sim")))
+    return _ranked(pairs, key, k)
+
+
 def centroid_top_terms(weights: DataFrame, labels: DataFrame, key: str, label: str, n_terms: int = 10) -> DataFrame:
     """Mean TF-IDF weight per (cluster, term) over all members
     (absent terms count as zero), top ``n_terms`` per cluster."""
@@ -146,3 +177,18 @@ def centroid_top_terms(weights: DataFrame, labels: DataFrame, key: str, label: s
     mean = sums.join(sizes, label).select(label, "term", (F.col("s") / F.col("size")).alias("weight"))
     w = Window.partitionBy(label).orderBy(F.desc(F.round("weight", 12)), F.asc("term"))
     return mean.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n_terms)
+
+
+def interpret_clusters(weights: DataFrame, labels: DataFrame, key: str, label: str, name_col: str, n_terms: int = 5,
+                       n_samples: int = 5, seed: int = 42) -> DataFrame:
+    """C13 + W4 + F19: per cluster its size, its ``n_terms`` strongest terms
+    joined by commas, and the names of ``n_samples`` members drawn by hash."""
+    size = labels.groupBy(label).agg(F.count(F.lit(1)).cast("long").alias("n_products"))
+    top = centroid_top_terms(weights, labels.select(key, label), key, label, n_terms)
+    joined = top.groupBy(label).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "term"))), lambda x: x["term"]),
+                                                 ", ").alias("top_terms"))
+    order = Window.partitionBy(label).orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))))
+    drawn = labels.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n_samples)
+    names = F.transform(F.sort_array(F.collect_list(F.struct("_r", F.coalesce(F.col(name_col), F.lit("?")).alias("n")))), lambda x: x["n"])
+    samples = drawn.groupBy(label).agg(F.array_join(names, "; ").alias("samples"))
+    return size.join(joined, label).join(samples, label)

@@ -34,8 +34,9 @@ def test_scan_is_pruned(spark):
     assert "ReadSchema" in plan and "p_retailprice" not in plan
 
 
-def test_similarity_reads_weights_once(spark):
-    df = entry.queries()["similar_documents"](spark, SF_SMALL)
-    df.count()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("InMemoryTableScan") >= 2  # both join sides read the persisted weights
+def test_similarity_joins_heads_only(spark):
+    from larder.operators.tfidf import similar_pairs
+    # 300 documents share one frequent term each and pair up on rare ones.
+    rows = [(d, t, w) for d in range(300) for t, w in (("common", 0.3), (f"rare{d // 2}", 0.9539392014169457))]
+    pairs = similar_pairs(spark.createDataFrame(rows, "k int, term string, weight double"), "k", 0.8)
+    assert sorted((r["a"], r["b"], round(r["sim"], 6)) for r in pairs.collect()) == [(2 * i, 2 * i + 1, 1.0) for i in range(150)]
