@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions import fixed
 from larder.functions import scoring as S
+from larder.operators.positions import position_index
 from larder.sources.tables import PRODUCT_SCHEMA
 
 # Raw product document as returned by the product API (nested nutriments).
@@ -91,10 +93,15 @@ def ingest_pages(spark: SparkSession, landing: str, existing: DataFrame | None =
 
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:
     """S3: CSV export read back with the explicit schema; an absent file
-    gives an empty frame rather than an error."""
+    gives an empty frame, any other error is raised.  Quotes inside a value
+    are doubled, as ``write_csv`` writes them; an empty quoted value is an
+    empty string and an unquoted one NULL."""
+    reader = spark.read.schema(PRODUCT_SCHEMA).options(header=True, escape='"', multiLine=True, emptyValue="", nullValue=None)
     try:
-        return spark.read.schema(PRODUCT_SCHEMA).option("header", True).csv(path)
-    except Exception:  # noqa: BLE001 - path missing
+        return reader.csv(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], PRODUCT_SCHEMA)
 
 
@@ -133,24 +140,24 @@ def refresh(existing: DataFrame, incoming: DataFrame, categories: Iterable[str]
 
     Full refresh: the new table is exactly the (de-duplicated) incoming rows.
     Category-scoped: rows of the refreshed categories are replaced by the
-    incoming rows of those categories; other categories are untouched — the
-    DataFrame form of a dynamic partition overwrite."""
+    incoming rows of those categories.  Other categories are untouched, but
+    for products that have moved into a refreshed one: a key stays unique."""
     cats = list(categories or [])
     inc = incoming.where(F.col("category_searched").isin(cats)) if cats else incoming
     fresh = latest_per_key(inc, key, order_cols)
     if full_refresh:
         return fresh
     refreshed = fresh.select("category_searched").distinct()
-    others = existing.join(refreshed, "category_searched", "left_anti")
+    others = (existing.join(refreshed, "category_searched", "left_anti")
+              .join(fresh.select(key), key, "left_anti"))
     return others.unionByName(fresh.select(*existing.columns))
 
 
 def write_catalogue(df: DataFrame, path: str, dynamic: bool = True) -> None:
     """S5 sink: Parquet partitioned by category; dynamic partition overwrite
     replaces only the categories present in ``df``."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
-    df.write.mode("overwrite").partitionBy("category_searched").parquet(path)
+    mode = "dynamic" if dynamic else "static"
+    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("category_searched").parquet(path)
 
 
 def update_log(df: DataFrame) -> DataFrame:
@@ -161,8 +168,8 @@ def update_log(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV export with a header."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV export with a header; see ``read_products_csv``."""
+    df.write.mode("overwrite").options(header=True, escape='"', emptyValue='""').csv(path)
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
@@ -170,19 +177,17 @@ def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def dedupe_window(df: DataFrame, key: str, order_cols: Iterable[str]) -> DataFrame:
-    """W5 alternative with ``row_number`` (keeps all columns, NULL-safe keys)."""
-    w = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order_cols])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def land_pages(products: DataFrame, landing: str, page_size: int = 50) -> None:
     """Write products as raw nested JSON documents into
     ``landing/category=<c>/page=<n>/`` (the shape the harvest receives), so
     ingest can be exercised from tables.  Page numbers follow key order
-    within a category: ``floor(rank / page_size) + 1``."""
-    w = Window.partitionBy("category_searched").orderBy("code")
-    raw = products.select(
+    within a category: ``floor(rank / page_size) + 1``.  Ranks are positions
+    in a range-partitioned sort less the category's first position, so a
+    category that holds most rows is numbered by many tasks."""
+    placed = position_index(products, ["category_searched", "code"])
+    firsts = placed.groupBy("category_searched").agg(F.min("pos").alias("first"))
+    ranked = placed.join(firsts, placed["category_searched"].eqNullSafe(firsts["category_searched"])).drop(firsts["category_searched"])
+    raw = ranked.select(
         F.col("code").cast("string").alias("code"), "product_name", F.col("brand").alias("brands"),
         "nova_group", "ingredients_text",
         F.struct(F.col("sugar_100g").cast("string").alias("sugars_100g"),
@@ -190,7 +195,7 @@ def land_pages(products: DataFrame, landing: str, page_size: int = 50) -> None:
                  F.col("fat_100g").cast("string").alias("fat_100g")).alias("nutriments"),
         F.col("countries_sold").alias("countries"),
         F.col("category_searched").alias("category"),
-        (F.floor((F.row_number().over(w) - 1) / page_size) + 1).cast("int").alias("page"))
+        (F.floor((F.col("pos") - F.col("first")) / page_size) + 1).cast("int").alias("page"))
     raw.write.mode("overwrite").partitionBy("category", "page").json(landing)
 
 

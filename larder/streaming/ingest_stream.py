@@ -1,10 +1,13 @@
 """Incremental ingest with upsert, as a Structured Streaming job.
 
-``readStream`` (explicit schema) -> clean -> ``foreachBatch`` upsert into a
-versioned Parquet table.  Each micro-batch writes version ``v<batchId>`` from
-the previous version plus the batch, so a retried batch (same id after a
-failure) rewrites the same version: the sink is idempotent and the streaming
-checkpoint makes the whole job restartable after executor or driver loss.
+``readStream`` (explicit schema) -> clean -> ``foreachBatch`` appends the
+batch's latest row per key to a change log, one partition folder per batch.
+The table is the latest row per key over the log (``latest_per_key`` is
+associative and commutative, so late rows and any split into batches give the
+same table).  A micro-batch writes its own rows only and never rewrites what
+other batches have written; a batch that is replayed after a failure
+overwrites its own folder, so the sink is idempotent, and the streaming
+checkpoint makes the job restartable after executor or driver loss.
 ``trigger(availableNow=True)`` processes everything landed so far and stops.
 """
 
@@ -14,75 +17,51 @@ import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from larder.session import ensure_checkpoint_dir
-from larder.sources.ingest import latest_per_key, upsert
+from larder.sources.ingest import latest_per_key
 
 
-def _versions(spark: SparkSession, table: str) -> list[int]:
-    """Committed versions (folders ``v<n>`` holding ``_SUCCESS``), listed via
-    the Hadoop FileSystem of the path, so shared cluster storage works."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("v") and name[1:].isdigit() and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[1:]))
-    return sorted(out)
+def run_upsert_stream(source: DataFrame, log: str, key: str, order_cols: Iterable[str], checkpoint: str,
+                      clean: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Drive ``source`` (a streaming DataFrame) to completion with an
+    availableNow trigger, logging the latest row per key of every batch."""
+    order_cols = list(order_cols)
 
+    def log_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = latest_per_key(clean(batch) if clean else batch, key, order_cols)
+        (rows.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(log))
 
-def latest_version_path(spark: SparkSession, table: str) -> str | None:
-    """Path of the newest committed version."""
-    vs = _versions(spark, table)
-    return f"{table}/v{vs[-1]}" if vs else None
+    query = (source.writeStream.foreachBatch(log_batch).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
 
 
-def run_upsert_stream(spark: SparkSession, source: DataFrame, table: str, key: str, order_cols: Iterable[str],
-                      checkpoint: str, clean: Callable[[DataFrame], DataFrame] | None = None) -> str:
-    """Drive ``source`` (a streaming DataFrame) to completion with an
-    availableNow trigger, upserting every micro-batch into ``table``;
-    returns the path of the final table version."""
-    order_cols = list(order_cols)
+def current_table(spark: SparkSession, log: str, key: str, order_cols: Iterable[str]) -> DataFrame:
+    """The table that the log describes: the latest row per key."""
+    return latest_per_key(spark.read.parquet(log).drop("_batch"), key, order_cols)
 
-    def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = clean(batch) if clean else batch
-        prev = latest_version_path(batch.sparkSession, table)
-        target = f"{table}/v{batch_id}"
-        if prev and prev.endswith(f"/v{batch_id}"):
-            return  # this batch already committed (replay after a failure)
-        if prev:
-            current = batch.sparkSession.read.parquet(prev)
-            new = upsert(current, rows.select(*current.columns), key, order_cols)
-        else:
-            new = latest_per_key(rows, key, order_cols)
-        new.write.mode("overwrite").parquet(target)
 
-    q = (source.writeStream.foreachBatch(upsert_batch)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    out = latest_version_path(spark, table)
-    if out is None:
-        raise RuntimeError("stream produced no table version")
-    return out
+def compact(spark: SparkSession, log: str, target: str, key: str, order_cols: Iterable[str]) -> None:
+    """Write the current table as the first batch of a new log, so that a long
+    log is read once; the caller points the next stream to ``target``."""
+    table = current_table(spark, log, key, order_cols)
+    table.withColumn("_batch", F.lit(-1)).write.mode("overwrite").partitionBy("_batch").parquet(target)
 
 
-def stream_latest_events(spark: SparkSession, sf_dir: str, schema: StructType | None = None) -> DataFrame:
+def stream_latest_events(spark: SparkSession, sf_dir: str, schema: StructType | None = None, files: int = 6) -> DataFrame:
     """Latest event per user, maintained incrementally from the ``events``
-    table read as a file stream; equals the batch ``latest_per_key``."""
+    table.  The table is landed as ``files`` files that are dealt by hash, so
+    every micro-batch (one file each) holds rows older than those already
+    logged; the result equals the batch ``latest_per_key``."""
     base = ensure_checkpoint_dir(spark)
     run = f"{base.rstrip('/')}/larder-stream-{uuid.uuid4().hex}"
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = schema or spark.read.parquet(path).schema
-    # The table is one file: a file stream watches a folder or a glob, so the
-    # file is named by a glob that matches exactly it.
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path[:-1] + "[t]")
-           .select("user_id", "event_id", "ts", "event_type", "value"))
-    final = run_upsert_stream(spark, src, f"{run}/table", "user_id", ["ts", "event_id"], f"{run}/checkpoint")
-    return spark.read.parquet(final)
+    columns = ["user_id", "event_id", "ts", "event_type", "value"]
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select(*columns)
+    events.repartition(files, F.xxhash64("event_id")).write.parquet(f"{run}/landed")
+    source = (spark.readStream.schema(schema or events.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/landed"))
+    run_upsert_stream(source, f"{run}/log", "user_id", ["ts", "event_id"], f"{run}/checkpoint")
+    return current_table(spark, f"{run}/log", "user_id", ["ts", "event_id"])
