@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import fixed
 from larder.functions import text as X
+from larder.operators.positions import exact_quantiles
 
 
 def ingredient_frequency(df: DataFrame, text_col: str = "ingredients_text", parser=None) -> DataFrame:
@@ -50,15 +51,16 @@ def dashboard_kpis(scored: DataFrame) -> DataFrame:
 
 
 def category_stats(scored: DataFrame, category_col: str = "category_searched") -> DataFrame:
-    """A6 for every category at once; the cleanest product is the name of the
+    """A6 for every category at once, means rounded for display (F18: one
+    decimal for scores, two for nutrients); the cleanest product is the name of the
     lowest-scoring row, ties broken by code."""
     return scored.groupBy(category_col).agg(
         F.count(F.lit(1)).cast("long").alias("product_count"),
-        F.avg("processing_score").alias("avg_processing_score"),
+        F.round(F.avg("processing_score"), 1).alias("avg_processing_score"),
         F.min("processing_score").alias("min_processing_score"),
         F.max("processing_score").alias("max_processing_score"),
-        F.avg("sugar_100g").alias("avg_sugar"),
-        F.avg("salt_100g").alias("avg_salt"),
+        F.round(F.avg("sugar_100g"), 2).alias("avg_sugar"),
+        F.round(F.avg("salt_100g"), 2).alias("avg_salt"),
         F.min_by("product_name", F.struct("processing_score", "code")).alias("cleanest_product"),
     )
 
@@ -87,20 +89,16 @@ def crosstab(df: DataFrame, row_col: str, col_col: str, values: Sequence[str], p
 
 
 def nutrient_stats(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Mean, median, min, max and sample std per nutrient; one aggregate
-    pass, then unpivoted with ``stack``.  Columns absent from the input are
-    skipped, as are columns without any value."""
+    """Mean, median, min, max and sample std per nutrient.  The columns
+    are unpivoted, so moments are one aggregate and medians one distributed
+    quantile pass.  Columns absent from the input are skipped, as are columns
+    without any value."""
     cols = [c for c in cols if c in df.columns]
-    aggs = []
-    for c in cols:
-        aggs += [F.avg(c).alias(f"{c}__mean"), F.median(c).alias(f"{c}__median"),
-                 F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max"),
-                 F.stddev_samp(c).alias(f"{c}__std"), F.count(c).alias(f"{c}__n")]
-    wide = df.agg(*aggs)
-    stack_args = ", ".join(
-        f"'{c}', `{c}__mean`, `{c}__median`, `{c}__min`, `{c}__max`, `{c}__std`, `{c}__n`" for c in cols)
-    long = wide.selectExpr(f"stack({len(cols)}, {stack_args}) as (nutrient, mean, median, min, max, std, n_present)")
-    return long.where(F.col("n_present") > 0).drop("n_present")
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("nutrient"), F.col(c).cast("double").alias("v")) for c in cols]))
+                     .alias("x")).select("x.nutrient", "x.v").where(F.col("v").isNotNull())
+    moments = long.groupBy("nutrient").agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"))
+    middle = exact_quantiles(long, ["nutrient"], "v", [0.5])
+    return moments.join(middle, "nutrient").select("nutrient", "mean", F.col("q")[0].alias("median"), "min", "max", "std")
 
 
 def salt_comparison(df: DataFrame) -> DataFrame:
@@ -118,17 +116,18 @@ def salt_comparison(df: DataFrame) -> DataFrame:
 
 def box_stats(df: DataFrame, group_col: str, value_col: str, exact: bool = True) -> DataFrame:
     """Quartiles (linear interpolation), 1.5*IQR fences and outlier count
-    per group.  ``exact=False`` uses ``percentile_approx`` (bounded memory per
-    group) for very large groups."""
+    per group.  Exact quantiles come from counted values in a distributed
+    sort; ``exact=False`` uses ``percentile_approx`` instead."""
     v = F.col(value_col)
+    shares = [0.25, 0.5, 0.75]
     if exact:
-        q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        found = exact_quantiles(df, [group_col], value_col, shares)
     else:
-        q = F.percentile_approx(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000)
-    quart = (df.where(v.isNotNull()).groupBy(group_col)
-             .agg(q.alias("_q"), F.count(v).cast("long").alias("n"), F.min(v).alias("min"), F.max(v).alias("max"))
-             .select(group_col, "n", "min", "max", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                     F.col("_q")[2].alias("q3")))
+        found = df.where(v.isNotNull()).groupBy(group_col).agg(
+            F.percentile_approx(v, F.array(*map(F.lit, shares)), 10000).alias("q"), F.count(v).cast("long").alias("n"),
+            F.min(v).alias("min"), F.max(v).alias("max"))
+    quart = found.select(group_col, "n", "min", "max", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+                         F.col("q")[2].alias("q3"))
     quart = (quart.withColumn("iqr", F.col("q3") - F.col("q1"))
              .withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr"))
              .withColumn("upper_fence", F.col("q3") + 1.5 * F.col("iqr")))

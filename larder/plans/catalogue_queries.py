@@ -80,14 +80,14 @@ def q_parse_basic(spark, sf_dir):
 
 # --- F5 / E1 naive split and ingredient sequences ----------------------------------
 @register("ingredient_sequences", with_catalogue("""
-, pieces as (select code, lower(trim(unnest(string_split(ingredients_text, ',')), E' \\t\\n\\r')) as ingredient
-             from catalogue where ingredients_text is not null and ingredients_text <> ''),
-  seqs as (select code, count(*) filter (where ingredient <> '') as n_items,
-                  string_agg(ingredient, '|') filter (where ingredient <> '') as seq from pieces group by code)
-select code, cast(n_items as bigint) as n_items from seqs where n_items >= 2"""))
+, seqs as (select code, list_filter(list_transform(string_split(ingredients_text, ','), lambda x: lower(trim(x, E' \\t\\n\\r'))),
+                                    lambda x: x <> '') as s
+           from catalogue where ingredients_text is not null and ingredients_text <> '')
+select code, cast(unnest(range(0, len(s))) as integer) as pos, unnest(s) as ingredient from seqs where len(s) >= 2"""))
 def q_ingredient_sequences(spark, sf_dir):
+    """E1 + F5: every item of every sequence in its place."""
     from larder.operators.pairs import ingredient_sequences
-    return ingredient_sequences(catalogue(spark, sf_dir)).select("code", F.size("sequence").cast("long").alias("n_items"))
+    return ingredient_sequences(catalogue(spark, sf_dir)).select("code", F.posexplode("sequence").alias("pos", "ingredient"))
 
 
 # --- F6 ingredient count -------------------------------------------------------------
