@@ -15,11 +15,6 @@ from __future__ import annotations
 INGREDIENT_SPLIT_PATTERN = r"(?U),\s*+(?![^()]*+\))"
 # Equivalent split for texts without any ')': the look-ahead can never fail.
 PLAIN_SPLIT_PATTERN = r"(?U),\s*+"
-# Zero-width cut after every parenthesis, and the private-use marker that
-# stands for a splitting comma in the linear tokeniser.
-PAREN_CUT_PATTERN = r"(?<=[()])"
-SPLIT_MARK = "\ue000"
-REGEX_SPLIT_MAX_CHARS = 2000
 
 # Unicode-aware trim (Python str.strip semantics).
 UNICODE_TRIM_PATTERN = r"(?U)^\s+|\s+$"
@@ -126,7 +121,6 @@ SUGGESTION_PALM_OIL = "Contains palm oil - consider products with other vegetabl
 WHY_UPF_DEFAULT = "Contains multiple E-numbers or additives."
 
 # Healthiness score (F15) weights and caps.
-HEALTH_WEIGHTS = {"ingredients": 0.40, "nova": 0.30, "e_numbers": 0.20, "additives": 0.10}
 HEALTH_INGREDIENT_CAP = 20
 HEALTH_E_NUMBER_CAP = 10
 HEALTH_ADDITIVE_CAP = 5
@@ -144,7 +138,6 @@ CONCENTRATE_CATEGORY = "Soup"
 IRELAND_ILIKE: tuple[str, ...] = ("%Ireland%", "%en:ie%")
 IRELAND_TOKENS: tuple[str, ...] = ("ireland", "ie")
 # Biscuit subset.
-BISCUIT_PATTERN = "biscuit|cookie|cracker"
 
 # Dashboard KPI thresholds (A2).
 HIGH_SUGAR_THRESHOLD = 10.0
@@ -161,7 +154,6 @@ SEARCH_CATEGORIES: tuple[str, ...] = (
 RELEVANCE_SAME_CATEGORY = 3
 RELEVANCE_SIMILAR_NOVA = 2
 SAME_CATEGORY_LIMIT = 10
-SIMILAR_NOVA_POOL = 20
 SIMILAR_NOVA_LIMIT = 15
 DISSIMILAR_THRESHOLD = 0.7
 

@@ -61,11 +61,14 @@ def nova_points(nova, numeric: bool = False) -> Column:
 
 def processing_score(nova, text, numeric_nova: bool = False) -> Column:
     """NOVA points + min(5*E, 30) + min(6*additives, 30), capped at 100."""
-    e = e_number_count(text)
-    a = F.size(concerning_additives(text))
+    return score_of_counts(nova, e_number_count(text), F.size(concerning_additives(text)), numeric_nova)
+
+
+def score_of_counts(nova, e_numbers: Column, n_additives: Column, numeric_nova: bool = False) -> Column:
+    """F10 from counts that are already columns, without reading the text again."""
     total = (nova_points(nova, numeric_nova)
-             + F.least(e * fixed.E_NUMBER_POINTS, F.lit(fixed.E_NUMBER_CAP))
-             + F.least(a * fixed.ADDITIVE_POINTS, F.lit(fixed.ADDITIVE_CAP)))
+             + F.least(e_numbers * fixed.E_NUMBER_POINTS, F.lit(fixed.E_NUMBER_CAP))
+             + F.least(n_additives * fixed.ADDITIVE_POINTS, F.lit(fixed.ADDITIVE_CAP)))
     return F.least(total, F.lit(fixed.SCORE_CAP))
 
 

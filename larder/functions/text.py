@@ -14,6 +14,14 @@ from pyspark.sql import functions as F
 from larder.functions import fixed
 
 
+# The linear tokeniser cuts after every parenthesis and marks the commas that
+# split with a private-use character; texts of up to so many characters take
+# the one regex, which is faster there and gives the same items.
+PAREN_CUT_PATTERN = r"(?<=[()])"
+SPLIT_MARK = "\ue000"
+REGEX_SPLIT_MAX_CHARS = 2000
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -36,15 +44,15 @@ def tokenize(text) -> Column:
     # with ')'; every other comma becomes a split mark.  Without any ')' the
     # plain split is already the answer; a text that contains the mark
     # itself falls back to the regex.
-    segments = F.split(t, fixed.PAREN_CUT_PATTERN)
+    segments = F.split(t, PAREN_CUT_PATTERN)
     marked = F.array_join(F.transform(segments, lambda seg: F.when(seg.endswith(")"), seg).otherwise(
-        F.replace(seg, F.lit(","), F.lit(fixed.SPLIT_MARK)))), "")
+        F.replace(seg, F.lit(","), F.lit(SPLIT_MARK)))), "")
     regex = F.split(t, fixed.INGREDIENT_SPLIT_PATTERN)
     # Short texts (ingredient lists) are split faster by the single regex,
     # whose rescans are bounded by the text length; long texts go linear.
     parts = (F.when(~t.contains(")"), F.split(t, fixed.PLAIN_SPLIT_PATTERN))
-             .when((F.length(t) <= fixed.REGEX_SPLIT_MAX_CHARS) | t.contains(fixed.SPLIT_MARK), regex)
-             .otherwise(F.split(marked, fixed.SPLIT_MARK)))
+             .when((F.length(t) <= REGEX_SPLIT_MAX_CHARS) | t.contains(SPLIT_MARK), regex)
+             .otherwise(F.split(marked, SPLIT_MARK)))
     return F.filter(F.transform(parts, unicode_trim), lambda x: x != "")
 
 

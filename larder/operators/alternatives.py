@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from larder.functions import fixed
 from larder.functions import scoring as S
 from larder.functions import text as X
-from larder.operators.joins import size_checked_broadcast
+from larder.operators.joins import BROADCAST_BYTES, size_checked_broadcast
 
 GLOBAL_SCOPE = "\u0000all"
 
@@ -51,7 +51,7 @@ def scope_shortlists(cands: DataFrame, scope: str, exclude_key: str, order: list
 def healthier_alternatives(scored: DataFrame, top_n: int = 3, same_category_only: bool = True,
                            key: str = "code", name_col: str = "product_name",
                            category_col: str = "category_searched", score_col: str = "processing_score",
-                           broadcast_max_rows: int = 50_000, targets: DataFrame | None = None) -> DataFrame:
+                           broadcast_max_bytes: int = BROADCAST_BYTES, targets: DataFrame | None = None) -> DataFrame:
     """J1 + J2 + W1 (+ J3 when ``same_category_only`` is False) for every
     product: rows (code, rank, alt_*) with the best ``top_n`` candidates of
     strictly lower score, or of equal-or-lower score when none is strictly
@@ -92,7 +92,7 @@ def healthier_alternatives(scored: DataFrame, top_n: int = 3, same_category_only
     if targets is not None:
         prod = prod.join(targets.select(F.col(key).alias("k")).distinct(), "k", "left_semi")
     if same_category_only:
-        joined = prod.join(size_checked_broadcast(shortlist, broadcast_max_rows), "scope", "left")
+        joined = prod.join(size_checked_broadcast(shortlist, broadcast_max_bytes), "scope", "left")
     else:
         # One global shortlist (<= 2N entries): a scalar subquery, no join.
         from larder.operators.aggregates import attach_one_row
@@ -147,12 +147,11 @@ def root_category_map(roots: DataFrame, categories: DataFrame) -> DataFrame:
     return hit.unionByName(empty).distinct()
 
 
-def better_alternatives(features: DataFrame, top_n: int = 10, key: str = "code",
-                        broadcast_max_rows: int = 50_000) -> DataFrame:
-    """M11 for every product: candidates whose category text contains the
-    product's root category (case-insensitive), sold in Ireland, other code,
-    strictly lower healthiness score; best ``top_n`` by improvement (then code),
-    with improvement, percentage and the explanation text.
+def _picked_alternatives(features: DataFrame, top_n: int, key: str, broadcast_max_bytes: int) -> DataFrame:
+    """Every product (t, t_score, t_cnt, t_nova, t_e) with the array of its
+    best candidates: their category text contains the product's root category
+    (case-insensitive), they are sold in Ireland, have another code and a
+    strictly lower healthiness score; ordered by improvement, then code.
 
     ``features`` needs: code, product_name, categories_en, countries_sold,
     ingredient_count, nova_int, e_numbers, n_additives, healthiness_score."""
@@ -166,14 +165,22 @@ def better_alternatives(features: DataFrame, top_n: int = 10, key: str = "code",
                      F.col("product_name").alias("name"), "ingredient_count", "nova_int", "e_numbers"))
     shortlist = scope_shortlists(cands, "root", "k", ["score", "k"], top_n,
                                  ["name", "ingredient_count", "nova_int", "e_numbers"])
-    shortlist = size_checked_broadcast(shortlist, broadcast_max_rows)
+    shortlist = size_checked_broadcast(shortlist, broadcast_max_bytes)
     tgt = f.select(F.col(key).alias("t"), "root", F.col("healthiness_score").alias("t_score"),
                    F.col("ingredient_count").alias("t_cnt"), F.col("nova_int").alias("t_nova"),
                    F.col("e_numbers").alias("t_e"))
     j = tgt.join(shortlist, "root", "left")
     picked = F.slice(F.filter(F.coalesce(F.col("shortlist"), F.array()),
                               lambda c: (c["k"] != F.col("t")) & (c["score"] < F.col("t_score"))), 1, top_n)
-    out = j.select("t", "t_score", "t_cnt", "t_nova", "t_e", F.posexplode(picked).alias("pos", "a"))
+    return j.select("t", "t_score", "t_cnt", "t_nova", "t_e", picked.alias("picked"))
+
+
+def better_alternatives(features: DataFrame, top_n: int = 10, key: str = "code",
+                        broadcast_max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """M11 for every product (see ``_picked_alternatives``): rank, improvement,
+    percentage (one decimal, F18) and the explanation text."""
+    picked = _picked_alternatives(features, top_n, key, broadcast_max_bytes)
+    out = picked.select("t", "t_score", "t_cnt", "t_nova", "t_e", F.posexplode("picked").alias("pos", "a"))
     d = lambda c: F.coalesce(c, F.lit(fixed.HEALTH_DEFAULT_INGREDIENTS))
     return out.select(
         F.col("t").alias("code"), (F.col("pos") + 1).cast("long").alias("rank"),
@@ -181,7 +188,7 @@ def better_alternatives(features: DataFrame, top_n: int = 10, key: str = "code",
         F.col("a.ingredient_count").alias("alt_ingredient_count"), F.col("a.nova_int").alias("alt_nova"),
         F.col("a.score").alias("alt_healthiness"),
         (F.col("t_score") - F.col("a.score")).alias("improvement"),
-        F.try_divide((F.col("t_score") - F.col("a.score")) * 100.0, F.col("t_score")).alias("improvement_pct"),
+        F.round(F.try_divide((F.col("t_score") - F.col("a.score")) * 100.0, F.col("t_score")), 1).alias("improvement_pct"),
         S.explanation(d(F.col("t_cnt")), d(F.col("a.ingredient_count")),
                       F.coalesce(F.col("t_nova"), F.lit(fixed.HEALTH_DEFAULT_NOVA)),
                       F.coalesce(F.col("a.nova_int"), F.lit(fixed.HEALTH_DEFAULT_NOVA)),
@@ -189,25 +196,27 @@ def better_alternatives(features: DataFrame, top_n: int = 10, key: str = "code",
     )
 
 
-def health_improvement(features: DataFrame, alternatives: DataFrame, key: str = "code") -> DataFrame:
-    """Per target with alternatives, target minus the mean of its top-k
+def health_improvement(features: DataFrame, top_n: int = 10, key: str = "code",
+                       broadcast_max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Per target with alternatives, target minus the mean of its top-n
     alternatives (ingredients, NOVA, E-numbers) and the mean improvement;
-    then the mean over targets.  ``n_tested`` counts every target."""
-    t = features.select(F.col(key).alias("code"),
-                        F.coalesce(F.col("ingredient_count"), F.lit(fixed.HEALTH_DEFAULT_INGREDIENTS)).alias("t_cnt"),
-                        F.coalesce(F.col("nova_int"), F.lit(fixed.HEALTH_DEFAULT_NOVA)).alias("t_nova"),
-                        F.col("e_numbers").alias("t_e"))
-    a = alternatives.select("code", "alt_code", "improvement", "alt_ingredient_count", "alt_nova")
-    e = features.select(F.col(key).alias("alt_code"), F.col("e_numbers").alias("alt_e"))
-    per = (a.join(e, "alt_code").groupBy("code")
-           .agg(F.avg(F.coalesce("alt_ingredient_count", F.lit(fixed.HEALTH_DEFAULT_INGREDIENTS))).alias("m_cnt"),
-                F.avg(F.coalesce("alt_nova", F.lit(fixed.HEALTH_DEFAULT_NOVA))).alias("m_nova"),
-                F.avg("alt_e").alias("m_e"), F.avg("improvement").alias("m_imp"))
-           .join(t, "code"))
-    summary = per.agg(F.avg(F.col("t_cnt") - F.col("m_cnt")).alias("avg_ingredient_reduction"),
-                      F.avg(F.col("t_nova") - F.col("m_nova")).alias("avg_nova_improvement"),
-                      F.avg(F.col("t_e") - F.col("m_e")).alias("avg_e_number_reduction"),
-                      F.avg("m_imp").alias("avg_score_improvement"))
-    n = t.agg(F.count(F.lit(1)).cast("long").alias("n_tested"))
-    from larder.operators.aggregates import attach_one_row
-    return attach_one_row(summary, n)
+    then the mean over targets.  ``n_tested`` counts every target.  The means
+    are taken inside each target's array of alternatives, so nothing is
+    joined or shuffled on the few products that everyone is pointed to."""
+    picked = _picked_alternatives(features, top_n, key, broadcast_max_bytes)
+    cnt, nova = F.lit(fixed.HEALTH_DEFAULT_INGREDIENTS), F.lit(fixed.HEALTH_DEFAULT_NOVA)
+
+    def mean(value):
+        # NULL values are left out, as in avg().
+        values = F.filter(F.transform("picked", value), lambda v: v.isNotNull())
+        total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v.cast("double"))
+        return F.when(F.size("picked") > 0, F.try_divide(total, F.size(values)))
+
+    per = picked.select(
+        (F.coalesce("t_cnt", cnt) - mean(lambda a: F.coalesce(a["ingredient_count"], cnt))).alias("d_cnt"),
+        (F.coalesce("t_nova", nova) - mean(lambda a: F.coalesce(a["nova_int"], nova))).alias("d_nova"),
+        (F.col("t_e") - mean(lambda a: a["e_numbers"])).alias("d_e"),
+        mean(lambda a: F.col("t_score") - a["score"]).alias("d_score"))
+    return per.agg(F.avg("d_cnt").alias("avg_ingredient_reduction"), F.avg("d_nova").alias("avg_nova_improvement"),
+                   F.avg("d_e").alias("avg_e_number_reduction"), F.avg("d_score").alias("avg_score_improvement"),
+                   F.count(F.lit(1)).cast("long").alias("n_tested"))

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions import fixed
 from larder.operators.aggregates import attach_one_row, value_counts
+from larder.operators.joins import size_checked_broadcast
+from larder.operators.tfidf import term_counts
+from larder.session import cut_lineage
 
 
 def _hash_order(seed: int, key: str):
@@ -75,14 +77,26 @@ def relevance(products: DataFrame, scenarios: DataFrame, key: str = "code", name
     same = _first_k(same, ["scenario_id"], [F.col(key)], fixed.SAME_CATEGORY_LIMIT) \
         .select("scenario_id", F.col(name_col).alias("item")).distinct() \
         .withColumn("rel", F.lit(fixed.RELEVANCE_SAME_CATEGORY))
-    cat_names = named.select(F.col(category_col).alias("test_category"), F.col(name_col).alias("_n")).distinct()
-    sim = (named.join(sc, named[nova_col] == sc["test_nova"])
-           .where(~(sc["test_product"].isNotNull() & (F.col(name_col) == sc["test_product"]))))
-    sim = sim.join(cat_names, (sim["test_category"] == cat_names["test_category"]) & (sim[name_col] == cat_names["_n"]),
-                   "left_anti")
-    sim = _first_k(sim, ["scenario_id"], [F.col(key)], fixed.SIMILAR_NOVA_LIMIT) \
-        .select("scenario_id", F.col(name_col).alias("item")).distinct() \
-        .withColumn("rel", F.lit(fixed.RELEVANCE_SIMILAR_NOVA))
+    # The names that occur in a scenario's category are left out (J6).  The
+    # categories of each name, out of those few that scenarios have, are
+    # collected once; a (category, NOVA) combination is then cut to its first
+    # items before it meets the scenarios that share it.
+    cats = F.broadcast(scenarios.select(F.col("test_category").alias(category_col)).distinct())
+    held = (named.join(cats, category_col, "left_semi").groupBy(name_col)
+            .agg(F.collect_set(category_col).alias("_held")))
+    combos = F.broadcast(sc.select("test_category", "test_nova", F.when(F.col("test_category").isNull(), F.col("test_product"))
+                                   .alias("_own")).distinct())
+    sim = named.join(held, name_col, "left").join(combos, named[nova_col] == combos["test_nova"])
+    outside = ~F.coalesce(F.array_contains("_held", F.col("test_category")), F.lit(False))
+    sim = sim.where(outside & ~F.coalesce(F.col(name_col) == F.col("_own"), F.lit(False)))
+    # A scenario's own name occurs in its category (or is the combination's ``_own``), so it is out already.
+    sim = _first_k(sim, ["test_category", "test_nova", "_own"], [F.col(key)], fixed.SIMILAR_NOVA_LIMIT)
+    sim = sim.select("test_category", "test_nova", "_own", F.col(name_col).alias("item")).distinct()
+    s = sc.select("scenario_id", F.col("test_category").alias("_c"), F.col("test_nova").alias("_v"),
+                  F.when(F.col("test_category").isNull(), F.col("test_product")).alias("_p"))
+    sim = (sim.join(s, F.col("test_category").eqNullSafe(F.col("_c")) & (F.col("test_nova") == F.col("_v"))
+                    & F.col("_own").eqNullSafe(F.col("_p")))
+           .select("scenario_id", "item").withColumn("rel", F.lit(fixed.RELEVANCE_SIMILAR_NOVA)))
     return same.unionByName(sim)
 
 
@@ -183,10 +197,9 @@ def evaluate(products: DataFrame, recommender: Callable[[DataFrame], DataFrame],
     summary and coverage tables."""
     # Scenario, relevance and recommendation tables are small (bounded by
     # n_scenarios) and each feeds several metrics: materialise them once.
-    sc = create_scenarios(products, n_scenarios, seed, key, name_col, category_col, nova_col) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    rel = relevance(products, sc, key, name_col, category_col, nova_col).persist(StorageLevel.MEMORY_AND_DISK)
-    recs = recommender(sc).persist(StorageLevel.MEMORY_AND_DISK)
+    sc = cut_lineage(create_scenarios(products, n_scenarios, seed, key, name_col, category_col, nova_col))
+    rel = cut_lineage(relevance(products, sc, key, name_col, category_col, nova_col))
+    recs = cut_lineage(recommender(sc))
     item_cat = (products.where(F.col(name_col).isNotNull())
                 .groupBy(name_col).agg(F.min_by(category_col, F.col(key)).alias("category"))
                 .withColumnRenamed(name_col, "item"))
@@ -195,34 +208,65 @@ def evaluate(products: DataFrame, recommender: Callable[[DataFrame], DataFrame],
             "summary": summarise(per), "coverage": coverage(recs, products)}
 
 
-def tfidf_grid_search(products: DataFrame, scenarios: DataFrame, rel: DataFrame, param_grid: Sequence[dict],
-                      n_eval: int = 20, k: int = 10, top_n: int = 20, key: str = "code",
+MAX_FEATURES, NGRAM_RANGES, MIN_DF, MAX_DF = (50, 100, 200, 500), ((1, 1), (1, 2), (1, 3)), (1, 2, 3), (0.8, 0.9, 0.95)
+
+
+def tfidf_grid_search(products: DataFrame, scenarios: DataFrame, rel: DataFrame, max_features: Sequence[int] = MAX_FEATURES,
+                      ngram_ranges: Sequence[tuple[int, int]] = NGRAM_RANGES, min_dfs: Sequence[int] = MIN_DF,
+                      max_dfs: Sequence[float] = MAX_DF, n_eval: int = 20, k: int = 10, top_n: int = 20, key: str = "code",
                       name_col: str = "product_name", text_col: str = "ingredients_text",
                       category_col: str = "category_searched") -> DataFrame:
-    """V7/T5: for every TF-IDF configuration, recommend the ``top_n`` most
-    similar products (cosine) to each of the first ``n_eval`` scenarios and
-    score mean NDCG@k (also precision, recall, diversity).  Tokens are
-    computed by Spark per configuration from the same cached text; each
-    configuration is one Spark job; the result is one row per configuration,
-    the best picked with ``max_by``."""
-    from larder.operators.tfidf import cosine_topk, tfidf
+    """V7/T5: for every TF-IDF configuration, recommend the ``top_n`` products
+    most similar (cosine) to each of the first ``n_eval`` scenarios and score
+    mean NDCG@k (also precision, recall, diversity); one row per configuration.
+
+    Terms are counted once per n-gram range.  A configuration only chooses
+    among them, so the vocabularies of all configurations of a range are one
+    small table, and only the scenarios' terms meet the postings."""
     text = F.lower(F.coalesce(F.nullif(F.col(text_col), F.lit("")), F.lit("unknown")))
-    docs = products.select(key, text.alias("text")).cache()
+    docs = cut_lineage(products.select(key, text.alias("text")))
+    n = docs.count()
     sc = scenarios.where(F.col("scenario_id") <= n_eval)
-    names = products.select(F.col(key).alias("similar_key"), F.col(name_col).alias("item"))
+    targets = F.broadcast(sc.select(key).distinct())  # at most n_eval rows
+    names = products.select(F.col(key).alias("b"), F.col(name_col).alias("item"))
     item_cat = (products.where(F.col(name_col).isNotNull())
                 .groupBy(name_col).agg(F.min_by(category_col, F.col(key)).alias("category"))
                 .withColumnRenamed(name_col, "item"))
+    cells = [(lo, hi, mf) for lo in min_dfs for hi in max_dfs for mf in max_features]
     out = None
-    for i, params in enumerate(param_grid):
-        w, _ = tfidf(docs, key, "text", **params)
-        sims = cosine_topk(w, key, top_n).withColumnRenamed(f"similar_{key}", "similar_key")
-        recs = sc.select("scenario_id", key).join(sims, key).join(names, "similar_key") \
-            .select("scenario_id", "rank", "item")
-        per = metrics_per_scenario(recs, rel, sc, item_cat, [k])
-        row = per.agg(F.avg("ndcg").alias("score"), F.avg("precision").alias("precision"),
-                      F.avg("recall").alias("recall"), F.avg("diversity").alias("diversity")) \
-            .withColumn("config", F.lit(i)).withColumn("params", F.lit(repr(sorted(params.items()))))
+    for r, ngrams in enumerate(ngram_ranges):
+        tf = cut_lineage(term_counts(docs, key, "text", ngrams))
+        stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ctf"))
+        sides = F.explode(F.array(*[F.struct(F.lit(lo).alias("lo"), F.lit(float(hi)).alias("hi")) for lo in min_dfs for hi in max_dfs]))
+        each = stats.withColumn("s", sides).where((F.col("df") >= F.col("s.lo")) & (F.col("df") <= F.col("s.hi") * n))
+        order = Window.partitionBy("s.lo", "s.hi").orderBy(F.desc("ctf"), F.asc("term"))
+        each = each.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= max(max_features))
+        config = F.array(*[F.when((F.col("s.lo") == lo) & (F.col("s.hi") == float(hi)) & (F.col("_r") <= mf), F.lit(r * len(cells) + i))
+                           for i, (lo, hi, mf) in enumerate(cells)])
+        # Bounded: at most max_features terms per configuration.
+        vocab = F.broadcast(each.select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"),
+                                        F.explode(F.array_compact(config)).alias("config")))
+        w = tf.join(vocab, "term").select("config", key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+        norm = w.groupBy("config", F.col(key).alias("b")).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+        t = size_checked_broadcast(w.join(targets, key).select("config", F.col(key).alias("a"), "term", F.col("w").alias("wa")))
+        dots = (w.withColumnRenamed(key, "b").join(t, ["config", "term"]).where(F.col("a") != F.col("b"))
+                .groupBy("config", "a", "b").agg(F.sum(F.col("w") * F.col("wa")).alias("dot")))
+        sims = dots.join(norm, ["config", "b"]).withColumn("sim", F.col("dot") / F.col("norm"))  # the target's norm orders nothing
+        best = Window.partitionBy("config", "a").orderBy(F.desc(F.round("sim", 9)), F.asc("b"))
+        sims = sims.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top_n)
+        # Each scenario counts once per configuration, under a number of its own.
+        own = F.col("config") * (n_eval + 1) + F.col("scenario_id")
+        configs = F.explode(F.array(*[F.lit(r * len(cells) + i) for i in range(len(cells))])).alias("config")
+        recs = cut_lineage(sc.select("scenario_id", F.col(key).alias("a")).join(sims, "a").join(names, "b")
+                           .select(own.alias("scenario_id"), F.col("rank").cast("long").alias("rank"), "item"))
+        scen = sc.select("scenario_id", configs).select(own.alias("scenario_id"))
+        rels = rel.join(sc.select("scenario_id"), "scenario_id").select("*", configs).select(own.alias("scenario_id"), "item", "rel")
+        per = metrics_per_scenario(recs, rels, scen, item_cat, [k])
+        row = per.groupBy(F.floor(F.col("scenario_id") / (n_eval + 1)).cast("int").alias("config")).agg(
+            F.avg("ndcg").alias("score"), F.avg("precision").alias("precision"), F.avg("recall").alias("recall"),
+            F.avg("diversity").alias("diversity"))
+        labels = [f"max_features={mf}, ngram_range={tuple(ngrams)}, min_df={lo}, max_df={hi}" for lo, hi, mf in cells]
+        row = row.withColumn("params", F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("config") - r * len(cells) + 1))
         out = row if out is None else out.unionByName(row)
     return out
 

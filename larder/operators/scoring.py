@@ -19,7 +19,7 @@ def score_catalogue(df: DataFrame, text_col: str = "ingredients_text", nova_col:
             .withColumn("e_numbers", S.e_number_count(F.col(text_col)).cast("long"))
             .withColumn("n_additives", F.size("concerning_additives").cast("long"))
             .withColumn("processing_score",
-                        S.processing_score(F.col(nova_col), F.col(text_col), numeric_nova).cast("long"))
+                        S.score_of_counts(F.col(nova_col), F.col("e_numbers"), F.col("n_additives"), numeric_nova).cast("long"))
             .withColumn("nova_label", S.nova_label(F.col(nova_col)))
             .withColumn("badge", S.processing_badge(F.col("processing_score")))
             .withColumn("processing_label", S.processing_label(F.col("processing_score"))))

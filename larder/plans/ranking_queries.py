@@ -157,3 +157,17 @@ def q_similarity_diversity(spark, sf_dir):
     item_key = (products.where(F.col("product_name").isNotNull()).groupBy("product_name")
                 .agg(F.min("code").alias("code")).withColumnRenamed("product_name", "item"))
     return R.similarity_diversity(res["recs"], item_key, w, "code")
+
+
+@register("tfidf_grid")
+def q_tfidf_grid(spark, sf_dir):
+    """V7: all 108 configurations, scored on the first 20 scenarios."""
+    products = catalogue(spark, sf_dir)
+    sc = R.cut_lineage(R.create_scenarios(products))
+    return R.tfidf_grid_search(products, sc, R.cut_lineage(R.relevance(products, sc)))
+
+
+@register("tfidf_grid_best")
+def q_tfidf_grid_best(spark, sf_dir):
+    """T5: the configuration with the highest score."""
+    return R.best_configuration(q_tfidf_grid(spark, sf_dir))

@@ -84,7 +84,7 @@ pairs as (
   select t.code, c.code as alt_code, c.product_name as alt_name, c.ingredient_count as alt_ingredient_count,
          c.nova_int as alt_nova, c.healthiness_score as alt_healthiness,
          t.healthiness_score - c.healthiness_score as improvement,
-         (t.healthiness_score - c.healthiness_score) * 100.0 / t.healthiness_score as improvement_pct,
+         round((t.healthiness_score - c.healthiness_score) * 100.0 / t.healthiness_score, 1) as improvement_pct,
          coalesce(t.ingredient_count, 20) as t_cnt, coalesce(c.ingredient_count, 20) as a_cnt,
          coalesce(t.nova_int, 4) as t_nova, coalesce(c.nova_int, 4) as a_nova, t.e_numbers as t_e, c.e_numbers as a_e
   from tgt t join feat c
@@ -123,8 +123,7 @@ select round(avg(t_cnt - m_cnt), 9) as avg_ingredient_reduction, round(avg(t_nov
 from per""", scored=True))
 def q_health_improvement(spark, sf_dir):
     feats = _features(spark, sf_dir)
-    alts = better_alternatives(feats, top_n=10)
-    return rounded(health_improvement(feats, alts), ["avg_ingredient_reduction", "avg_nova_improvement",
+    return rounded(health_improvement(feats, top_n=10), ["avg_ingredient_reduction", "avg_nova_improvement",
                                                      "avg_e_number_reduction", "avg_score_improvement"])
 
 
