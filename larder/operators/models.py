@@ -13,19 +13,26 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import GaussianMixture, KMeans
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException, SparkRuntimeException
+from pyspark.ml import PipelineModel
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer, PCA, StandardScaler,
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer, PCA,
                                 VectorAssembler, Word2Vec)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.operators.cluster_metrics import adjusted_rand_index
-from larder.operators.tfidf import fit_vocabulary, term_counts, with_ngrams, word_tokens
+from larder.operators.aggregates import attach_one_row
+from larder.operators.tfidf import english_stop_words, fit_vocabulary, term_counts, with_ngrams, word_tokens
+from larder.session import cut_lineage
 
 MAX_VOCAB_FOR_VECTORS = 100_000
 
@@ -78,22 +85,25 @@ def centers_top_terms(spark: SparkSession, model, terms: Sequence[str], n_terms:
 
 
 def pca_2d(features: DataFrame, key: str, k: int = 2) -> tuple[DataFrame, list[float]]:
-    """V5: centre (no scaling), project on the top ``k`` principal components;
-    returns coordinates and the explained-variance ratios."""
-    scaler = StandardScaler(withMean=True, withStd=False, inputCol="features", outputCol="centred")
-    pca = PCA(k=k, inputCol="centred", outputCol="pc")
-    model = Pipeline(stages=[scaler, pca]).fit(features)
+    """V5: project on the top ``k`` principal components of the centred data;
+    returns coordinates and the explained-variance ratios.  Spark's PCA works
+    on the covariance, which does not depend on centring, so sparse rows stay
+    sparse: they are projected as they are and the projected mean is
+    subtracted."""
+    model = PCA(k=k, inputCol="features", outputCol="pc").fit(features)
+    mean = features.agg(Summarizer.mean(F.col("features")).alias("m")).first()["m"]
+    shift = model.pc.toArray().T @ mean.toArray() if mean is not None else [0.0] * k
     out = model.transform(features).select(key, vector_to_array("pc").alias("pc"))
-    cols = [F.col("pc")[i].alias(n) for i, n in enumerate(["pca_x", "pca_y", "pca_z"][:k])]
-    return out.select(key, *cols), list(model.stages[-1].explainedVariance.toArray())
+    cols = [(F.col("pc")[i] - F.lit(float(shift[i]))).alias(n) for i, n in enumerate(["pca_x", "pca_y", "pca_z"][:k])]
+    return out.select(key, *cols), list(model.explainedVariance.toArray())
 
 
 def run_clustering(spark: SparkSession, docs: DataFrame, key: str, text: str, k: int = 5, seed: int = 42,
                    n_init: int = 10) -> dict:
-    """C1 (``run_clustering``): TF-IDF (english-free, max_df 0.5, 1000
-    features) -> best-of-``n_init`` K-Means -> labels, top terms, PCA, inertia."""
-    feats, terms = tfidf_vectors(docs, key, text, max_df=0.5, max_features=1000)
-    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+    """C1 (``run_clustering``): TF-IDF (Spark's English stop words, max_df 0.5,
+    1000 features) -> best-of-``n_init`` K-Means -> labels, top terms, PCA, inertia."""
+    feats, terms = tfidf_vectors(docs, key, text, max_df=0.5, max_features=1000, stop_words=english_stop_words())
+    feats = cut_lineage(feats)
     model = kmeans_best_of(feats, k, seed, n_init)
     labels = model.transform(feats).select(key, F.col("prediction").alias("cluster"))
     coords, ratio = pca_2d(feats, key)
@@ -102,42 +112,155 @@ def run_clustering(spark: SparkSession, docs: DataFrame, key: str, text: str, k:
             "explained_variance": ratio}
 
 
+def _total_spread(features: DataFrame) -> tuple[int, float]:
+    """Rows, and the sum of squared distances to their mean."""
+    row = features.agg(Summarizer.metrics("count", "variance").summary(F.col("features")).alias("s")).first()["s"]
+    return row["count"], float(sum(row["variance"].toArray())) * max(row["count"] - 1, 0)
+
+
 def kmeans_analysis(spark: SparkSession, features: DataFrame, k_range=(2, 15), n_init_strategies: int = 5,
-                    seed: int = 42) -> DataFrame:
-    """For each k, ``n_init_strategies`` seeded fits; silhouette
-    (squared Euclidean, ClusteringEvaluator), inertia; per k the mean
-    silhouette, its population std ("stability") and the best inertia."""
+                    n_init: int = 10, max_iter: int = 300) -> DataFrame:
+    """For each k of the inclusive range, ``n_init_strategies`` runs,
+    each the best of ``n_init`` starts by inertia.  Per k: silhouette (squared
+    Euclidean, ``ClusteringEvaluator``), Calinski-Harabasz and inertia of the
+    run with the best silhouette, and the population std of the runs'
+    silhouettes ("stability").  Calinski-Harabasz follows from the inertia
+    and the total spread, so it costs no pass."""
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
+    n, spread = _total_spread(features)
     rows = []
-    for k in range(k_range[0], k_range[1]):
-        for i in range(n_init_strategies):
-            m = KMeans(k=k, seed=seed + i, featuresCol="features").fit(features)
-            sil = ev.evaluate(m.transform(features))
-            rows.append((k, seed + i, float(sil), float(m.summary.trainingCost)))
-    res = spark.createDataFrame(rows, "k int, seed int, silhouette double, inertia double")
-    return res.groupBy("k").agg(F.avg("silhouette").alias("silhouette"),
-                                F.stddev_pop("silhouette").alias("stability"),
-                                F.min("inertia").alias("inertia"))
-
-
-def gmm_selection(spark: SparkSession, features: DataFrame, n_range=(2, 8), seed: int = 42) -> DataFrame:
-    """Gaussian mixtures (full covariance) for each component count with
-    log-likelihood, BIC and AIC (parameters: k*d means, k*d(d+1)/2
-    covariances, k-1 weights)."""
+    for k in range(k_range[0], k_range[1] + 1):
+        for run in range(n_init_strategies):
+            m = kmeans_best_of(features, k, seed=run * n_init, n_init=n_init, max_iter=max_iter)
+            inertia = float(m.summary.trainingCost)
+            ch = (spread - inertia) / (k - 1) / (inertia / (n - k)) if n > k and inertia > 0 else None
+            rows.append((k, run, float(ev.evaluate(m.transform(features))), ch, inertia))
+    return best_runs(spark.createDataFrame(rows, "k int, run int, silhouette double, calinski_harabasz double, inertia double"))
+
+
+def best_runs(runs: DataFrame) -> DataFrame:
+    """Per k, the run with the best silhouette (ties: the first), and the
+    stability over all its runs."""
+    best = F.max_by(F.struct("silhouette", "calinski_harabasz", "inertia"), F.struct("silhouette", -F.col("run"))).alias("b")
+    return runs.groupBy("k").agg(best, F.stddev_pop("silhouette").alias("stability")).select("k", "b.*", "stability")
+
+
+def bisecting_analysis(spark: SparkSession, features: DataFrame, k_range=(2, 15), seed: int = 42) -> DataFrame:
+    """Divisive hierarchical clustering (bisecting K-Means, not agglomeration):
+    silhouette and cost for each k of the inclusive range."""
+    ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
+    rows = []
+    for k in range(k_range[0], k_range[1] + 1):
+        m = BisectingKMeans(k=k, seed=seed, featuresCol="features").fit(features)
+        out = m.transform(features)
+        found = out.select("prediction").distinct().count()
+        rows.append((k, found, float(ev.evaluate(out)) if found > 1 else None, float(m.summary.trainingCost)))
+    return spark.createDataFrame(rows, "k int, n_clusters int, silhouette double, cost double")
+
+
+def bisecting_labels(features: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
+    m = BisectingKMeans(k=k, seed=seed, featuresCol="features").fit(features)
+    return m.transform(features).select(key, F.col("prediction").alias("cluster"))
+
+
+COVARIANCES = ("full", "diag", "spherical")
+
+
+def _information(ll: float, p: float, n: int) -> tuple[float, float]:
+    return -2 * ll + p * math.log(n), -2 * ll + 2 * p
+
+
+def diagonal_mixture(features: DataFrame, k: int, spherical: bool = False, seed: int = 42, max_iter: int = 30,
+                     tol: float = 1e-3, floor: float = 1e-6) -> dict:
+    """EM for a Gaussian mixture with diagonal (or spherical) covariances.
+
+    Every round is one pass: a task sums weights, weighted values and weighted
+    squares of its rows per component (k x (2d + 1) numbers), and the driver
+    merges one such table per task.  Starts from K-Means centres; ends when
+    the mean log-likelihood gains less than ``tol``."""
+    start = KMeans(k=k, seed=seed, featuresCol="features").fit(features)
+    means = np.array(start.clusterCenters())
+    n, spread = _total_spread(features)
+    d = means.shape[1]
+    variances = np.full((k, d), max(spread / max(n * d, 1), floor))
+    weights = np.full(k, 1 / k)
+    dense = features.select(vector_to_array("features").alias("x"))
+    before = -math.inf
+    for _ in range(max_iter):
+        def sums(batches, means=means, variances=variances, weights=weights):
+            total, ll = np.zeros((k, 2 * d + 1)), 0.0
+            for batch in batches:
+                if batch.num_rows == 0:
+                    continue
+                x = np.asarray(batch.column(0).flatten()).reshape(batch.num_rows, d)
+                log_p = _log_density(x, means, variances) + np.log(np.maximum(weights, 1e-300))
+                top = log_p.max(axis=1, keepdims=True)
+                norm = top[:, 0] + np.log(np.exp(log_p - top).sum(axis=1))
+                r = np.exp(log_p - norm[:, None])
+                total += np.hstack([r.sum(axis=0)[:, None], r.T @ x, r.T @ (x * x)])
+                ll += norm.sum()
+            yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()]), pa.array([ll])], names=["s", "ll"])
+        parts = dense.mapInArrow(sums, "s array<double>, ll double").collect()
+        total = np.sum([p.s for p in parts], axis=0).reshape(k, 2 * d + 1)
+        ll = sum(p.ll for p in parts)
+        mass = np.maximum(total[:, :1], 1e-12)
+        weights, means = total[:, 0] / n, total[:, 1:d + 1] / mass
+        variances = np.maximum(total[:, d + 1:] / mass - means ** 2, floor)
+        if spherical:
+            variances = np.repeat(variances.mean(axis=1, keepdims=True), d, axis=1)
+        if ll / n - before < tol:
+            break
+        before = ll / n
+    free = k * d + (k if spherical else k * d) + (k - 1)
+    return {"means": means, "variances": variances, "weights": weights, "log_likelihood": float(ll), "parameters": free, "n": n}
+
+
+def _log_density(x, means, variances):
+    """Row x component log densities; squares are expanded to matrix products."""
+    inverse = 1 / variances
+    far = (x * x) @ inverse.T - 2 * x @ (means * inverse).T + (means ** 2 * inverse).sum(axis=1)
+    return -0.5 * (far + np.log(2 * np.pi * variances).sum(axis=1))
+
+
+def diagonal_labels(features: DataFrame, mixture: dict) -> DataFrame:
+    """``features`` with the likeliest component as ``prediction``."""
+    def label(x: pd.Series) -> pd.Series:
+        rows = np.stack(x.to_list()) if len(x) else np.empty((0, mixture["means"].shape[1]))
+        log_p = _log_density(rows, mixture["means"], mixture["variances"]) + np.log(np.maximum(mixture["weights"], 1e-300))
+        return pd.Series(log_p.argmax(axis=1).astype("int32"))
+    return features.withColumn("prediction", F.pandas_udf(label, "int")(vector_to_array("features")))
+
+
+def gmm_selection(spark: SparkSession, features: DataFrame, n_range=(2, 15), covariances: Sequence[str] = COVARIANCES,
+                  seed: int = 42) -> DataFrame:
+    """Gaussian mixtures for each covariance type and component count of
+    the inclusive range, with silhouette, log-likelihood, BIC and AIC.  A full
+    fit needs more rows per component than dimensions; where Spark refuses it
+    as singular the row says so.  Tied covariances are not offered."""
+    ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     n = features.count()
     d = len(features.first()["features"])
     rows = []
-    for k in range(n_range[0], n_range[1]):
-        p = k * d + k * d * (d + 1) / 2 + (k - 1)
-        try:
-            m = GaussianMixture(k=k, seed=seed, featuresCol="features").fit(features)
-        except Exception as e:  # noqa: BLE001 - a degenerate fit is reported, not fatal
-            rows.append((k, None, None, None, None, f"failed: {type(e).__name__}"))
-            continue
-        ll = float(m.summary.logLikelihood)
-        rows.append((k, ll, -2 * ll + p * math.log(n), -2 * ll + 2 * p, ll / n, "ok"))
-    return spark.createDataFrame(rows, "n_components int, log_likelihood double, bic double, aic double, "
-                                       "mean_log_likelihood double, status string")
+    for kind in covariances:
+        for k in range(n_range[0], n_range[1] + 1):
+            if kind == "full":
+                free = k * d + k * d * (d + 1) / 2 + (k - 1)
+                try:
+                    m = GaussianMixture(k=k, seed=seed, featuresCol="features").fit(features)
+                except (Py4JJavaError, IllegalArgumentException, SparkRuntimeException) as e:
+                    if "ingular" not in str(e) and "NotConverged" not in str(e) and "Matrix" not in str(e):
+                        raise
+                    rows.append((kind, k, None, None, None, None, None, "singular"))
+                    continue
+                ll, out = float(m.summary.logLikelihood), m.transform(features)
+            else:
+                m = diagonal_mixture(features, k, kind == "spherical", seed)
+                ll, free, out = m["log_likelihood"], m["parameters"], diagonal_labels(features, m)
+            bic, aic = _information(ll, free, n)
+            silhouette = float(ev.evaluate(out)) if out.select("prediction").distinct().count() > 1 else None
+            rows.append((kind, k, silhouette, ll, bic, aic, ll / n, "ok"))
+    return spark.createDataFrame(rows, "covariance string, n_components int, silhouette double, log_likelihood double, "
+                                       "bic double, aic double, mean_log_likelihood double, status string")
 
 
 def bootstrap_stability(spark: SparkSession, features: DataFrame, key: str, k: int, n_boot: int = 10,
@@ -167,45 +290,66 @@ def combined_features(df: DataFrame, text_features: str, numeric_cols: Sequence[
     return VectorAssembler(inputCols=[text_features, *present], outputCol="combined").transform(df)
 
 
+#: Sequences that one task of a Word2Vec fit works on.
+SEQUENCES_PER_TASK = 20_000
+
+
 def train_embeddings(sequences: DataFrame, vector_size: int = 100, window: int = 5, min_count: int = 2,
                      max_iter: int = 100, seed: int = 42):
-    """Skip-gram word vectors over ingredient sequences."""
-    return Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter,
+    """Skip-gram word vectors over ingredient sequences; the number of
+    tasks grows with the sequences."""
+    tasks = max(1, math.ceil(sequences.count() / SEQUENCES_PER_TASK))
+    return Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter, numPartitions=tasks,
                     seed=seed, inputCol="sequence", outputCol="vec").fit(sequences)
 
 
-def embedding_of(model, words: DataFrame, word_col: str = "word") -> DataFrame:
-    """Vector per word, a zero vector for unknown words."""
-    vecs = model.getVectors().select(F.col("word").alias(word_col), vector_to_array("vector").alias("v"))
-    size = model.getVectorSize()
+def embedding_of(vectors: DataFrame, words: DataFrame, size: int, word_col: str = "word") -> DataFrame:
+    """The vector of each word, a zero vector for unknown words."""
     zero = F.array_repeat(F.lit(0.0), size)
-    return words.join(vecs, word_col, "left").select(word_col, F.coalesce(F.col("v"), zero).alias("vector"))
-
-
-def similar_ingredients(model, word: str, top_n: int = 10) -> DataFrame:
-    """Nearest words by cosine similarity."""
-    return model.findSynonyms(word, top_n)
-
-
-def ingredient_analogy(spark: SparkSession, model, positive: Sequence[str], negative: Sequence[str] = (),
-                       top_n: int = 10) -> DataFrame:
-    """E5: mean of the unit vectors of ``positive`` minus those of
-    ``negative``; nearest words excluding the inputs."""
-    import numpy as np
-    vec = {r["word"]: r["vector"].toArray() for r in model.getVectors()
-           .where(F.col("word").isin(list(positive) + list(negative))).collect()}
-    acc = np.zeros(model.getVectorSize())
-    cnt = 0
-    for w, sgn in [(w, 1.0) for w in positive] + [(w, -1.0) for w in negative]:
-        if w in vec:
-            v = vec[w]
-            acc += sgn * v / (np.linalg.norm(v) or 1.0)
-            cnt += 1
-    if cnt == 0:
-        return spark.createDataFrame([], "word string, similarity double")
-    res = model.findSynonymsArray(Vectors.dense(acc / cnt), top_n + cnt)
-    rows = [(w, float(s)) for w, s in res if w not in set(positive) | set(negative)][:top_n]
-    return spark.createDataFrame(rows, "word string, similarity double")
+    found = vectors.select(word_col, F.col("vector").alias("_v"))
+    return words.join(found, word_col, "left").select(word_col, F.coalesce(F.col("_v"), zero).alias("vector"))
+
+
+def unit_vectors(vectors: DataFrame, word_col: str = "word") -> DataFrame:
+    """(word, unit) of every vector that is not zero."""
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+    scaled = F.transform("vector", lambda x: x.cast("double") / F.col("_n"))
+    return vectors.withColumn("_n", norm).where("_n > 0").select(word_col, scaled.alias("unit"))
+
+
+def _nearest(units: DataFrame, targets: DataFrame, word_col: str, top_n: int) -> DataFrame:
+    """The ``top_n`` words nearest to each target (query, unit, excluded), by
+    cosine, then word.  The targets are a bounded query set: they go to every
+    row as one array, and each query keeps its best rows before the shuffle."""
+    packed = targets.agg(F.collect_list(F.struct("query", "unit", "excluded")).alias("_t"))
+    each = attach_one_row(units, packed).select(word_col, "unit", F.explode("_t").alias("t"))
+    dot = F.aggregate(F.zip_with("unit", F.col("t.unit"), lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+    scored = each.where(~F.array_contains("t.excluded", F.col(word_col))).select(
+        F.col("t.query").alias("query"), word_col, dot.alias("similarity"))
+    w = Window.partitionBy("query").orderBy(F.desc(F.round("similarity", 9)), F.asc(word_col))
+    return scored.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= top_n)
+
+
+def similar_words(vectors: DataFrame, queries: DataFrame, top_n: int = 10, word_col: str = "word") -> DataFrame:
+    """For each word of a bounded table of queries, the nearest other
+    words by cosine similarity.  Unknown query words give no row."""
+    units = unit_vectors(vectors, word_col)
+    targets = units.join(F.broadcast(queries.select(word_col).distinct()), word_col).select(
+        F.col(word_col).alias("query"), "unit", F.array(word_col).alias("excluded"))
+    return _nearest(units, targets, word_col, top_n)
+
+
+def analogies(vectors: DataFrame, queries: DataFrame, top_n: int = 10, word_col: str = "word") -> DataFrame:
+    """E5: for each query (query, word, sign +1 or -1), the words nearest to
+    the mean of the signed unit vectors, without the query's own words.
+    Unknown words are left out of the mean."""
+    units = unit_vectors(vectors, word_col)
+    signed = units.join(F.broadcast(queries), word_col).select(
+        "query", word_col, F.posexplode(F.transform("unit", lambda x: x * F.col("sign"))).alias("i", "x"))
+    mean = signed.groupBy("query", "i").agg(F.avg("x").alias("x"))
+    own = queries.groupBy("query").agg(F.collect_set(word_col).alias("excluded"))
+    vector = mean.groupBy("query").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("vector"))
+    return _nearest(units, unit_vectors(vector, "query").join(own, "query"), word_col, top_n)
 
 
 def save_model(model, path: str) -> None:

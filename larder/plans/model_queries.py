@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -10,10 +9,12 @@ from larder.functions import fixed
 from larder.operators import models as M
 from larder.operators.aggregates import crosstab
 from larder.operators.clean import dashboard_catalogue, valid_nova
-from larder.operators.cluster_metrics import noise_stats
 from larder.operators.pairs import ingredient_sequences
 from larder.operators.scoring import score_catalogue
-from larder.plans.registry import register
+from larder.plans.registry import register, rounded
+from larder.plans.sqlkit import with_catalogue, with_dash
+from larder.plans.text_queries import _tfidf_sql
+from larder.session import cut_lineage
 from larder.sources.tables import catalogue, read_table
 
 
@@ -43,7 +44,11 @@ def _labelled(spark, sf_dir):
 @register("cluster_processing_stats")
 def q_cluster_processing_stats(spark, sf_dir):
     """Mean score, share above 60 and named-product count per cluster."""
-    return _labelled(spark, sf_dir).groupBy("cluster").agg(
+    return _processing_stats(_labelled(spark, sf_dir))
+
+
+def _processing_stats(labelled):
+    return labelled.groupBy("cluster").agg(
         F.avg("processing_score").alias("avg_score"),
         (F.avg(F.when(F.col("processing_score") > fixed.ULTRA_PROCESSED_THRESHOLD, 1.0).otherwise(0.0)) * 100)
         .alias("upf_pct"),
@@ -67,7 +72,31 @@ def _bigram_features(spark, sf_dir):
     t = F.lower(F.coalesce(F.nullif(F.col("ingredients_text"), F.lit("")), F.lit("unknown")))
     feats, _ = M.tfidf_vectors(c.select("code", t.alias("text")), "code", "text", max_df=0.8, min_df=2,
                                max_features=100, ngram_range=(1, 2))
-    return feats.persist(StorageLevel.MEMORY_AND_DISK)
+    return cut_lineage(feats)
+
+
+# The same three aggregates over a fixed labelling, which SQL can state.
+def _fixed_labels(spark, sf_dir):
+    scored = score_catalogue(dashboard_catalogue(catalogue(spark, sf_dir)))
+    return scored.withColumn("cluster", (F.col("code") % 5).cast("int"))
+
+
+@register("label_processing_stats", with_dash("""
+select cast(code % 5 as integer) as cluster, round(avg(processing_score), 9) as avg_score,
+       round(avg(case when processing_score > 60 then 1.0 else 0.0 end) * 100, 9) as upf_pct, count(product_name) as count
+from scored group by 1""", scored=True))
+def q_label_processing_stats(spark, sf_dir):
+    """A7 and A17 on a fixed labelling."""
+    return rounded(_processing_stats(_fixed_labels(spark, sf_dir)), ["avg_score", "upf_pct"])
+
+
+@register("label_nova_crosstab", with_dash("""
+select cast(code % 5 as integer) as cluster, """ + ", ".join(
+    f"cast(sum(case when nova_group = '{n}' then 1 else 0 end) as bigint) as nova_{n}" for n in "1234") + """
+from scored where nova_group is not null and nova_group <> 'unknown' group by 1""", scored=True))
+def q_label_nova_crosstab(spark, sf_dir):
+    """C16 on a fixed labelling."""
+    return crosstab(valid_nova(_fixed_labels(spark, sf_dir)), "cluster", "nova_group", ["1", "2", "3", "4"], "nova_")
 
 
 @register("kmeans_elbow")
@@ -81,8 +110,10 @@ def q_kmeans_elbow(spark, sf_dir):
 
 @register("kmeans_analysis")
 def q_kmeans_analysis(spark, sf_dir):
-    """Silhouette mean / stability / inertia for k in 2..14, 5 seeds each."""
-    return M.kmeans_analysis(spark, _bigram_features(spark, sf_dir))
+    """K from 2 to 15, five runs each; silhouette, Calinski-Harabasz and
+    inertia of the best run, and the stability.  One k-means|| start per run
+    here; ``n_init`` of the operator is 10 by default."""
+    return M.kmeans_analysis(spark, _bigram_features(spark, sf_dir), n_init=1)
 
 
 @register("bootstrap_stability")
@@ -94,13 +125,17 @@ def q_bootstrap_stability(spark, sf_dir):
 def _emb_features(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     x = F.transform("embedding", lambda v: v.cast("double"))
-    return emb.select("vec_id", "label", array_to_vector(x).alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
+    return cut_lineage(emb.select("vec_id", "label", array_to_vector(x).alias("features")))
 
 
 @register("gmm_selection")
 def q_gmm_selection(spark, sf_dir):
-    """Full-covariance mixtures with 2..7 components, BIC / AIC."""
-    return M.gmm_selection(spark, _emb_features(spark, sf_dir), (2, 8))
+    """Diagonal and spherical mixtures with 2 to 15 components and full
+    ones with 2 to 7 (beyond that 64 dimensions leave too few rows per
+    covariance matrix); silhouette, BIC and AIC."""
+    feats = _emb_features(spark, sf_dir)
+    near = M.gmm_selection(spark, feats, (2, 15), ("diag", "spherical"))
+    return near.unionByName(M.gmm_selection(spark, feats, (2, 7), ("full",)))
 
 
 @register("gmm_probabilities")
@@ -120,14 +155,6 @@ def q_pca_embeddings(spark, sf_dir):
     return coords
 
 
-@register("label_noise")
-def q_label_noise(spark, sf_dir):
-    """C14 on a fitted labelling (K-Means on the embeddings, no noise label)."""
-    feats = _emb_features(spark, sf_dir)
-    lab = M.KMeans(k=10, seed=42, featuresCol="features").fit(feats).transform(feats)
-    return noise_stats(lab, "prediction")
-
-
 def _w2v(spark, sf_dir):
     seqs = ingredient_sequences(catalogue(spark, sf_dir))
     return M.train_embeddings(seqs, max_iter=100)
@@ -139,68 +166,152 @@ def q_ingredient_vectors(spark, sf_dir):
     return _w2v(spark, sf_dir).getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
-@register("similar_ingredients")
-def q_similar_ingredients(spark, sf_dir):
-    """Nearest ingredients to 'citric acid'."""
-    return M.similar_ingredients(_w2v(spark, sf_dir), "citric acid", 10)
+# E3-E5 on the embeddings table, whose rows stand for words.
+_UNIT = """u as (select vec_id as word, list_transform(embedding, lambda x: cast(x as double) /
+  sqrt(list_sum(list_transform(embedding, lambda y: cast(y as double) * cast(y as double))))) as unit
+  from embeddings where list_sum(list_transform(embedding, lambda y: cast(y as double) * cast(y as double))) > 0)"""
+_CHOSEN = "order by md5(concat('{salt}|', cast(vec_id as varchar))) limit {n}"
+
+
+def _vectors(spark, sf_dir):
+    return read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("word"), F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
+
+
+def _chosen(vectors, salt, n):
+    """A stated query set: ``n`` words by hash."""
+    return vectors.select("word").orderBy(F.md5(F.concat(F.lit(f"{salt}|"), F.col("word").cast("string")))).limit(n)
+
+
+@register("embedding_lookup", """
+select q.word, round(list_sum(coalesce(list_transform(e.embedding, lambda x: cast(x as double)), [0.0])), 6) as total,
+       e.vec_id is null as unknown
+from (select vec_id * 2 as word from embeddings) q left join embeddings e on e.vec_id = q.word""")
+def q_embedding_lookup(spark, sf_dir):
+    """Known words get their vector, unknown ones a zero vector."""
+    v = _vectors(spark, sf_dir)
+    size = F.size("vector")
+    width = v.select(size.alias("n")).first()["n"]
+    got = M.embedding_of(v, v.select((F.col("word") * 2).alias("word")), width)
+    total = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x)
+    zero = ~F.exists("vector", lambda x: x != 0)
+    return got.select("word", F.round(total, 6).alias("total"), (zero & (size == width)).alias("unknown"))
+
+
+@register("similar_words", f"""
+with {_UNIT},
+q as (select word, unit from u where word in (select vec_id from embeddings {_CHOSEN.format(salt=4, n=10)})),
+s as (select q.word as query, u.word, list_sum(list_transform(list_zip(q.unit, u.unit), lambda p: p[1] * p[2])) as similarity
+      from q join u on u.word <> q.word),
+r as (select *, row_number() over (partition by query order by round(similarity, 9) desc, word) as rank from s)
+select query, word, round(similarity, 6) as similarity, rank from r where rank <= 10""")
+def q_similar_words(spark, sf_dir):
+    """The ten nearest of all words for each of ten query words."""
+    v = _vectors(spark, sf_dir)
+    return rounded(M.similar_words(v, _chosen(v, 4, 10), 10), ["similarity"], 6)
+
+
+@register("word_analogies", f"""
+with {_UNIT},
+c as (select vec_id as word, row_number() over (order by md5(concat('5|', cast(vec_id as varchar)))) - 1 as n from embeddings {_CHOSEN.format(salt=5, n=12)}),
+q as (select n // 3 as query, word, case when n % 3 = 2 then -1 else 1 end as sign from c),
+m as (select query, i, avg(q.sign * u.unit[i]) as x from q join u using (word), unnest(range(1, 65)) t(i) group by all),
+t as (select query, list(x order by i) as v, sqrt(sum(x * x)) as n from m group by query),
+s as (select t.query, u.word, list_sum(list_transform(list_zip(t.v, u.unit), lambda p: p[1] * p[2])) / t.n as similarity
+      from t join u on not exists (select 1 from q where q.query = t.query and q.word = u.word)),
+r as (select *, row_number() over (partition by query order by round(similarity, 9) desc, word) as rank from s)
+select query, word, round(similarity, 6) as similarity, rank from r where rank <= 10""")
+def q_word_analogies(spark, sf_dir):
+    """E5: two words less a third, for four such queries."""
+    v = _vectors(spark, sf_dir)
+    from pyspark.sql import Window
+    n = F.row_number().over(Window.orderBy(F.md5(F.concat(F.lit("5|"), F.col("word").cast("string"))))) - 1  # twelve rows
+    queries = _chosen(v, 5, 12).withColumn("n", n).select(
+        F.floor(F.col("n") / 3).alias("query"), "word", F.when(F.col("n") % 3 == 2, -1).otherwise(1).alias("sign"))
+    return rounded(M.analogies(v, queries, 10), ["similarity"], 6)
 
 
-@register("ingredient_analogy")
-def q_ingredient_analogy(spark, sf_dir):
-    """E5: 'citric acid' + 'palm oil' - 'e330'."""
-    return M.ingredient_analogy(spark, _w2v(spark, sf_dir), ["citric acid", "palm oil"], ["e330"], 10)
+@register("similar_ingredients")
+def q_similar_ingredients(spark, sf_dir):
+    """E4 on learnt vectors: nearest ingredients of a few query words."""
+    model = _w2v(spark, sf_dir)
+    vectors = model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    return M.similar_words(vectors, vectors.select("word").orderBy("word").limit(5), 10)
 
 
-@register("hierarchical_analysis")
-def q_hierarchical_analysis(spark, sf_dir):
-    """Ward / complete / average / single over K-Means micro-clusters,
-    2..9 clusters each, silhouette per configuration."""
-    from larder.operators.hierarchical import hierarchical_analysis
-    return hierarchical_analysis(spark, _bigram_features(spark, sf_dir), "code")
+@register("bisecting_analysis")
+def q_bisecting_analysis(spark, sf_dir):
+    """Divisive hierarchical clustering, 2 to 15 clusters (see README on C5)."""
+    return M.bisecting_analysis(spark, _bigram_features(spark, sf_dir))
 
 
-@register("hierarchical_labels")
-def q_hierarchical_labels(spark, sf_dir):
-    """Ward labels with 5 clusters for every product."""
-    from larder.operators.hierarchical import hierarchical_labels
-    return hierarchical_labels(spark, _bigram_features(spark, sf_dir), "code", 5, "ward")
+@register("bisecting_labels")
+def q_bisecting_labels(spark, sf_dir):
+    return M.bisecting_labels(_bigram_features(spark, sf_dir), "code", 5)
 
 
 @register("combined_features")
 def q_combined_features(spark, sf_dir):
-    """V4: bigram TF-IDF vector plus standardised nutrients (size per row)."""
-    from pyspark.ml.functions import vector_to_array as v2a
-
+    """V4: every non-zero value of the bigram TF-IDF vector plus standardised
+    nutrients, one row each (the nutrients stand behind the terms)."""
     from larder.operators.cluster_metrics import standardize
     feats = _bigram_features(spark, sf_dir)
     nut = standardize(catalogue(spark, sf_dir).select("code", "sugar_100g", "salt_100g", "fat_100g"),
                       ["sugar_100g", "salt_100g", "fat_100g"])
     comb = M.combined_features(feats.join(nut, "code"), "features", ["sugar_100g", "salt_100g", "fat_100g"])
-    return comb.select("code", F.size(v2a("combined")).alias("n_features"))
+    values = comb.select("code", F.posexplode(vector_to_array("combined")).alias("feature", "value"))
+    return values.where("value <> 0").select("code", "feature", F.round("value", 6).alias("value"))
 
 
 @register("clustering_report")
 def q_clustering_report(spark, sf_dir):
-    """C15 + T5: best K-Means k by silhouette, best DBSCAN setting on the
-    document grid, bootstrap stability summary — one table of findings."""
+    """C15 + T5: the best setting of every algorithm by its own score, and the
+    bootstrap stability — one table of findings.  Scores are silhouettes, but
+    for DBSCAN, where the most clusters among valid settings are taken."""
     from larder.operators import dbscan as D
     from larder.operators.tfidf import tfidf
     feats = _bigram_features(spark, sf_dir)
-    km = M.kmeans_analysis(spark, feats, (2, 8), 2)
-    best_k = km.agg(F.max_by(F.struct("k", "silhouette"), F.col("silhouette")).alias("b")).select(
-        F.lit("kmeans_best_k").alias("finding"), F.col("b.k").cast("double").alias("value"),
-        F.col("b.silhouette").alias("score"))
+    emb = _emb_features(spark, sf_dir)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    w, _ = tfidf(docs, "doc_id", "text", max_df=50)
-    grid = D.dbscan_grid(spark, docs.select("doc_id"), w, "doc_id", [0.3, 0.5], [2, 3])
-    best_db = grid.where("valid").agg(F.max_by(F.struct("eps", "min_samples", "n_clusters"),
-                                               F.col("n_clusters")).alias("b")).select(
-        F.lit("dbscan_best_eps").alias("finding"), F.col("b.eps").alias("value"),
-        F.col("b.n_clusters").cast("double").alias("score"))
-    boot = M.bootstrap_stability(spark, feats, "code", k=5, n_boot=5).agg(
-        F.avg("ari").alias("m"), F.stddev_pop("ari").alias("s")).select(
-        F.lit("bootstrap_mean_ari").alias("finding"), F.col("m").alias("value"), F.col("s").alias("score"))
-    return best_k.unionByName(best_db).unionByName(boot)
+    w, _ = tfidf(docs, "doc_id", "text", max_df=0.5)
+    from larder.plans.dbscan_queries import GRID_EPS, GRID_MIN_SAMPLES
+
+    def best(results, finding, setting, score):
+        pick = results.where(F.col(score).isNotNull()).agg(F.max_by(setting, F.struct(F.col(score), setting)).alias("setting"),
+                                                            F.max(score).alias("score"))
+        return pick.select(F.lit(finding).alias("finding"), "setting", F.col("score").cast("double").alias("score"))
+
+    label = lambda *parts: F.concat_ws(" ", *[F.concat(F.lit(f"{n}="), F.col(n).cast("string")) for n in parts])
+    grid = D.dbscan_grid(docs.select("doc_id"), w, "doc_id", GRID_EPS, GRID_MIN_SAMPLES).where("valid")
+    boot = M.bootstrap_stability(spark, feats, "code", k=5).agg(F.avg("ari").alias("m"), F.stddev_pop("ari").alias("s"))
+    return (best(M.kmeans_analysis(spark, feats, n_init=1), "kmeans", label("k"), "silhouette")
+            .unionByName(best(M.bisecting_analysis(spark, feats), "bisecting", label("k"), "silhouette"))
+            .unionByName(best(M.gmm_selection(spark, emb, (2, 15), ("diag",)), "mixture", label("covariance", "n_components"), "silhouette"))
+            .unionByName(best(grid, "dbscan", label("eps", "min_samples"), "n_clusters"))
+            .unionByName(boot.select(F.lit("kmeans stability").alias("finding"), F.concat(F.lit("std="), F.round("s", 4).cast("string"))
+                                     .alias("setting"), F.col("m").alias("score"))))
+
+
+@register("cluster_interpretation", with_catalogue(""", cat_docs as (select code, lower(coalesce(nullif(ingredients_text, ''), 'unknown')) as text from catalogue),"""
+    + _tfidf_sql("cat_docs", "code", "text", 0.8, 2, 100, bigrams=True) + """,
+lab as (select code, cast(code % 5 as integer) as cluster, product_name from catalogue),
+size as (select cluster, count(*) as n_products from lab group by cluster),
+mean as (select l.cluster, w.term, sum(w.weight) as s from w join lab l on l.code = w.key group by all),
+top as (select m.cluster, m.term, row_number() over (partition by m.cluster order by round(m.s / z.n_products, 12) desc, m.term) as r
+        from mean m join size z using (cluster)),
+words as (select cluster, string_agg(term, ', ' order by r) as top_terms from top where r <= 5 group by cluster),
+ex as (select cluster, code, product_name, row_number() over (partition by cluster order by md5(concat('42|', cast(code as varchar)))) as r from lab),
+names as (select cluster, string_agg(coalesce(product_name, '?'), '; ' order by r) as samples from ex where r <= 5 group by cluster)
+select cluster, n_products, top_terms, samples from size join words using (cluster) join names using (cluster)"""))
+def q_cluster_interpretation(spark, sf_dir):
+    """C13 + W4 + F19: size, joined five strongest terms and five sample
+    products (seeded) of each cluster of a fixed labelling."""
+    from larder.operators.tfidf import interpret_clusters, tfidf
+    cat = catalogue(spark, sf_dir)
+    t = F.lower(F.coalesce(F.nullif(F.col("ingredients_text"), F.lit("")), F.lit("unknown")))
+    w, _ = tfidf(cat.select("code", t.alias("text")), "code", "text", max_df=0.8, min_df=2, max_features=100, ngram_range=(1, 2))
+    labels = cat.select("code", (F.col("code") % 5).cast("int").alias("cluster"), "product_name")
+    return interpret_clusters(w, labels, "code", "cluster", "product_name")
 
 
 def _pairs(spark, sf_dir):
@@ -210,17 +321,56 @@ def _pairs(spark, sf_dir):
     return sample_pairs(spark, cat, n_positive=n, negative_ratio=1.0)
 
 
-@register("training_pairs")
+def _draw_sql(i: str, salt: str) -> str:
+    return f"cast(concat('0x', substr(md5(concat('42|{salt}|', cast({i} as varchar))), 1, 15)) as bigint)"
+
+
+_PAIRS_SQL = f""",
+pos as (select code, category_searched, row_number() over (order by category_searched, code) - 1 as pos
+        from catalogue where category_searched is not null),
+cat0 as (select category_searched, min(pos) as off, count(*) as n_c from pos group by 1),
+cat1 as (select *, row_number() over (order by category_searched) - 1 as cat_idx, n_c * (n_c - 1) / 2 as w from cat0),
+cats as (select *, sum(w) over (order by cat_idx) as cum_hi from cat1),
+tot as (select sum(w) as big, count(*) as c, (select count(*) from catalogue) as n from cats),
+i as (select unnest(range(0, n)) as i, big, c, n from tot),
+ps as (select i, n, {_draw_sql("i", "cat")} / 1152921504606846976.0 * big as u from i),
+pc as (select ps.*, (select count(*) from cats where cum_hi <= ps.u) as cat_idx from ps),
+pp as (select i as pair_id, off, n_c, {_draw_sql("i", "a")} % n_c as a, {_draw_sql("i", "b")} % (n_c - 1) as b0
+       from pc join cats using (cat_idx) where n_c > 1),
+pos_pairs as (select pair_id, off + a as p1, off + case when b0 >= a then b0 + 1 else b0 end as p2, 1 as label from pp),
+ns as (select i, n, {_draw_sql("i", "c1")} % c as c1, {_draw_sql("i", "c2")} % (c - 1) as d from i where c > 1),
+nc as (select i, n, c1, case when d >= c1 then d + 1 else d end as c2 from ns),
+neg_pairs as (select nc.i + nc.n as pair_id, x.off + {_draw_sql("nc.i", "m1")} % x.n_c as p1,
+                     y.off + {_draw_sql("nc.i", "m2")} % y.n_c as p2, 0 as label
+              from nc join cats x on x.cat_idx = nc.c1 join cats y on y.cat_idx = nc.c2),
+drawn as (select *, row_number() over (partition by least(p1, p2), greatest(p1, p2), label order by pair_id) as again
+          from (select * from pos_pairs union all select * from neg_pairs)),
+named as (select d.pair_id, x.code as product1, y.code as product2, x.category_searched as category1, y.category_searched as category2,
+                 d.label from drawn d join pos x on x.pos = d.p1 join pos y on y.pos = d.p2 where again = 1)
+"""
+
+
+@register("training_pairs", with_catalogue(_PAIRS_SQL + "select * from named"))
 def q_training_pairs(spark, sf_dir):
     """E6 (re-aimed): seeded sample of same-category (label 1) and
     cross-category (label 0) product pairs."""
     return _pairs(spark, sf_dir)
 
 
+@register("pair_split", with_catalogue(_PAIRS_SQL + f"""
+select label, {_draw_sql("pair_id", "fold")} % 10 < 8 as is_train, count(*) as n from named group by all"""))
+def q_pair_split(spark, sf_dir):
+    """The sizes of the 80/20 split."""
+    from larder.operators.pairs import split_pairs
+    return split_pairs(_pairs(spark, sf_dir)).groupBy("label", "is_train").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("pair_model_eval")
 def q_pair_model_eval(spark, sf_dir):
     """Pair classifier on hashed product/category features, 80/20 hash
-    split, validation accuracy and log-loss."""
+    split, validation accuracy and log-loss; with and without the crossed
+    category feature, which gives the label away."""
     from larder.operators.pairs import train_pair_model
-    _, metrics = train_pair_model(_pairs(spark, sf_dir))
-    return metrics
+    pairs = cut_lineage(_pairs(spark, sf_dir))
+    rows = [train_pair_model(pairs, crossed=crossed)[1].withColumn("crossed", F.lit(crossed)) for crossed in (False, True)]
+    return rows[0].unionByName(rows[1])
