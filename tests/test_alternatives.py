@@ -1,26 +1,32 @@
-"""Healthier alternatives on the literal 3-row frame, and brute force on the catalogue."""
+"""Healthier alternatives on a small frame, and brute force on the catalogue."""
 
 
 from larder.operators.alternatives import healthier_alternatives
 from larder.operators.scoring import score_catalogue
 
 ROWS = [
-    (1, "UPF Cola", "Soft Drinks", 4, "Water, sugar, aspartame, E150, phosphoric acid", "Brand A", 10.0, 0.0),
-    (2, "Sparkling Water", "Soft Drinks", 1, "Carbonated natural mineral water", "Brand B", 0.0, 0.0),
-    (3, "Fruit Juice", "Soft Drinks", 2, "Apple juice, water", "Brand C", 9.0, 0.0),
+    (11, "Neon Fizz", "Drinks", 4, "Corn syrup, E102, E211, taurine", "Volt", 12.0, 0.1),
+    (12, "Oat Drink", "Drinks", 3, "Oats, sunflower oil, E340", "Mill", 4.0, 0.1),
+    (13, "Birch Sap", "Drinks", 1, "Birch sap", "Grove", 0.5, 0.0),
+    (14, "Neon Fizz", "Drinks", 1, "Mislabelled", "Volt", 1.0, 0.0),
+    (15, "Rye Crisp", "Bread", 1, "Rye", "Mill", 0.2, 0.9),
 ]
 SCHEMA = ("code long, product_name string, category_searched string, nova_group int, ingredients_text string, "
           "brand string, sugar_100g double, salt_100g double")
 
 
-def test_three_row_frame(spark):
+def test_small_frame(spark):
     df = score_catalogue(spark.createDataFrame(ROWS, SCHEMA), numeric_nova=True)
-    scores = {r["product_name"]: r["processing_score"] for r in df.collect()}
-    assert scores == {"UPF Cola": 56, "Sparkling Water": 0, "Fruit Juice": 13}
-    alts = healthier_alternatives(df, top_n=3).collect()
-    cola = sorted((r["rank"], r["alt_name"], r["score_improvement"]) for r in alts if r["code"] == 1)
-    assert cola == [(1, "Sparkling Water", 56), (2, "Fruit Juice", 43)]
-    assert not [r for r in alts if r["code"] == 2]  # nothing scores <= 0 besides itself
+    scores = {r["code"]: r["processing_score"] for r in df.collect()}
+    assert scores[13] == scores[14] == scores[15] == 0 and 0 < scores[12] < scores[11]
+    alts = {}
+    for r in healthier_alternatives(df, top_n=3).collect():
+        alts.setdefault(r["code"], []).append((r["rank"], r["alt_code"], r["score_improvement"]))
+    # Not its own name, not another category, the lowest score first.
+    assert sorted(alts[11]) == [(1, 13, scores[11]), (2, 12, scores[11] - scores[12])]
+    assert sorted(alts[12]) == [(1, 13, scores[12]), (2, 14, scores[12])]
+    assert sorted(alts[13]) == [(1, 14, 0)]  # nothing is strictly lower: equal ones come in
+    assert 15 not in alts
 
 
 def test_matches_brute_force(spark):
