@@ -11,8 +11,13 @@ smooth idf ``ln((1+n)/(1+df)) + 1``, L2-normalised rows.
 
 from __future__ import annotations
 
+import os
+import zipfile
 from collections.abc import Iterable
+from functools import lru_cache
+from pathlib import Path
 
+import pyspark
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -79,9 +84,15 @@ def fit_vocabulary(tf: DataFrame, n_docs: DataFrame, key: str, max_df: float | i
     return vocab
 
 
-def english_stop_words() -> list[str]:
-    """Spark's own English list (the default of ``StopWordsRemover``)."""
-    return list(StopWordsRemover.loadDefaultStopWords("english"))
+@lru_cache
+def english_stop_words() -> tuple[str, ...]:
+    """Spark's own English list (the default of ``StopWordsRemover``), read
+    from Spark's jar, so that queries can be listed without a session."""
+    home = Path(os.environ.get("SPARK_HOME") or Path(pyspark.__file__).parent)
+    for jar in (home / "jars").glob("spark-mllib_*.jar"):
+        with zipfile.ZipFile(jar) as archive:
+            return tuple(archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split())
+    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
 
 
 def tfidf(docs: DataFrame, key: str, text: str, max_df: float | int = 1.0, min_df: float | int = 1,
