@@ -287,28 +287,22 @@ def _compared(sent, least: float):
     return compare
 
 
-def _left_over_links(pairs: _Pairs, large: DataFrame, links: DataFrame) -> DataFrame | None:
-    """Compares the nodes of large buckets that are in no component with their
-    leader with all nodes they share such a bucket with."""
-    roots = stored(components(links), "roots")
+def _left_over_links(pairs: _Pairs, large: DataFrame, roots: DataFrame) -> DataFrame | None:
+    """Compares the nodes of large buckets that are not in their leader's
+    component with all nodes they share such a bucket with."""
     leads = roots.select(F.col("node").alias("leader"), F.col("root").alias("leads"))
-    rooted = large.join(roots, "node", "left").join(leads, "leader", "left")
-    own, lead = F.coalesce("root", "node"), F.coalesce("leads", "leader")
-    over = stored(rooted.filter(own != lead).select("key", "node"), "left-over")
+    rooted = large.join(roots, "node", "left").join(leads, "leader", "left").select(
+        "key", "node", F.coalesce("root", "node").alias("root"), F.coalesce("leads", "leader").alias("g"))
+    rooted = stored(rooted, "rooted")
+    over = rooted.filter(F.col("root") != F.col("g"))
     if over.isEmpty():
         return None
-    # Buckets that share nodes form one group, so that no pair is compared in each band anew.
-    keys = over.select("key").distinct()
-    members = stored(large.join(keys, "key").select("key", "node"), "left-over-buckets")
-    first = members.groupBy("key").agg(F.min("node").alias("a"))
-    groups = components(members.join(first, "key").select("a", F.col("node").alias("b")))
-    nodes = stored(members.select("node").distinct().join(groups.withColumnRenamed("root", "g"), "node")
-                   .join(over.select("node").distinct().withColumn("open", F.lit(True)), "node", "left")
-                   .join(roots, "node", "left").select("node", "g", F.coalesce("open", F.lit(False)).alias("open"),
-                                                       F.coalesce("root", "node").alias("root")), "left-over-nodes")
+    # Buckets whose leaders belong together form one group, so that no pair is compared in each band anew.
+    members = rooted.join(over.select("g").distinct(), "g")
+    nodes = stored(members.groupBy("g", "node", "root").agg(F.max(F.col("root") != F.col("g")).alias("open")), "left-over-nodes")
     sizes = nodes.groupBy("g").agg(F.ceil(F.sum(F.col("open").cast("long")) / BLOCK_NODES).alias("us"),
                                    F.ceil(F.count("*") / BLOCK_NODES).alias("ms"))
-    filled = (nodes.join(pairs.features(nodes.select("node")), "node").join(pairs.nodes.select("node", "sig"), "node")
+    filled = (nodes.join(pairs.features(nodes.select("node").distinct()), "node").join(pairs.nodes.select("node", "sig"), "node")
               .join(sizes, "g"))
     u, m = F.pmod(F.xxhash64("node"), "us"), F.pmod(F.xxhash64("node"), "ms")
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1)
@@ -320,9 +314,9 @@ def _left_over_links(pairs: _Pairs, large: DataFrame, links: DataFrame) -> DataF
     return stored(compared, "left-over-links")
 
 
-def similar_links(docs: DataFrame, nodes: DataFrame, idf: np.ndarray, shingle: int, similarity: float) -> DataFrame:
-    """Links between nodes whose components are the classes: all links of the
-    small buckets, and of the large ones as many as join all that belongs
+def similar_components(docs: DataFrame, nodes: DataFrame, idf: np.ndarray, shingle: int, similarity: float) -> DataFrame:
+    """(node, root) of the nodes that are similar to another one: all links of
+    the small buckets, and of the large ones as many as join all that belongs
     together."""
     pairs = _Pairs(docs, nodes, idf, shingle, similarity)
     sized = _sized(nodes.select("node", F.explode("bands").alias("key")))
@@ -330,9 +324,19 @@ def similar_links(docs: DataFrame, nodes: DataFrame, idf: np.ndarray, shingle: i
     spread = small.select("own", F.posexplode("own").alias("at", "a"))
     paired = spread.select("a", F.explode(F.slice("own", F.col("at") + 2, F.size("own"))).alias("b"))
     large = sized.filter(F.col("n") > PAIRED)
-    links = pairs.links(paired.unionByName(_ordered(large, "node", "leader")).distinct())
-    more = _left_over_links(pairs, large, links)
-    return links if more is None else links.unionByName(more)
+    roots = stored(components(pairs.links(paired.unionByName(_ordered(large, "node", "leader")).distinct())), "roots")
+    more = _left_over_links(pairs, large, roots)
+    if more is None or more.isEmpty():
+        return roots
+    # The new links join components: only their roots are joined up again.
+    ends = more
+    for end in ("a", "b"):
+        own = roots.select(F.col("node").alias(end), F.col("root").alias("r"))
+        ends = ends.join(own, end, "left").withColumn(f"r{end}", F.coalesce("r", end)).drop("r")
+    joined = stored(components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b"))), "joined-roots")
+    onto = joined.select(F.col("node").alias("root"), F.col("root").alias("onto"))
+    single = joined.join(roots.select("node"), "node", "left_anti")  # nodes that had no link before
+    return roots.join(onto, "root", "left").select("node", F.coalesce("onto", "root").alias("root")).unionByName(single)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -388,8 +392,8 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"),
         F.min_by("raw", order).alias("raw"))
         .withColumn("row_id", F.coalesce("first.doc_id", F.lit(-(2**63)))), "nodes")
-    links = similar_links(docs, nodes, idf, shingle, similarity)
-    roots = stored(nodes.join(components(links), "node", "left").select(
+    found = similar_components(docs, nodes, idf, shingle, similarity)
+    roots = stored(nodes.join(found, "node", "left").select(
         "k1", "k2", "first", "copies", F.coalesce("root", "node").alias("root")), "roots")
     classes = stored(roots.groupBy("root").agg(F.min("first").alias("lead"), F.sum("copies").alias("class_size"))
                      .filter("class_size > 1"), "classes")
