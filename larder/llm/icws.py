@@ -38,6 +38,10 @@ from larder.llm.shingles import mix, sequence_key, shingle_hashes, word_hashes
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
 SLOTS = 1 << 16
+#: How much the idf adds to a weight at most.  What a large group of near
+#: copies shares is frequent, and with the full idf the group would fall apart
+#: over the few rare shingles in which its texts differ.
+DAMPING = 0.25
 #: Nodes of a bucket that are held against each other directly.
 PAIRED = 24
 #: Agreeing draws, as a share of all, below which a pair cannot be similar
@@ -102,12 +106,12 @@ def slot_of(shingles: np.ndarray, slots: int = SLOTS) -> np.ndarray:
 
 
 def idf_table(counts: dict[int, int], n_docs: int, slots: int = SLOTS) -> np.ndarray:
-    """1 + smoothed idf as a share of its maximum, per slot: from 1 to 2."""
+    """1 + DAMPING * smoothed idf as a share of its maximum, per slot."""
     df = np.zeros(slots)
     for slot, n in counts.items():
         df[slot] = n
     top = np.log(1 + max(n_docs, 1))
-    return np.clip(1 + np.log((1 + n_docs) / (1 + df)) / top, 1, 2)
+    return 1 + DAMPING * np.clip(np.log((1 + n_docs) / (1 + df)) / top, 0, 1)
 
 
 def weigh(shingles: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
