@@ -20,8 +20,8 @@ import re
 from array import array
 from collections.abc import Iterable
 
-#: Distinct chunks that a worker keeps: the newer half, and the half before it.
-CACHE = 700_000
+#: Distinct chunks and words that a worker keeps; then it starts anew.
+CACHE_CHUNKS, CACHE_WORDS = 900_000, 500_000
 CACHE_CHARS = 48
 #: Texts, or so many characters of them, that are encoded together.
 SLICE_TEXTS, SLICE_CHARS = 256, 4_000_000
@@ -66,39 +66,42 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.shown = {b: c for c, b in _byte_of().items()}
         self.words = regex.compile(given["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.chunks, self.older = {}, {}
+        self.chunks: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
-    def _words(self, chunk: str) -> list[str]:
-        if not chunk.isascii():
-            return self.words.findall(self.tokenizer.normalizer.normalize_str(chunk))
-        return [chunk.lower()] if chunk.isalpha() else self.words.findall(chunk.lower())
-
     def _ids(self, word: str) -> bytes:
         shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.shown)
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.chunks) > CACHE // 2:  # chunks that are met again move on from the older half
-            self.chunks, self.older, self.known = {}, self.chunks, {}
-        chunks, older, known = self.chunks, self.older, self.known
+        if len(self.chunks) > CACHE_CHUNKS:
+            self.chunks = {}
+        if len(self.known) > CACHE_WORDS:
+            self.known = {}
+        chunks, known = self.chunks, self.known
+        words, normal = self.words.findall, self.tokenizer.normalizer.normalize_str
         # str.split() also cuts at four control characters that are no white space to the file's pattern.
         cut = [SPACES.split(t) if CONTROLS.search(t) else t.split() for t in texts]
-        new = {}
+        long = []
         for chunk in set().union(*cut).difference(chunks):
-            ids = older.get(chunk)
-            if ids is None:
-                new[chunk] = self._words(chunk)
+            if not chunk.isascii():
+                found = words(normal(chunk))
             else:
-                chunks[chunk] = ids
-        words = list(set().union(*new.values()).difference(known))
-        known.update(zip(words, map(self._ids, words), strict=True))
-        for chunk, parts in new.items():
-            chunks[chunk] = known[parts[0]] if len(parts) == 1 else b"".join([known[w] for w in parts])
+                found = (chunk.lower(),) if chunk.isalpha() else words(chunk.lower())
+            ids = b""
+            for word in found:
+                own = known.get(word)
+                if own is None:
+                    own = self._ids(word)
+                    if len(word) <= CACHE_CHARS:
+                        known[word] = own
+                ids += own
+            chunks[chunk] = ids
+            if len(chunk) > CACHE_CHARS:
+                long.append(chunk)
         out = [b"".join(map(chunks.__getitem__, c)) for c in cut]
-        for store, keys in ((chunks, new), (known, words)):
-            for key in [k for k in keys if len(k) > CACHE_CHARS]:
-                del store[key]
+        for chunk in long:
+            del chunks[chunk]
         return out
 
 
