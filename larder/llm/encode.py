@@ -6,11 +6,13 @@ bytes, so a text's ids are its words' ids in a row.
 * Byte-level files (no normaliser, GPT-2's word pattern): the file's
   vocabulary is handed to ``tiktoken``, whose merges by rank are the same
   and whose whole-text loop is about five times faster.
-* Lower-case word files (white space dropped, ``</w>`` at word ends): words
-  are cut by the file's own pattern and each distinct word is encoded once
-  per worker by the model of ``tokenizers``.
+* Lower-case word files (white space dropped, ``</w>`` at word ends): white
+  space cuts a text into chunks, and a worker keeps the ids of the chunks it
+  has met.  New ones are normalised together by the library, cut into words by
+  the file's own pattern, and merged together by ``tiktoken``, for which a line
+  end behind each word stands for ``</w>`` (no word holds one).
 
-``tests/llm/test_encode.py`` holds both against ``Tokenizer.encode``.
+``tests/llm/test_encode_and_packing.py`` holds both against ``Tokenizer.encode``.
 """
 
 from __future__ import annotations
@@ -20,14 +22,18 @@ import re
 from array import array
 from collections.abc import Iterable
 
-#: Distinct chunks and words that a worker keeps; then it starts anew.
-CACHE_CHUNKS, CACHE_WORDS = 900_000, 500_000
-CACHE_CHARS = 48
+import numpy as np
+
+#: Distinct chunks that a worker keeps; then it starts anew.  Longer ones are not kept.
+CACHE_CHUNKS, CACHE_CHARS = 400_000, 48
 #: Texts, or so many characters of them, that are encoded together.
 SLICE_TEXTS, SLICE_CHARS = 256, 4_000_000
 GPT2_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-SPACES, CONTROLS = re.compile(r"[ \t\n\r\x0b\x0c]+"), re.compile(r"[\x1c-\x1f]")
+#: Stands between chunks that are encoded together.
+MARK = "\x1f"
+#: str.split() also cuts at these, which are no white space to the files' patterns.
+CONTROLS = re.compile(r"[\x1c-\x1f]")
 
 _ENCODERS: dict[str, ByteEncoder | WordEncoder] = {}
 
@@ -60,48 +66,52 @@ class ByteEncoder:
 class WordEncoder:
     def __init__(self, path: str, given: dict) -> None:
         import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.shown = {b: c for c, b in _byte_of().items()}
-        self.words = regex.compile(given["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        pattern = given["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        if "[^\\s" not in pattern:
+            raise ValueError(f"{path}: an unknown word pattern")
+        self.words = regex.compile(MARK + "|" + pattern.replace("[^\\s", "[^\\s" + MARK)).findall
+        byte, special = _byte_of(), {t["id"] for t in given["added_tokens"]}
+        ranks = {}
+        for piece, n in given["model"]["vocab"].items():
+            if n not in special:
+                body = piece.removesuffix("</w>")
+                ranks[bytes(byte[c] for c in body) + b"\n" * (body != piece)] = n
+        self.mark = ranks[MARK.encode() + b"\n"]
+        self.core = tiktoken.Encoding("words", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={})
         self.chunks: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
 
-    def _ids(self, word: str) -> bytes:
-        shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.shown)
-        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+    def _learn(self, new: list[str], normal: str) -> None:
+        """Keeps the ids of new chunks; ``normal`` is their normalised text."""
+        marked = "\n".join(self.words(normal + MARK)) + "\n"
+        ids = np.array(self.core.encode_ordinary(marked), dtype="<u4")
+        ends, data, start = np.flatnonzero(ids == self.mark) * 4, ids.tobytes(), 0
+        for chunk, end in zip(new, ends.tolist(), strict=True):
+            self.chunks[chunk] = data[start:end]
+            start = end + 4
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > CACHE_CHUNKS:
             self.chunks = {}
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        chunks, known = self.chunks, self.known
-        words, normal = self.words.findall, self.tokenizer.normalizer.normalize_str
-        # str.split() also cuts at four control characters that are no white space to the file's pattern.
-        cut = [SPACES.split(t) if CONTROLS.search(t) else t.split() for t in texts]
-        long = []
-        for chunk in set().union(*cut).difference(chunks):
-            if not chunk.isascii():
-                found = words(normal(chunk))
-            else:
-                found = (chunk.lower(),) if chunk.isalpha() else words(chunk.lower())
-            ids = b""
-            for word in found:
-                own = known.get(word)
-                if own is None:
-                    own = self._ids(word)
-                    if len(word) <= CACHE_CHARS:
-                        known[word] = own
-                ids += own
-            chunks[chunk] = ids
-            if len(chunk) > CACHE_CHARS:
-                long.append(chunk)
+        chunks = self.chunks
+        odd = {i for i, t in enumerate(texts) if CONTROLS.search(t)}
+        cut = [[] if i in odd else t.split() for i, t in enumerate(texts)]
+        new = set().union(*cut).difference(chunks)
+        plain, other = [c for c in new if c.isascii()], [c for c in new if not c.isascii()]
+        if plain:
+            self._learn(plain, MARK.join(plain).lower())
+        if other:
+            self._learn(other, self.tokenizer.normalizer.normalize_str(MARK.join(other)))
         out = [b"".join(map(chunks.__getitem__, c)) for c in cut]
-        for chunk in long:
-            del chunks[chunk]
+        for i in odd:
+            out[i] = array("I", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
+        for chunk in new:
+            if len(chunk) > CACHE_CHARS:
+                del chunks[chunk]
         return out
 
 

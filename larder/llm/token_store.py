@@ -33,7 +33,7 @@ from larder.llm.encode import encoder, slices, vocabulary_size
 from larder.llm.warc_normal import _Output, file_system
 
 MAGIC = b"LTOK1\n"
-LEVEL = 6
+LEVEL = 3
 #: The dictionary is trained on the first ``SAMPLE_IDS`` ids of about ``SAMPLE_DOCS`` documents.
 DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_IDS = 64 * 1024, 1000, 2048
 INDEX_SCHEMA = "file string, row long, doc_id long, offset long, length long, n_tokens long, before long"
