@@ -111,13 +111,13 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     return Plan(*columns, sequences)
 
 
-def _cut(tokenizer: str, end_id: int, capacity: int):
+def _cut(tokenizer: str, end_id: int, capacity: int, added_tokens: bool):
     end = np.array([end_id], dtype="<u4").tobytes()
     names = [f.split()[0] for f in PIECES_SCHEMA.split(", ")]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = encoder(tokenizer).encode, TaskContext.get().partitionId()
+        encode, task = encoder(tokenizer, added_tokens).encode, TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
@@ -138,13 +138,14 @@ def _cut(tokenizer: str, end_id: int, capacity: int):
 
 
 def token_pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0,
-                 capacity: int = CAPACITY) -> DataFrame:
+                 capacity: int = CAPACITY, added_tokens: bool = True) -> DataFrame:
     """Pieces of at most ``capacity`` ids, stored: doc_id, piece, start, length,
     ids (little-endian unsigned 32-bit), and the piece's rank among those of
     its length in its task.  Only a text of more ids is cut; its first piece
-    takes what does not fill a whole one."""
+    takes what does not fill a whole one.  The names of the file's added tokens
+    in a text give their ids, or with ``added_tokens=False`` are ordinary text."""
     given = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return stored(given.mapInArrow(_cut(tokenizer, end_id, capacity), PIECES_SCHEMA), "pieces")
+    return stored(given.mapInArrow(_cut(tokenizer, end_id, capacity, added_tokens), PIECES_SCHEMA), "pieces")
 
 
 def _placed(plan: Plan):

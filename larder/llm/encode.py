@@ -14,6 +14,10 @@ bytes, so a text's ids are its words' ids in a row.
   the file's own pattern, and merged together by ``tiktoken``, for which a line
   end behind each word stands for ``</w>`` (no word holds one).
 
+The names of the file's added tokens ('<|endoftext|>') in a text are ordinary text
+unless ``added_tokens`` is set; then a text is cut at them first, and they give
+their own ids, as in the library's default setting.
+
 ``tests/llm/test_encode_and_packing.py`` holds both against ``Tokenizer.encode``.
 """
 
@@ -42,7 +46,7 @@ MARK = "\x1f"
 #: str.split() also cuts at these, which are no white space to the files' patterns.
 CONTROLS = re.compile(r"[\x1c-\x1f]")
 
-_ENCODERS: dict[str, ByteEncoder | WordEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], ByteEncoder | WordEncoder | AddedTokens] = {}
 
 
 def tokenizer_path(name: str) -> str:
@@ -140,21 +144,43 @@ class WordEncoder:
         return out
 
 
-def encoder(path: str) -> ByteEncoder | WordEncoder:
+class AddedTokens:
+    """Cuts texts at the names of added tokens; what lies between is encoded as a text of its own."""
+
+    def __init__(self, within: ByteEncoder | WordEncoder, path: str, tokens: list[dict]) -> None:
+        if any(t[k] for t in tokens for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path}: added tokens with rules of their own are not known")
+        self.within, self.ids = within, {t["content"]: array("I", [t["id"]]).tobytes() for t in tokens}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.ids, key=len, reverse=True))) + ")").split
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        held = {i: self.cut(t) for i, t in enumerate(texts) if any(name in t for name in self.ids)}
+        if not held:
+            return self.within.encode(texts)
+        parts = [held.get(i, [t]) for i, t in enumerate(texts)]  # names at the odd places
+        between = iter(self.within.encode([p for own in parts for p in own[::2]]))
+        return [b"".join(self.ids[p] if n % 2 else next(between) for n, p in enumerate(own)) for own in parts]
+
+
+def encoder(path: str, added_tokens: bool = False) -> ByteEncoder | WordEncoder | AddedTokens:
     """One per worker, so that the words it knows serve all its tasks.
 
-    ``encode(texts)`` gives the little-endian unsigned 32-bit ids of each."""
-    if path not in _ENCODERS:
+    ``encode(texts)`` gives the little-endian unsigned 32-bit ids of each;
+    with ``added_tokens`` their names in a text give their ids."""
+    if (path, added_tokens) not in _ENCODERS:
         with open(path, encoding="utf-8") as file:
             given = json.load(file)
+        if added_tokens and given["added_tokens"]:
+            _ENCODERS[path, True] = AddedTokens(encoder(path), path, given["added_tokens"])
+            return _ENCODERS[path, True]
         kind = (given.get("normalizer"), (given.get("pre_tokenizer") or {}).get("type"))
         if kind == (None, "ByteLevel"):
-            _ENCODERS[path] = ByteEncoder(given)
+            _ENCODERS[path, added_tokens] = ByteEncoder(given)
         elif given["model"].get("end_of_word_suffix") == "</w>":
-            _ENCODERS[path] = WordEncoder(path, given)
+            _ENCODERS[path, added_tokens] = WordEncoder(path, given)
         else:
             raise ValueError(f"{path}: only byte-level and lower-case word files are known")
-    return _ENCODERS[path]
+    return _ENCODERS[path, added_tokens]
 
 
 def vocabulary_size(path: str) -> int:

@@ -57,14 +57,14 @@ def _dictionary(data: bytes):
     return zstandard.ZstdCompressionDict(data, dict_type=kind)
 
 
-def _samples(docs: DataFrame, tokenizer: str, width: str) -> list[bytes]:
+def _samples(docs: DataFrame, tokenizer: str, width: str, added_tokens: bool) -> list[bytes]:
     """Serialised starts of a bounded sample, chosen by a hash of the identifier."""
     n = docs.count()
     share = min(1.0, SAMPLE_DOCS / max(n, 1))
     chosen = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, added_tokens).encode
         for batch in batches:
             texts = [(t or "")[:8 * SAMPLE_IDS] for t in batch.column("text").to_pylist()]
             blobs = [np.frombuffer(b, "<u4")[:SAMPLE_IDS].astype(width).tobytes() for b in encode(texts)]
@@ -74,11 +74,11 @@ def _samples(docs: DataFrame, tokenizer: str, width: str) -> list[bytes]:
     return [bytes(r.blob) for r in sorted(found.collect(), key=lambda r: (r.doc_id is not None, r.doc_id, r.blob)) if r.blob]
 
 
-def _write(folder: str, tokenizer: str, end_id: int, width: str, dictionary: bytes):
+def _write(folder: str, tokenizer: str, end_id: int, width: str, dictionary: bytes, added_tokens: bool):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer, added_tokens).encode, np.array([end_id], "<u4").tobytes()
         pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary)).compress
         task = TaskContext.get().partitionId()
         path = f"{folder}/part-{task:06d}.ltok"
@@ -109,20 +109,21 @@ def _write(folder: str, tokenizer: str, end_id: int, width: str, dictionary: byt
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", added_tokens: bool = True) -> DataFrame:
     """Writes the ids of every text, with ``end_id`` behind each, in ascending
     order of the identifiers (nulls first; rows with the same identifier in any
-    order).  Null texts are empty.  Returns (file, part, docs, tokens), stored;
+    order).  Null texts are empty.  The names of the file's added tokens in a text
+    give their ids, or with ``added_tokens=False`` are ordinary text.  Returns (file, part, docs, tokens), stored;
     an empty table writes no file."""
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     width = "<u2" if max(vocabulary_size(tokenizer), end_id + 1) <= 1 << 16 else "<u4"
-    dictionary = train_dictionary(_samples(given, tokenizer, width))
+    dictionary = train_dictionary(_samples(given, tokenizer, width, added_tokens))
     fs, path = file_system(folder)
     fs.create_dir(path, recursive=True)
     with fs.open_output_stream(f"{path}/dictionary-{hashlib.sha256(dictionary).hexdigest()}", compression=None) as file:
         file.write(dictionary)
     ordered = given.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    return stored(ordered.mapInArrow(_write(folder, tokenizer, end_id, width, dictionary),
+    return stored(ordered.mapInArrow(_write(folder, tokenizer, end_id, width, dictionary, added_tokens),
                                      "file string, part int, docs long, tokens long"), "token-files")
 
 
