@@ -6,8 +6,9 @@ as many words as the item has a weighted-shingle similarity of at least
 shingle), weighted by the letters they hold, and the similarity is the
 weighted Jaccard of the two multisets.
 
-A window that shares no shingle with an item has similarity 0, so only windows
-aligned on a shared shingle are made.  Each gets a 64-bit SimHash; the items'
+What a window can share with an item at most is the weight of its shingles that
+stand anywhere in the item.  Of all starts in a document, those windows are made
+for which this bound reaches the similarity that is asked for.  Each gets a 64-bit SimHash; the items'
 fingerprints are indexed by blocks of bits, and probing every block value
 within ``radius // blocks`` flips finds every fingerprint within ``radius``
 (at least one block has no more flips than that).  The items found are
@@ -116,8 +117,8 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, str]], shingle: int, similarity: float, radius: int, blocks: int) -> None:
         self.similarity = similarity
         self.vocabulary: dict[str, int] = {}
-        self.ids, self.sizes, self.features, prints = [], [], [], []
-        postings: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        self.ids, self.sizes, self.features, self.weights, prints = [], [], [], [], []
+        postings: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for item_id, text in items:
             words = words_of(text or "")
             if not words:
@@ -128,10 +129,11 @@ class ItemIndex:
             self.ids.append(item_id)
             self.sizes.append((len(words), k))
             self.features.append(features)
+            self.weights.append(sum(features.values()))
             prints.append(fingerprint(features))
             codes = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], dtype=np.uint64)
-            for at, h in enumerate(self._rolled(codes, k).tolist()):
-                postings[k][h].append((own, at))
+            for h in set(self._rolled(codes, k).tolist()):
+                postings[k][h].append(own)
         self.longest = max((n for n, _ in self.sizes), default=0)
         self.postings = {k: (np.array(sorted(p), dtype=np.uint64), p) for k, p in postings.items()}
         self.near = HammingBlocks(prints, radius, blocks).near if prints else (lambda _: [])
@@ -148,10 +150,11 @@ class ItemIndex:
         return h
 
     def _windows(self, words: list[str]) -> set[tuple[int, int, int]]:
-        """(start, words, shingle) of the windows that share a shingle with an
-        item of that size; a shorter text is one window."""
+        """(start, words, shingle) of the windows that can be similar enough to
+        an item of that size; a shorter text is one window."""
         codes = np.fromiter(map(self.vocabulary.get, words, itertools.repeat(0)), dtype=np.uint64, count=len(words))
         unknown = np.concatenate(([0], np.cumsum(codes == 0)))
+        letters = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))))
         windows = set()
         for k, (hashes, postings) in self.postings.items():
             known = np.flatnonzero(unknown[k:] == unknown[:-k]) if len(words) >= k else []
@@ -163,10 +166,25 @@ class ItemIndex:
                 h ^= h >> np.uint64(29)
             place = np.searchsorted(hashes, h)
             hit = np.flatnonzero(hashes[np.minimum(place, len(hashes) - 1)] == h)
+            weight = letters[k:] - letters[:-k]
+            shared: dict[int, list[int]] = defaultdict(list)
             for at, value in zip(known[hit].tolist(), h[hit].tolist(), strict=True):
-                for item, offset in postings[value]:
-                    size = self.sizes[item][0]
-                    windows.add((max(0, min(at - offset, len(words) - size)), size, k))
+                for item in postings[value]:
+                    shared[item].append(at)
+            upto = None
+            for item, places in shared.items():
+                own, at = self.weights[item], np.array(places)
+                held = np.concatenate(([0], np.cumsum(weight[at])))
+                if held[-1] < self.similarity * own - 1e-6:
+                    continue
+                if upto is None:
+                    upto = np.concatenate(([0], np.cumsum(weight)))
+                size = self.sizes[item][0]
+                m = min(size, len(words)) - k + 1  # shingles of a window
+                start = np.arange(max(0, places[0] - m + 1), min(max(len(words) - size, 0), places[-1]) + 1)
+                most = np.minimum(held[np.searchsorted(at, start + m)] - held[np.searchsorted(at, start)], own)
+                enough = most >= self.similarity * (own + upto[start + m] - upto[start] - most) - 1e-6
+                windows.update((s, size, k) for s in start[enough].tolist())
         return windows
 
     def search(self, text: str | None) -> list[tuple[int, int, int, int, float]]:
