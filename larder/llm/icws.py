@@ -36,7 +36,7 @@ from larder.llm.common import stored
 from larder.llm.shingles import mix, sequence_key, shingle_hashes, word_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 20, 4
 SLOTS = 1 << 16
 #: How much the idf adds to a weight at most.  What a large group of near
 #: copies shares is frequent, and with the full idf the group would fall apart
@@ -45,7 +45,7 @@ DAMPING = 0.25
 #: Nodes of a bucket that are held against each other directly.
 PAIRED = 24
 #: Agreeing draws, as a share of all, below which a pair cannot be similar
-#: (five standard deviations under the similarity that is asked for).
+#: (over five standard deviations under the similarity that is asked for).
 AGREEING = 0.55
 #: Nodes of a block, where nodes that are left over meet the others of their buckets.
 BLOCK_NODES = 512
