@@ -10,8 +10,8 @@ connected components of the links.
 
 Document frequencies are counted over all documents by hashed shingle, in a
 table of fixed size: a shingle shares its slot with about one in ``SLOTS`` of
-all others, so at any size only shingles that more than a fraction of a percent
-of all documents share lose weight.
+all others and takes on their documents.  So the more shingles a table has, the
+smaller the idf of a rare one, and the nearer the weights are to plain tf.
 
 No group is paired off as a whole.  Texts of the same words are one node.  A
 bucket of up to ``PAIRED`` nodes is paired off; in a larger one all nodes are
