@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larder.llm import best_fit, content_sort, icws, kd_shards, leak_simhash, log_bilinear, token_store, toxic_kernel, url_vocabulary, warc_normal
+from larder.llm import (best_fit, content_sort, filter_audit, icws, kd_shards, leak_simhash, log_bilinear, repair_runs, token_store,
+                        toxic_kernel, url_vocabulary, warc_normal)
 from larder.llm.common import LOWER, UPPER, table
 from larder.llm.encode import tokenizer_path
 from larder.llm.registry import register
@@ -78,3 +79,14 @@ URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
 @register("op10_url_filter", url_vocabulary.oracle(URL_RULES, url_vocabulary.Vocabulary()))
 def op10_url_filter(spark, sf_dir):
     return url_vocabulary.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"), rules=URL_RULES)
+
+
+@register("op11_repair_runs")
+def op11_repair_runs(spark, sf_dir):
+    return repair_runs.digest(repair_runs.periodic_runs(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                                        change=repair_runs.planted))
+
+
+@register("op12_filter_audit", filter_audit.ORACLE)
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
