@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larder.llm import (best_fit, content_sort, filter_audit, icws, kd_shards, leak_simhash, log_bilinear, repair_runs, token_store,
-                        toxic_kernel, url_vocabulary, warc_normal)
+from larder.llm import (best_fit, content_sort, filter_audit, icws, kd_shards, leak_simhash, log_bilinear, prefix_join, repair_runs,
+                        token_store, toxic_kernel, url_vocabulary, warc_normal)
 from larder.llm.common import LOWER, UPPER, table
 from larder.llm.encode import tokenizer_path
 from larder.llm.registry import register
@@ -90,3 +90,9 @@ def op11_repair_runs(spark, sf_dir):
 @register("op12_filter_audit", filter_audit.ORACLE)
 def op12_filter_audit(spark, sf_dir):
     return filter_audit.audit(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
+@register("op13_prefix_join")
+def op13_prefix_join(spark, sf_dir):
+    return prefix_join.similar_documents(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "n_shingles", "component_id")
