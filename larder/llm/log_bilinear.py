@@ -9,6 +9,9 @@ vector plus a bias.  Inside a class a token has its smoothed share of the
 class's counts, so every token, known or not, has a probability and they add
 up to one.
 
+Texts are cut into tokens twice: to count them, and, once the vocabulary is
+fixed, to store their units, two bytes a token, which training and scoring read.
+
 Training is noise-contrastive estimation in numpy, on all training rows: every
 task runs over its rows from the same start, and the results are averaged by
 tokens, after a first round on a part of the rows.  Since a score is a sum of
@@ -154,11 +157,12 @@ class Parameters:
         return Parameters(*(c.reshape(x.shape).copy() for c, x in zip(cut, vars(self).values(), strict=True)))
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
+def _sigmoid_of_negative(x: np.ndarray) -> np.ndarray:
+    """The sigmoid of -x, in the place of x."""
     with np.errstate(over="ignore"):
-        out = np.exp(np.negative(x))
-    out += 1
-    return np.reciprocal(out, out=out)
+        np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _summed(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -189,13 +193,15 @@ class Trainer:
         c1, c2, target, other = p.context[one], p.context[two], p.output[word], p.output[noise]
         h = c1 @ p.first + c2 @ p.second
         data = np.einsum("ij,ij->i", h, target) + p.bias[word] - self.log_noise[word]
-        false = h @ other.T + (p.bias[noise] - self.log_noise[noise])
-        up, down = _sigmoid(-data), -_sigmoid(false)
-        dh = up[:, None] * target + down @ other
+        # One product gives the noise scores with their biases; ``down`` is how far each is taken for data.
+        lifted = np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
+        false = lifted @ np.concatenate([-other, (self.log_noise[noise] - p.bias[noise])[:, None]], axis=1).T
+        up, down = _sigmoid_of_negative(data), _sigmoid_of_negative(false)
+        dh = up[:, None] * target - down @ other
         units = len(p.bias)
-        output = _summed(np.concatenate([word, noise]), np.concatenate([up[:, None] * h, down.T @ h]), units)
+        output = _summed(np.concatenate([word, noise]), np.concatenate([up[:, None] * h, -(down.T @ h)]), units)
         context = _summed(np.concatenate([one, two]), np.concatenate([dh @ p.first.T, dh @ p.second.T]), units)
-        bias = np.bincount(np.concatenate([word, noise]), np.concatenate([up, down.sum(axis=0)]), units).astype(np.float32)
+        bias = np.bincount(np.concatenate([word, noise]), np.concatenate([up, -down.sum(axis=0)]), units).astype(np.float32)
         for name, gradient in (("output", output), ("context", context), ("first", c1.T @ dh), ("second", c2.T @ dh),
                                ("bias", bias)):
             self._step(name, gradient / len(word))
@@ -213,12 +219,15 @@ def contexts(units: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     return padded[:-2], padded[1:-1]
 
 
+def _unpacked(units: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(units.as_buffer(), dtype="<u2").astype(np.int64)
+
+
 def _train(sent, seed: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, start = sent.value
         trainer = Trainer(start.like(start.flat()), vocabulary.unit_counts(), seed)
         kept, open_, held, seen = [], [], 0, 0
-        classes: dict[bytes, int] = {}
 
         def close() -> int:
             block = tuple(np.concatenate(c) for c in zip(*open_, strict=True))
@@ -228,15 +237,13 @@ def _train(sent, seed: int):
             return len(block[0])
 
         for batch in batches:
-            for text in batch.column("text"):
-                _, unit = vocabulary.units_of(tokens_of(text.as_py()), classes)
+            for units in batch.column("units"):
+                unit = _unpacked(units)
                 open_.append((*contexts(unit, vocabulary.end), unit))
                 held += len(unit)
                 if held >= BLOCK:
                     seen += close()
                     open_, held = [], 0
-                    if len(classes) > COUNTED:
-                        classes.clear()
         if open_:
             seen += close()
         own = seen
@@ -273,8 +280,8 @@ def _round(rows: DataFrame, tokens: int, vocabulary: Vocabulary, start: Paramete
     return start.like(sum(v for _, v in total) / sum(n for n, _ in total)) if total else start
 
 
-def fit(train: DataFrame, id_col: str = "doc_id") -> tuple[Vocabulary, Parameters, DataFrame]:
-    """(vocabulary, parameters, counts of all training tokens) of (id, text) rows."""
+def learn_vocabulary(train: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """(vocabulary, counts of the training tokens that it leaves out) of texts."""
     counts = stored(train.select("text").mapInArrow(_count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")), "token-counts")
     size = F.floor(F.log2("n") * 16).cast("int")
     sums = {r.s: r for r in counts.groupBy(size.alias("s")).agg(F.count("*").alias("v"), F.sum("n").alias("n")).collect()}
@@ -297,11 +304,61 @@ def fit(train: DataFrame, id_col: str = "doc_id") -> tuple[Vocabulary, Parameter
         mass[class_of(token)] += n + 0.1
     vocabulary = Vocabulary([t for t, _ in head], np.array([n for _, n in head], dtype=np.int64), words, mass,
                             sum(r.n for r in sums.values()), sum(r.v for r in sums.values()))
-    start = Parameters.start(vocabulary.unit_counts())
-    first = train.filter(F.pmod(F.xxhash64(id_col), F.lit(FIRST_ROUND)) == 0)
-    for seed, (rows, share) in enumerate(((first, FIRST_ROUND), (train, 1))):
-        start = _round(rows, vocabulary.total // share, vocabulary, start, seed)
-    return vocabulary, start, tail
+    return vocabulary, tail
+
+
+def _encode(sent):
+    rare = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare, pa.binary()]
+    names = ["doc_id", "held_out", "n_tokens", "known", "base", "inside", "rare", "units"]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = sent.value
+        classes: dict[bytes, int] = {}
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part, rows = batch.slice(start, 256), []
+                for doc, out, text in zip(*(part.column(c) for c in ("doc_id", "held_out", "text")), strict=True):
+                    tokens = tokens_of(text.as_py())
+                    at, unit = v.units_of(tokens, classes)
+                    known = at >= 0
+                    others = Counter(tokens[i] for i in np.flatnonzero(~known).tolist())
+                    found = at[known]
+                    base = v.base[found].sum() - v.log_denominator * (len(at) - len(found))
+                    inside = v.inside[found].sum() - v.class_log[unit].sum()
+                    rows.append((doc.as_py(), out.as_py(), len(tokens), int((v.counts[found] > 0).sum()), float(base), float(inside),
+                                 [{"token": t, "n": n} for t, n in others.items()], unit.astype("<u2").tobytes()))
+                if len(classes) > COUNTED:
+                    classes.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+    return encode
+
+
+def encoded(given: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, held_out, text) rows with the units of their tokens, two
+    bytes each, and all of their scores that no model decides, stored: every
+    later step reads units, and no text is cut into tokens again."""
+    sent = given.sparkSession.sparkContext.broadcast(vocabulary)
+    rows = given.select("doc_id", "held_out", "text").mapInArrow(
+        _encode(sent), "doc_id long, held_out boolean, n_tokens long, known long, base double, inside double, "
+                       "rare array<struct<token:binary,n:bigint>>, units binary")
+    return stored(rows.withColumn("uid", F.monotonically_increasing_id()), "lbl-encoded")
+
+
+def train_model(rows: DataFrame, vocabulary: Vocabulary) -> Parameters:
+    """The parameters after a round on some of the encoded rows and one on all."""
+    parameters = Parameters.start(vocabulary.unit_counts())
+    units = rows.select("units")
+    first = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(FIRST_ROUND)) == 0).select("units")
+    for seed, (some, share) in enumerate(((first, FIRST_ROUND), (units, 1))):
+        parameters = _round(some, vocabulary.total // share, vocabulary, parameters, seed)
+    return parameters
+
+
+def fit(train: DataFrame) -> tuple[Vocabulary, Parameters, DataFrame]:
+    """(vocabulary, parameters, counts of the tokens left out of it) of (doc_id, text) rows."""
+    vocabulary, tail = learn_vocabulary(train)
+    return vocabulary, train_model(encoded(train.withColumn("held_out", F.lit(False)), vocabulary), vocabulary), tail
 
 
 class Scorer:
@@ -323,33 +380,19 @@ _SCORERS: dict[str, Scorer] = {}
 
 
 def _score(sent, key: str):
-    names = ["doc_id", "held_out", "n_tokens", "known", "base", "model", "rare"]
-    rare = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
-    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare]
+    kept = ["uid", "doc_id", "held_out", "n_tokens", "known", "base"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _SCORERS:
             _SCORERS.clear()
             _SCORERS[key] = Scorer(*sent.value)
         scorer = _SCORERS[key]
-        v = scorer.v
-        classes: dict[bytes, int] = {}
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part, rows = batch.slice(start, 256), []
-                for doc, out, text in zip(*(part.column(c) for c in ("doc_id", "held_out", "text")), strict=True):
-                    tokens = tokens_of(text.as_py())
-                    at, unit = v.units_of(tokens, classes)
-                    known = at >= 0
-                    others = Counter(tokens[i] for i in np.flatnonzero(~known).tolist())
-                    base = v.base[at[known]].sum() - v.log_denominator * (~known).sum()
-                    model = (scorer.log10(*contexts(unit, v.end), unit).sum() + v.inside[at[known]].sum()
-                             - v.class_log[unit].sum())
-                    rows.append((doc.as_py(), out.as_py(), len(tokens), int((v.counts[at[known]] > 0).sum()), float(base), float(model),
-                                 [{"token": t, "n": n} for t, n in others.items()]))
-                if len(classes) > COUNTED:
-                    classes.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            model = batch.column("inside").to_numpy().copy()
+            for n, packed in enumerate(batch.column("units")):
+                unit = _unpacked(packed)
+                model[n] += scorer.log10(*contexts(unit, scorer.v.end), unit).sum()
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(model)], names=[*kept, "model"])
     return score
 
 
@@ -359,24 +402,25 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
 
     Learns from the rows whose crc32(identifier as text) mod ``folds`` is not
     0.  A null text is empty and has only its end; a null identifier counts as
-    an empty one.  Without training rows the base is 0 and the model spreads
+    an empty one; a very long text is scored whole; other columns are not looked at.  Without training rows the base is 0 and the model spreads
     evenly over the end and the classes.  Repeated rows each count; an empty
     table gives an empty result."""
     given = df.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col, folds).alias("held_out"),
                       F.col(text_col).alias("text"))
-    vocabulary, parameters, tail = fit(given.filter("not held_out").select("doc_id", "text"))
+    vocabulary, tail = learn_vocabulary(given.filter("not held_out"))
+    rows = encoded(given, vocabulary)
+    parameters = train_model(rows.filter("not held_out"), vocabulary)
     spark = df.sparkSession
     sent = spark.sparkContext.broadcast((vocabulary, parameters))
     key = f"{spark.sparkContext.applicationId}-{sent._jbroadcast.id()}"
-    scored = given.mapInArrow(_score(sent, key), "doc_id long, held_out boolean, n_tokens long, known long, base double, "
-                                                 "model double, rare array<struct<token:binary,n:bigint>>")
-    scored = stored(scored.withColumn("uid", F.monotonically_increasing_id()), "lbl-scored")
-    rare = scored.select("uid", F.inline("rare").alias("token", "n"))
+    scored = rows.drop("rare").mapInArrow(_score(sent, key), "uid long, doc_id long, held_out boolean, n_tokens long, known long, "
+                                                             "base double, model double")
+    rare = rows.select("uid", F.inline("rare").alias("token", "n"))
     joined = rare.join(tail.withColumnRenamed("n", "c"), "token", "left")
     more = joined.groupBy("uid").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).alias("more"),
                                      F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("found"))
     added = F.coalesce("more", F.lit(0.0))
-    return scored.drop("rare").join(more, "uid", "left").select(
+    return scored.join(more, "uid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"),
         F.lit(vocabulary.total).cast("long").alias("train_tokens"), (F.col("base") + added).alias("base_score"),
         (F.col("model") + added).alias("score"))
