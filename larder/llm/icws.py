@@ -313,7 +313,9 @@ def _left_over_links(pairs: _Pairs, large: DataFrame, roots: DataFrame) -> DataF
     columns = ["g", "node", "root", "sig", "f"]
     mine = filled.filter("open").select(*columns, F.lit(0).alias("side"), u.alias("ub"), F.explode(upto("ms")).alias("mb"))
     others = filled.select(*columns, F.lit(1).alias("side"), F.explode(upto("us")).alias("ub"), m.alias("mb"))
-    compared = mine.unionByName(others).groupBy("g", "ub", "mb").applyInPandas(
+    # Dealt by block: what is dealt by group already would stay one task a group.
+    dealt = mine.unionByName(others).repartition("g", "ub", "mb")
+    compared = dealt.groupBy("g", "ub", "mb").applyInPandas(
         _compared(pairs.sent, pairs.similarity), "a long, b long, similarity double")
     return stored(compared, "left-over-links")
 
