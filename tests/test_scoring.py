@@ -11,7 +11,7 @@ from tests.conftest import one
 
 def test_e_numbers(spark):
     texts = ["Pears, E202, juice, e224", "E965ii E1442 E99", "no code: EE330 or E33", "", None, "xE440 E440x", "(E476)/E476;E1105b"]
-    rule = re.compile(r"\\bE\\d{3,4}[a-z]?\\b", re.IGNORECASE)
+    rule = re.compile(r"\bE\d{3,4}[a-z]?\b", re.IGNORECASE)
     got = one(spark, S.e_number_count(F.col("t")), "t string", [(t,) for t in texts])
     assert got == [len(rule.findall(t or "")) for t in texts]
 
@@ -27,7 +27,7 @@ def expected_score(nova, text):
     """NOVA part, 5 per E-number up to 30, 6 per additive up to 30, 100 at most."""
     base = 20 if nova is None or nova == 0 else (nova - 1) * 13
     additives = sum(a in text.lower() for a, _ in fixed.CONCERNING_ADDITIVES)
-    return min(base + min(5 * len(re.findall(r"\\bE\\d{3,4}[a-z]?\\b", text, re.I)), 30) + min(6 * additives, 30), 100)
+    return min(base + min(5 * len(re.findall(r"\bE\d{3,4}[a-z]?\b", text, re.I)), 30) + min(6 * additives, 30), 100)
 
 
 def test_processing_score_numeric_nova(spark):
