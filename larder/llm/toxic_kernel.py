@@ -7,19 +7,24 @@ letters and digits drop out first.  So a spelling with inserted or dropped
 characters keeps most of the subsequences of the word it hides.
 
 Strings are the windows of a sentence: its words, long words in overlapping
-parts, and runs of single characters joined.  Landmarks are windows that tell
+parts, short neighbouring words joined, since a space may have been put into a
+word, and runs of single characters joined.  Landmarks are windows that tell
 toxic from other sentences in the training sample, and windows of clean
 sentences.  The Nystrom features of a window are its kernel values with the
 landmarks, whitened; the machine is linear in them.  A toxic text need not be
 toxic in every sentence: the windows that are clearly more frequent in toxic
 texts stand for it, or where it has none, in each round the one that scores
 highest.  Every sentence of a clean text is clean, and in each round its
-highest windows are learnt as such.
+highest windows are learnt as such.  The clear windows are learnt in spoilt
+spellings, too: with a character put in, left out or doubled, wherever clean
+texts have no such window.
 
 Since the kernel is a sum over subsequences, the trained machine folds into
 one weight per subsequence: scoring a window costs no kernel evaluation.  A
+window of middling length is also scored without each of its inner
+characters, since an inserted one breaks many subsequences of a short word.  A
 text's score is that of its highest window, made a probability by a logistic
-curve fitted to the sample.
+curve fitted to the sample, in which spoilt spellings count as toxic.
 """
 
 from __future__ import annotations
@@ -40,8 +45,15 @@ SAMPLE_ROWS, SAMPLE_CHARS = 1500, 20_000
 TOXIC_LANDMARKS, CLEAN_LANDMARKS, ROUNDS, PENALTY = 128, 128, 3, 3e-4
 #: A window tells toxic texts clearly from so many of them on (and this share of all), and from this log ratio on.
 CLEAR_TEXTS, CLEAR_SHARE, CLEAR_ODDS = 3, 0.01, 2.0
+#: Characters of two neighbouring words that are one window when joined, and the share of spoilt spellings in a clear window's mass.
+JOINED, SPOILT = range(4, 13), 0.5
+#: Sentences of a clean training text whose joined words are learnt.
+JOINED_SENTENCES = 6
+#: Lengths at which a character too many is looked for.
+LEAVE_OUT = range(6, 13)
 CACHE = 500_000
 SENTENCE = re.compile(r"[.!?\n]+")
+ENDS = ".!?"
 SPELT = re.compile(r"(?<!\S)\S(?:\s\S){3,}(?!\S)")
 #: Skips (a, b): the second character stands a behind the first, the third b behind the second.
 SKIPS = [(a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)]
@@ -59,14 +71,22 @@ def _codes() -> np.ndarray:
 CODES = _codes()
 
 
-def windows(sentence: str) -> list[str]:
-    """The windows of a lower-cased sentence (or text)."""
-    found = sentence.split()
+def windows(sentence: str) -> tuple[list[str], list[str]]:
+    """The windows of a lower-cased sentence (or text): words, and joined neighbours."""
+    found = words = sentence.split()
     if SPELT.search(sentence):
-        found += ["".join(m[0].split()) for m in SPELT.finditer(sentence)]
+        found = words + ["".join(m[0].split()) for m in SPELT.finditer(sentence)]
     if found and max(map(len, found)) > PART:
         found = [w[i:i + PART] for w in found for i in range(0, max(1, len(w) - PART // 2), PART // 2)]
-    return found
+    return found, [a + b for a, b in zip(words, words[1:]) if JOINED[0] <= len(a) + len(b) <= JOINED[-1] and a[-1] not in ENDS]
+
+
+def spellings(window: str) -> list[str]:
+    """A window with one character put in, left out or doubled inside."""
+    inner = range(1, len(window))
+    put_in = [window[:i] + "xaeqisonzr"[(i + n) % 10] + window[i:] for i in inner for n in (0, 3, 7)]
+    doubled = [window[:i] + window[i - 1] + window[i:] for i in inner]
+    return put_in + doubled + [window[:i] + window[i + 1:] for i in inner if len(window) > 4]
 
 
 def _matrix(strings: list[str]) -> np.ndarray:
@@ -97,16 +117,29 @@ def _by_length(strings: list[str], block: int = 8192) -> Iterator[np.ndarray]:
         yield order[at:at + block]
 
 
-def folded_scores(strings: list[str], weights: np.ndarray) -> np.ndarray:
-    """sum of the weights of each string's subsequences over its norm."""
+def _folded(matrix: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    total, norm = np.zeros(len(matrix), dtype=np.float32), np.full(len(matrix), 1e-9, dtype=np.float32)
+    for code, valid, weight in _subsequences(matrix):
+        total += weight * np.where(valid, weights[code], 0).sum(axis=1, dtype=np.float32)
+        norm += weight * weight * valid.sum(axis=1, dtype=np.float32)
+    return total / np.sqrt(norm)
+
+
+def folded_scores(strings: list[str], weights: np.ndarray, leave_out: bool = False) -> np.ndarray:
+    """sum of the weights of each string's subsequences over its norm; with
+    ``leave_out`` the greatest of the string's own and of those without one of
+    its inner characters, for strings of ``LEAVE_OUT`` characters."""
     out = np.zeros(len(strings))
     for at in _by_length(strings):
         matrix = _matrix([strings[i] for i in at])
-        total, norm = np.zeros(len(at), dtype=np.float32), np.full(len(at), 1e-9, dtype=np.float32)
-        for code, valid, weight in _subsequences(matrix):
-            total += weight * np.where(valid, weights[code], 0).sum(axis=1, dtype=np.float32)
-            norm += weight * weight * valid.sum(axis=1, dtype=np.float32)
-        out[at] = total / np.sqrt(norm)
+        best = _folded(matrix, weights)
+        if leave_out:
+            size = (matrix > 0).sum(axis=1)
+            for gone in range(1, min(matrix.shape[1], LEAVE_OUT[-1]) - 1):
+                rows = np.flatnonzero((size > gone + 1) & (size >= LEAVE_OUT[0]) & (size <= LEAVE_OUT[-1]))
+                if len(rows):
+                    best[rows] = np.maximum(best[rows], _folded(np.delete(matrix[rows], gone, axis=1), weights))
+        out[at] = best
     return out
 
 
@@ -182,8 +215,8 @@ class Machine:
     slope: float
     centre: float
 
-    def margins(self, strings: list[str]) -> np.ndarray:
-        return folded_scores(strings, self.weights) + self.bias
+    def margins(self, strings: list[str], leave_out: bool = True) -> np.ndarray:
+        return folded_scores(strings, self.weights, leave_out) + self.bias
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * (margin - self.centre), -40, 40)))
@@ -215,8 +248,15 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
         sure = 40.0 if labels and labels[0] else -40.0
         return Machine(np.zeros(1 << 18, dtype=np.float32), 0.0, 1.0, -sure)
     place: dict[str, int] = {}  # windows by number
-    docs = [[np.array([place.setdefault(w, len(place)) for w in found], dtype=np.int32)
-             for sentence in SENTENCE.split(t.lower()) if (found := windows(sentence))] for t in texts]
+    number = lambda found: np.array([place.setdefault(w, len(place)) for w in found], dtype=np.int32)
+    docs, sentences = [], [[windows(s) for s in SENTENCE.split(t.lower())] for t in texts]
+    for found in sentences:
+        docs.append([number(own) for own, _ in found if own])
+    words = len(place)
+    # Joined words tell nothing of toxic texts; of clean ones, some sentences' are learnt as clean.
+    for doc, found, label in zip(docs, sentences, y, strict=True):
+        some = [joined for _, joined in found if joined] if not label else []
+        doc += [number(some[i]) for i in rng.permutation(len(some))[:JOINED_SENTENCES]]
     every = list(place)
     held = [np.unique(np.concatenate(doc)) if doc else np.empty(0, dtype=np.int32) for doc in docs]
     count = lambda label: np.bincount(np.concatenate([h for h, n in zip(held, y, strict=True) if n == label]), minlength=len(every))
@@ -240,9 +280,11 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
     values, vectors = np.linalg.eigh(marks.kernels(landmarks))
     keep = values > 1e-4 * max(values.max(initial=0), 1e-9)
     whiten = vectors[:, keep] / np.sqrt(values[keep])
+    spoilt = {i: [w for w in spellings(every[i]) if w not in place or not clean[place[w]]] if len(every[i]) > 3 else []
+              for i in np.flatnonzero(clear).tolist()}
     score = strength.astype(float)
     machine, hard = Machine(np.zeros(1 << 18, dtype=np.float32), -1.0, 1.0, 0.0), []
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         positive, negative = Counter(), Counter()
         for doc, own, label in zip(docs, held, y, strict=True):
             if not doc:
@@ -255,7 +297,15 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
                 offer = np.array([s[int(score[s].argmax())] for s in doc])  # the highest window of each sentence
                 negative.update(every[i] for i in offer[np.argsort(-score[offer], kind="stable")[:3]].tolist())
                 negative.update(every[i] for i in doc[int(rng.integers(len(doc)))][:2].tolist())
-        hard = sorted({*hard, *negative})
+        for w in [w for w in negative if len(w) in LEAVE_OUT]:
+            negative.update(w[:i] + w[i + 1:] for i in range(1, len(w) - 1))
+        for i in np.flatnonzero(clear).tolist():
+            if positive[every[i]] and spoilt[i]:
+                mass = positive[every[i]]
+                positive[every[i]] = (1 - SPOILT) * mass
+                for w in spoilt[i]:
+                    positive[w] += SPOILT * mass / len(spoilt[i])
+        hard = sorted({*hard, *negative}.difference(positive))
         strings = [*positive, *hard]
         side = np.array([1] * len(positive) + [-1] * len(hard))
         mass = np.array([*positive.values(), *(max(negative[w], 1) for w in hard)], dtype=float)
@@ -263,29 +313,42 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
             mass[side == s] /= max(mass[side == s].sum(), 1e-12)
         beta = _machine(marks.kernels(strings) @ whiten, side, mass, PENALTY)
         machine = Machine(marks.folded(whiten @ beta[:-1]), float(beta[-1]), 1.0, 0.0)
-        score = machine.margins(every)
+        score = np.concatenate([machine.margins(every[:words], turn > 0), machine.margins(every[words:], False)])
     top = np.array([score[h].max(initial=-1e9) if len(h) else machine.bias for h in held])
     share = n1 / len(y) if share is None else share
     weight = np.where(y == 1, share / n1, (1 - share) / n0) * len(y)
+    other = [w for own in spoilt.values() for w in own]
+    if other:  # they count as much as the toxic texts
+        top = np.concatenate([top, machine.margins(other)])
+        y = np.concatenate([y, np.ones(len(other), dtype=int)])
+        weight = np.concatenate([weight, np.full(len(other), share / len(other) * len(texts))])
     machine.slope, machine.centre = _logistic(top, y, weight)
     return machine
 
 
+def text_margins(machine: Machine, texts: list[str | None], known: tuple[dict, dict] | None = None) -> list[float]:
+    """The margin of each text's highest window.  ``known`` keeps those of words and of joined words."""
+    known = ({}, {}) if known is None else known
+    cut = [windows((t or "").lower()) for t in texts]
+    for kind, margins in enumerate(known):
+        if len(margins) > CACHE:
+            margins.clear()
+        new = list({w for c in cut for w in c[kind]}.difference(margins))
+        if new:
+            margins.update(zip(new, machine.margins(new, kind == 0).tolist(), strict=True))
+    # An empty text has no window: its margin is that of no shared subsequence.
+    return [max((max(map(margins.__getitem__, c), default=-1e9) for margins, c in zip(known, both, strict=True)))
+            if both[0] else machine.bias for both in cut]
+
+
 def _scored(sent, name: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = sent.value
-        known: dict[str, float] = {}
+        known: tuple[dict, dict] = ({}, {})
         for batch in batches:
             margins = []
             for at in range(0, batch.num_rows, 256):
-                cut = [windows((t or "").lower()) for t in batch.column(name).slice(at, 256).to_pylist()]
-                if len(known) > CACHE:
-                    known.clear()
-                new = list(set().union(*cut).difference(known)) if cut else []
-                if new:
-                    known.update(zip(new, machine.margins(new).tolist(), strict=True))
-                # An empty text has no window: its margin is that of no shared subsequence.
-                margins += [max(map(known.__getitem__, c), default=machine.bias) for c in cut]
+                margins += text_margins(machine, batch.column(name).slice(at, 256).to_pylist(), known)
             p = machine.probability(np.array(margins, dtype=float))
             kept = [n for n in batch.schema.names if n != name]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(p, pa.float64())],

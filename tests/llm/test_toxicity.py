@@ -70,7 +70,7 @@ def inserted(word):
 def test_held_out_texts(spoil):
     train, test = texts(500, 1), texts(200, 2, spoil)
     machine = tk.train([t for _, t, _ in train], [y for *_, y in train])
-    score = [max(machine.margins(tk.windows(t.lower()))) for _, t, _ in test]
+    score = tk.text_margins(machine, [t for _, t, _ in test])
     y = np.array([y for *_, y in test])
     order = np.argsort(np.argsort(score)) + 1
     auc = (order[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (1 - y).sum())
@@ -108,3 +108,48 @@ def test_without_labels_and_empty_tables(spark):
     assert tk.toxicity(df.limit(0), none).count() == 0
     one = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, toxic int")
     assert tk.toxicity(df, one).count() == 2
+
+
+def test_windows_of_a_sentence():
+    words, joined = tk.windows("you mo ron, s c u m. it")
+    assert words[:8] == ["you", "mo", "ron,", "s", "c", "u", "m.", "it"]
+    assert "moron," not in words and "moron," not in joined[:1] and "moron," in joined and "m.it" not in joined
+    assert tk.windows("") == ([], []) and tk.windows(" \n") == ([], [])
+
+
+def test_query_scores_are_the_machine_s(spark):
+    """The query's scores, recomputed text by text from a machine fitted to the same sample."""
+    rows = texts(300, 5)
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(900, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    pairs, share = tk.training_sample(df, labels)
+    known = {i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5}
+    assert pairs == sorted({(t, y) for i, t, y in rows if i in known}) and share == np.mean([y for i, _, y in rows if i in known])
+    machine = tk.train([t for t, _ in pairs], [y for _, y in pairs], share)
+
+    def plain(text):
+        words, joined = tk.windows((text or "").lower())
+        short = [w for w in words if tk.LEAVE_OUT[0] <= np.count_nonzero(tk._matrix([w])) <= tk.LEAVE_OUT[-1]]
+        every = words + joined + [x for w in short for x in ["".join(c for c in w if tk.CODES[min(ord(c), 0xFFFF)])]
+                                  for x in [x[:i] + x[i + 1:] for i in range(1, len(x) - 1)]]
+        return max((sum(machine.weights[c] * v for c, v in tk.features(w).items()) + machine.bias for w in every), default=machine.bias)
+
+    for r in tk.toxicity(df, labels).filter("doc_id % 10 = 0").collect():
+        text = dict((i, t) for i, t, _ in rows).get(r.doc_id)
+        assert r.score == pytest.approx(float(machine.probability(np.array([plain(text)]))[0]), abs=1e-3)
+
+
+@pytest.mark.parametrize("way", ["inserted", "space"])
+def test_spoilt_insults_are_predicted(way):
+    """At least nine in ten spellings of the insults found, in clean texts, are predicted toxic."""
+    train = texts(500, 1)
+    machine = tk.train([t for _, t, _ in train], [y for *_, y in train])
+    predicted = lambda t: machine.probability(np.array(tk.text_margins(machine, t))) >= 0.5
+    clean = [t for _, t, y in texts(120, 6) if not y]
+    assert np.mean(predicted(clean)) < 0.05
+    spoilt = []
+    for word in ("blockhead", "dimwit", "scumbag", "vermin"):
+        assert predicted([f"on the {word} there"])[0]
+        for i in range(1, len(word)):
+            spoilt += [f"on the {word[:i]}{c}{word[i:]} there" for c in ("xkq7" if way == "inserted" else " ")]
+    assert np.mean(predicted(spoilt)) >= 0.9
