@@ -21,8 +21,8 @@ texts have no such window.
 
 Since the kernel is a sum over subsequences, the trained machine folds into
 one weight per subsequence: scoring a window costs no kernel evaluation.  A
-window of middling length is also scored without each of its inner
-characters, since an inserted one breaks many subsequences of a short word.  A
+word of middling length that is not clearly clean is also scored without each
+of its inner characters, since an inserted one breaks many subsequences of a short word.  A
 text's score is that of its highest window, made a probability by a logistic
 curve fitted to the sample, in which spoilt spellings count as toxic.
 """
@@ -45,12 +45,14 @@ SAMPLE_ROWS, SAMPLE_CHARS = 1500, 20_000
 TOXIC_LANDMARKS, CLEAN_LANDMARKS, ROUNDS, PENALTY = 128, 128, 3, 3e-4
 #: A window tells toxic texts clearly from so many of them on (and this share of all), and from this log ratio on.
 CLEAR_TEXTS, CLEAR_SHARE, CLEAR_ODDS = 3, 0.01, 2.0
-#: Characters of two neighbouring words that are one window when joined, and the share of spoilt spellings in a clear window's mass.
-JOINED, SPOILT = range(4, 13), 0.5
+#: Two neighbouring words are one window, too, with so many characters in all, and under so many in one of them.
+JOINED, FRAGMENT = range(4, 13), 4
+#: The share of spoilt spellings in a clear window's mass.
+SPOILT = 0.5
 #: Sentences of a clean training text whose joined words are learnt.
 JOINED_SENTENCES = 6
-#: Lengths at which a character too many is looked for.
-LEAVE_OUT = range(6, 13)
+#: Lengths, and the least margin of the whole word, at which a character too many is looked for.
+LEAVE_OUT, LEAVE_FROM = range(6, 13), -0.25
 CACHE = 500_000
 SENTENCE = re.compile(r"[.!?\n]+")
 ENDS = ".!?"
@@ -78,7 +80,8 @@ def windows(sentence: str) -> tuple[list[str], list[str]]:
         found = words + ["".join(m[0].split()) for m in SPELT.finditer(sentence)]
     if found and max(map(len, found)) > PART:
         found = [w[i:i + PART] for w in found for i in range(0, max(1, len(w) - PART // 2), PART // 2)]
-    return found, [a + b for a, b in zip(words, words[1:]) if JOINED[0] <= len(a) + len(b) <= JOINED[-1] and a[-1] not in ENDS]
+    return found, [a + b for a, b in zip(words, words[1:])
+                   if (len(a) < FRAGMENT or len(b) < FRAGMENT) and JOINED[0] <= len(a) + len(b) <= JOINED[-1] and a[-1] not in ENDS]
 
 
 def spellings(window: str) -> list[str]:
@@ -125,18 +128,19 @@ def _folded(matrix: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return total / np.sqrt(norm)
 
 
-def folded_scores(strings: list[str], weights: np.ndarray, leave_out: bool = False) -> np.ndarray:
-    """sum of the weights of each string's subsequences over its norm; with
-    ``leave_out`` the greatest of the string's own and of those without one of
-    its inner characters, for strings of ``LEAVE_OUT`` characters."""
+def folded_scores(strings: list[str], weights: np.ndarray, leave_from: float = np.inf) -> np.ndarray:
+    """sum of the weights of each string's subsequences over its norm.  Where
+    that is ``leave_from`` or more and the string has ``LEAVE_OUT``
+    characters: the greatest of it and those without one inner character."""
     out = np.zeros(len(strings))
     for at in _by_length(strings):
         matrix = _matrix([strings[i] for i in at])
         best = _folded(matrix, weights)
-        if leave_out:
-            size = (matrix > 0).sum(axis=1)
+        near = np.flatnonzero(best >= leave_from)
+        if len(near):
+            size = (matrix[near] > 0).sum(axis=1)
             for gone in range(1, min(matrix.shape[1], LEAVE_OUT[-1]) - 1):
-                rows = np.flatnonzero((size > gone + 1) & (size >= LEAVE_OUT[0]) & (size <= LEAVE_OUT[-1]))
+                rows = near[(size > gone + 1) & (size >= LEAVE_OUT[0]) & (size <= LEAVE_OUT[-1])]
                 if len(rows):
                     best[rows] = np.maximum(best[rows], _folded(np.delete(matrix[rows], gone, axis=1), weights))
         out[at] = best
@@ -216,7 +220,7 @@ class Machine:
     centre: float
 
     def margins(self, strings: list[str], leave_out: bool = True) -> np.ndarray:
-        return folded_scores(strings, self.weights, leave_out) + self.bias
+        return folded_scores(strings, self.weights, LEAVE_FROM - self.bias if leave_out else np.inf) + self.bias
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * (margin - self.centre), -40, 40)))
@@ -318,10 +322,10 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
     share = n1 / len(y) if share is None else share
     weight = np.where(y == 1, share / n1, (1 - share) / n0) * len(y)
     other = [w for own in spoilt.values() for w in own]
-    if other:  # they count as much as the toxic texts
+    if other:  # they count a quarter as much as the toxic texts
         top = np.concatenate([top, machine.margins(other)])
         y = np.concatenate([y, np.ones(len(other), dtype=int)])
-        weight = np.concatenate([weight, np.full(len(other), share / len(other) * len(texts))])
+        weight = np.concatenate([weight, np.full(len(other), share / 4 / len(other) * len(texts))])
     machine.slope, machine.centre = _logistic(top, y, weight)
     return machine
 

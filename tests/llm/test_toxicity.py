@@ -129,10 +129,11 @@ def test_query_scores_are_the_machine_s(spark):
 
     def plain(text):
         words, joined = tk.windows((text or "").lower())
-        short = [w for w in words if tk.LEAVE_OUT[0] <= np.count_nonzero(tk._matrix([w])) <= tk.LEAVE_OUT[-1]]
+        margin = lambda w: sum(machine.weights[c] * v for c, v in tk.features(w).items()) + machine.bias
+        short = [w for w in words if margin(w) >= tk.LEAVE_FROM and tk.LEAVE_OUT[0] <= np.count_nonzero(tk._matrix([w])) <= tk.LEAVE_OUT[-1]]
         every = words + joined + [x for w in short for x in ["".join(c for c in w if tk.CODES[min(ord(c), 0xFFFF)])]
                                   for x in [x[:i] + x[i + 1:] for i in range(1, len(x) - 1)]]
-        return max((sum(machine.weights[c] * v for c, v in tk.features(w).items()) + machine.bias for w in every), default=machine.bias)
+        return max(map(margin, every), default=machine.bias)
 
     for r in tk.toxicity(df, labels).filter("doc_id % 10 = 0").collect():
         text = dict((i, t) for i, t, _ in rows).get(r.doc_id)
