@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators.aggregates import attach_one_row
-from larder.operators.joins import size_checked_broadcast
+from larder.operators.topk import nearest_rows, similar_pairs
 from larder.session import cut_lineage
 
 # Maximal runs of 2+ word characters (letters, numbers, underscore) — the
@@ -117,34 +117,6 @@ def tfidf(docs: DataFrame, key: str, text: str, max_df: float | int = 1.0, min_d
     return weights, vocab
 
 
-def similar_pairs(weights: DataFrame, key: str, least: float) -> DataFrame:
-    """(a, b, sim) with a < b and cosine ``sim >= least`` > 0, exact, from
-    L2-normalised rows.
-
-    Each row's terms are put in order of rising document frequency.  The tail
-    of a row whose norm is below ``least`` cannot reach it alone, so two
-    similar rows share a term in both heads: only heads are joined.  Frequent
-    terms stand in the tails and meet nobody.  Candidates are then verified on
-    their full rows.  No term and no document is left out; the candidates are
-    few unless ``least`` is so low that the result itself is quadratic."""
-    if not 0 < least <= 1:
-        raise ValueError("the least similarity must be in (0, 1]")
-    w = cut_lineage(weights.select(F.col(key).alias("k"), "term", "weight"))
-    df = w.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    tail = Window.partitionBy("k").orderBy("df", "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    # The slack keeps rows whose tail equals the bound but for rounding.
-    head = (w.join(df, "term").withColumn("tail", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(tail)))
-            .where(F.col("tail") >= least - 1e-9).select("k", "term"))
-    head = cut_lineage(head)
-    x, y = head.alias("x"), head.alias("y")
-    candidates = cut_lineage(x.join(y, (F.col("x.term") == F.col("y.term")) & (F.col("x.k") < F.col("y.k")))
-                             .select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct())
-    left = w.select(F.col("k").alias("a"), "term", F.col("weight").alias("wa"))
-    right = w.select(F.col("k").alias("b"), "term", F.col("weight").alias("wb"))
-    return (candidates.join(left, "a").join(right, ["b", "term"])
-            .groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")).where(F.col("sim") >= least))
-
-
 def mirror_pairs(half: DataFrame, value: str) -> DataFrame:
     """Both directions of each (a < b) pair from one pass (no self-union)."""
     both = F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")),
@@ -164,20 +136,15 @@ def _ranked(pairs: DataFrame, key: str, k: int) -> DataFrame:
 def cosine_topk(weights: DataFrame, key: str, k: int, least: float) -> DataFrame:
     """J8 + W3: for every document, its ``k`` most similar other documents
     (similarity desc, then key) among those with a cosine of at least
-    ``least``; see ``similar_pairs``."""
+    ``least``; see ``topk.similar_pairs``."""
     return _ranked(mirror_pairs(similar_pairs(weights, key, least), "sim"), key, k)
 
 
 def cosine_topk_of(weights: DataFrame, targets: DataFrame, key: str, k: int) -> DataFrame:
-    """V6: the ``k`` most similar other documents of the given targets (a
-    bounded set of keys), without a least similarity.  Only the targets' terms
-    meet the postings, so the cost is linear in the documents; documents that
+    """V6: the ``k`` most similar other documents of the given targets, exact
+    and without a least similarity, see ``topk.nearest_rows``; documents that
     share no term with a target are not listed."""
-    t = weights.join(F.broadcast(targets.select(key).distinct()), key).select(F.col(key).alias("a"), "term", F.col("weight").alias("wa"))
-    t = size_checked_broadcast(t)
-    pairs = (weights.select(F.col(key).alias("b"), "term", "weight").join(t, "term").where(F.col("a") != F.col("b"))
-             .groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("weight")).alias("sim")))
-    return _ranked(pairs, key, k)
+    return _ranked(nearest_rows(weights, targets, key, k), key, k)
 
 
 def centroid_top_terms(weights: DataFrame, labels: DataFrame, key: str, label: str, n_terms: int = 10) -> DataFrame:

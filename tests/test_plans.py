@@ -25,8 +25,14 @@ def test_recommender_plan_shape(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan
-    text = df._jdf.queryExecution().toString()
-    assert "WindowGroupLimit" in text
+
+
+def test_shortlists_are_cut_before_the_shuffle(spark):
+    from larder.operators.alternatives import scope_shortlists
+    rows = spark.createDataFrame([("c", "n", n, n % 7) for n in range(20)], "scope string, name string, k int, score int")
+    short = scope_shortlists(rows, "scope", "name", ["score", "k"], 3, [])
+    assert "WindowGroupLimit" in short._jdf.queryExecution().toString()
+    assert [tuple(x) for x in short.first()["shortlist"]] == [(0, 0), (0, 7), (0, 14)]
 
 
 def test_scan_is_pruned(spark):
@@ -35,7 +41,7 @@ def test_scan_is_pruned(spark):
 
 
 def test_similarity_joins_heads_only(spark):
-    from larder.operators.tfidf import similar_pairs
+    from larder.operators.topk import similar_pairs
     # 300 documents share one frequent term each and pair up on rare ones.
     rows = [(d, t, w) for d in range(300) for t, w in (("common", 0.3), (f"rare{d // 2}", 0.9539392014169457))]
     pairs = similar_pairs(spark.createDataFrame(rows, "k int, term string, weight double"), "k", 0.8)
