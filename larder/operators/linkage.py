@@ -11,7 +11,9 @@ In each round every cluster finds its nearest one, and all pairs that are
 nearest to each other merge at once.  These linkages are reducible: a merge
 brings no other cluster nearer, so the merges are those of the greedy method,
 which takes the nearest pair of all each time.  Distances tie by the clusters'
-names, so there is always a pair to merge.  A round is two aggregates and a
+names, so there is always a pair to merge.  Where one large cluster takes in
+the others one by one, as single linkage tends to, only one pair a round is
+nearest to each other, and there are about as many rounds as rows in it.  A round is two aggregates and a
 join over the edges, which only get fewer; nothing passes through the driver,
 and all linkages asked for share the rounds.
 """
