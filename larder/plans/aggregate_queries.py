@@ -8,6 +8,7 @@ from larder.operators import aggregates as A
 from larder.operators import quality as Q
 from larder.operators.clean import dashboard_catalogue, valid_nova
 from larder.operators.scoring import score_catalogue
+from larder.operators.density import density
 from larder.plans.registry import register, rounded
 from larder.plans.sqlkit import normalise_sql, token_ctes, with_catalogue, with_dash
 from larder.sources.tables import catalogue, read_table
@@ -177,6 +178,30 @@ def q_salt_histogram(spark, sf_dir):
     return A.histogram(_dash(spark, sf_dir), "category_searched", "salt_100g", 0.5)
 
 
+_DENSITY_SQL = """, st as (select {g} as grp, count(*) as n, stddev_samp({v}) * power(count(*), -0.2) as h, min({v}) as low, max({v}) as high
+       from {t} where {g} is not null and {v} is not null group by 1 having min({v}) < max({v})),
+gr as (select *, low - 2 * h as lo, high - low + 4 * h as range from st),
+p as (select grp, ({v} - lo) / (range / 511) as p from {t} join gr on grp = {g} where {v} is not null),
+w as (select grp, bin, sum(w) as w from (select grp, floor(p) as bin, 1 - (p - floor(p)) as w from p
+      union all select grp, floor(p) + 1, p - floor(p) from p) group by all),
+x as (select *, unnest(range(0, 100)) as point from gr)
+select x.grp as {g}, point, round(any_value(lo + point * range / 99), 9) as x,
+       round(sum(w.w * exp(-0.5 * power((lo + point * range / 99 - (lo + w.bin * (range / 511))) / h, 2)))
+             / any_value(n * h * sqrt(2 * pi())), 9) as density
+from x join w using (grp) group by x.grp, point"""
+
+
+@register("salt_density", with_dash(_DENSITY_SQL.format(g="category_searched", v="salt_100g", t="dash")))
+def q_salt_density(spark, sf_dir):
+    return rounded(density(_dash(spark, sf_dir), "category_searched", "salt_100g"), ["x", "density"])
+
+
+@register("quantity_density", "with one as (select 1)" + _DENSITY_SQL.format(g="l_returnflag", v="l_quantity", t="lineitem"))
+def q_quantity_density(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
+    return rounded(density(li, "l_returnflag", "l_quantity"), ["x", "density"])
+
+
 @register("ingredient_penetration", with_dash(f"""{_PARSED_DASH}
 select ingredient, count(distinct code) as n_products,
        count(distinct code) * 100.0 / (select count(*) from dash) as pct
