@@ -11,6 +11,8 @@ from larder.operators.aggregates import crosstab
 from larder.operators.clean import dashboard_catalogue, valid_nova
 from larder.operators.pairs import ingredient_sequences
 from larder.operators.scoring import score_catalogue
+from larder.operators.category_pairs import category_pairs
+from larder.operators.mixtures import kmeans_starts, mixture_sweep, sweep_table
 from larder.plans.registry import register, rounded
 from larder.plans.sqlkit import with_catalogue, with_dash
 from larder.plans.text_queries import _tfidf_sql
@@ -130,12 +132,14 @@ def _emb_features(spark, sf_dir):
 
 @register("gmm_selection")
 def q_gmm_selection(spark, sf_dir):
-    """Diagonal and spherical mixtures with 2 to 15 components and full
-    ones with 2 to 7 (beyond that 64 dimensions leave too few rows per
-    covariance matrix); silhouette, BIC and AIC."""
+    """Diagonal, spherical, tied and full mixtures with 2 to 15
+    components; silhouette, BIC and AIC."""
     feats = _emb_features(spark, sf_dir)
-    near = M.gmm_selection(spark, feats, (2, 15), ("diag", "spherical"))
-    return near.unionByName(M.gmm_selection(spark, feats, (2, 7), ("full",)))
+    out = M.gmm_selection(spark, feats, (2, 15), ("diag", "spherical"))
+    starts = kmeans_starts(feats, range(2, 16))
+    for kind in ("tied", "full"):
+        out = out.unionByName(sweep_table(spark, feats, kind, mixture_sweep(feats, range(2, 16), kind, starts=starts)))
+    return out
 
 
 @register("gmm_probabilities")
@@ -357,6 +361,35 @@ def q_training_pairs(spark, sf_dir):
     return _pairs(spark, sf_dir)
 
 
+def _permuted_sql() -> str:
+    """The rounds of the permutation, one CTE each."""
+    keyed = lambda step, part: f"cast(concat('0x', substr(md5(concat('42|{step}|', cat_idx, '|', {part})), 1, 15)) as bigint)"
+    last, ctes = "f0", []
+    for i in range(3):
+        ctes.append(f"fl{i} as (select * replace ((l + {keyed(2 * i, 'r')}) % ca as l) from {last})")
+        ctes.append(f"fr{i} as (select * replace ((r + {keyed(2 * i + 1, 'l')}) % cb as r) from fl{i})")
+        last = f"fr{i}"
+    return ",\n".join(ctes) + f",\nplaced as (select off, pair, l * cb + r as u from {last})"
+
+
+@register("category_pairs", with_catalogue(f""",
+pos as (select code, category_searched, row_number() over (order by category_searched, code) - 1 as pos
+        from catalogue where category_searched is not null),
+cat0 as (select category_searched, min(pos) as off, count(*) as n_c from pos group by 1),
+cats as (select off, row_number() over (order by category_searched) - 1 as cat_idx, least(n_c * (n_c - 1) // 2, 10 * n_c) as m,
+                case when n_c % 2 = 0 then n_c // 2 else n_c end as ca, case when n_c % 2 = 0 then n_c - 1 else (n_c - 1) // 2 end as cb from cat0),
+num as (select *, unnest(range(0, m)) as pair from cats where m > 0),
+f0 as (select *, pair // cb as l, pair % cb as r from num),
+{_permuted_sql()},
+tri as (select off, pair, u, cast(floor((1 + sqrt(1 + 8.0::double * u)) / 2) as bigint) as i0 from placed),
+tri2 as (select off, pair, u, case when i0 * (i0 - 1) // 2 > u then i0 - 1 when i0 * (i0 + 1) // 2 <= u then i0 + 1 else i0 end as i from tri)
+select x.category_searched as category, pair, x.code as product1, y.code as product2
+from tri2 join pos x on x.pos = off + u - i * (i - 1) // 2 join pos y on y.pos = off + i"""))
+def q_category_pairs(spark, sf_dir):
+    """Ten distinct in-category pairs for every product."""
+    return category_pairs(catalogue(spark, sf_dir))
+
+
 @register("pair_split", with_catalogue(_PAIRS_SQL + f"""
 select label, {_draw_sql("pair_id", "fold")} % 10 < 8 as is_train, count(*) as n from named group by all"""))
 def q_pair_split(spark, sf_dir):
