@@ -33,4 +33,4 @@ def rounded(df: DataFrame, cols, digits: int = 9) -> DataFrame:
 
 def load_all() -> None:
     """Import every plan module so their queries register."""
-    from larder.plans import aggregate_queries, catalogue_queries, cluster_queries, dbscan_queries, ingest_queries, misc_queries, model_queries, ranking_queries, recommender_queries, stats_queries, stream_queries, text_queries  # noqa: F401
+    from larder.plans import aggregate_queries, catalogue_queries, cluster_queries, dbscan_queries, dense_queries, ingest_queries, misc_queries, model_queries, ranking_queries, recommender_queries, stats_queries, stream_queries, text_queries  # noqa: F401
