@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import fixed
@@ -12,7 +15,7 @@ from larder.operators.clean import dashboard_catalogue, valid_nova
 from larder.operators.pairs import ingredient_sequences
 from larder.operators.scoring import score_catalogue
 from larder.operators.category_pairs import category_pairs
-from larder.operators.mixtures import kmeans_starts, mixture_sweep, sweep_table
+from larder.operators.mixtures import KINDS, kmeans_starts, mixture_sweep, sweep_table
 from larder.plans.registry import register, rounded
 from larder.plans.sqlkit import with_catalogue, with_dash
 from larder.plans.text_queries import _tfidf_sql
@@ -135,11 +138,9 @@ def q_gmm_selection(spark, sf_dir):
     """Diagonal, spherical, tied and full mixtures with 2 to 15
     components; silhouette, BIC and AIC."""
     feats = _emb_features(spark, sf_dir)
-    out = M.gmm_selection(spark, feats, (2, 15), ("diag", "spherical"))
     starts = kmeans_starts(feats, range(2, 16))
-    for kind in ("tied", "full"):
-        out = out.unionByName(sweep_table(spark, feats, kind, mixture_sweep(feats, range(2, 16), kind, starts=starts)))
-    return out
+    tables = [sweep_table(spark, feats, kind, mixture_sweep(feats, range(2, 16), kind, starts=starts)) for kind in KINDS]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @register("gmm_probabilities")

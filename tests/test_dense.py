@@ -13,7 +13,7 @@ from larder.operators.cluster_metrics import points
 from larder.operators.dense_index import build_index, exact_nearest, probes_for, recall, search, unit_rows
 from larder.operators.density import density
 from larder.operators.euclid import euclidean_silhouettes
-from larder.operators.mixtures import log_densities, mixture_labels, mixture_sweep
+from larder.operators.mixtures import log_densities, mixture_labels, mixture_sweep, silhouettes
 
 
 def _frame(spark, x, labels=None):
@@ -97,7 +97,7 @@ def test_vectors_without_direction(spark):
     assert rows.collect() == [] and exact_nearest(rows, rows).collect() == []
 
 
-@pytest.mark.parametrize("kind", ["full", "tied"])
+@pytest.mark.parametrize("kind", ["full", "tied", "diag", "spherical"])
 def test_mixtures_equal_plain_em(spark, kind):
     rng = np.random.default_rng(4)
     x = np.vstack([rng.normal((0, 0), (1, 0.4), (60, 2)), rng.normal((6, 5), (0.5, 1.2), (40, 2))])
@@ -114,12 +114,17 @@ def test_mixtures_equal_plain_em(spark, kind):
             r = np.exp(log_p - norm[:, None])
             weights, means = r.mean(axis=0), (r.T @ x) / r.sum(axis=0)[:, None]
             parts = np.array([((x - means[c]).T * r[:, c]) @ (x - means[c]) for c in range(k)])
-            cov = parts / r.sum(axis=0)[:, None, None] if kind == "full" else np.repeat(parts.sum(axis=0)[None] / 100, k, axis=0)
+            own = parts / r.sum(axis=0)[:, None, None]
+            cov = {"full": own, "tied": np.repeat(parts.sum(axis=0)[None] / 100, k, axis=0), "diag": own * np.eye(2),
+                   "spherical": np.array([np.trace(c) / 2 * np.eye(2) for c in own])}[kind]
         assert np.allclose(m["means"], means, atol=1e-6) and np.allclose(m["covariances"], cov, atol=1e-6)
         assert math.isclose(m["log_likelihood"], norm.sum(), abs_tol=1e-6)
-    assert models[2]["parameters"] == 4 + 3 * (2 if kind == "full" else 1) + 1
+    assert models[2]["parameters"] == 4 + {"full": 6, "tied": 3, "diag": 4, "spherical": 2}[kind] + 1
     best = log_densities(x, models[2]["means"], models[2]["factors"]) + np.log(models[2]["weights"])
     assert {r["id"]: r["prediction"] for r in mixture_labels(df, models[2]).collect()} == dict(enumerate(best.argmax(axis=1)))
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    by_spark = ClusteringEvaluator().evaluate(mixture_labels(df, models[2]))
+    assert math.isclose(silhouettes(df, models)[2], by_spark, abs_tol=1e-9)
 
 
 def test_density_is_near_the_exact_curve(spark):
