@@ -52,8 +52,9 @@ def cluster_distances(pts: DataFrame, asked: DataFrame) -> DataFrame:
         return whole.select(F.lit(0).alias("g"), F.col("key").cast("long").alias("k"), "x", F.col("label").cast("long").alias("extra"))
 
     queries, rows = side(asked), side(pts)
-    tasks = tasks_for(pts.sparkSession, queries.count(), rows.count())
-    met = meet(deal(queries, rows), _Sums, "k long, own long, label long, total double, n long", tasks)
+    sizes = queries.count(), rows.count()
+    tasks = tasks_for(pts.sparkSession, *sizes)
+    met = meet(deal(queries, rows, sizes=sizes), _Sums, "k long, own long, label long, total double, n long", tasks)
     return met.groupBy("k", "own", "label").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 

@@ -38,7 +38,7 @@ def test_every_query_meets_every_row_of_its_group_once(spark):
 def test_euclidean_silhouette(spark, monkeypatch, small_cells):
     if small_cells:
         import larder.operators.blocks as B
-        monkeypatch.setattr(B.deal, "__defaults__", (5, 11))
+        monkeypatch.setattr(B.deal, "__defaults__", (5, 11, None))
     rng = np.random.default_rng(1)
     x = rng.normal(size=(90, 4))
     x[10] = x[11] = x[12]
