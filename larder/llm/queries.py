@@ -76,7 +76,7 @@ URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
              ("block", "net/fr/")]
 
 
-@register("op10_url_filter", url_vocabulary.oracle(URL_RULES, url_vocabulary.Vocabulary()))
+@register("op10_url_filter", url_vocabulary.oracle(URL_RULES, url_vocabulary.Vocabulary.read()))
 def op10_url_filter(spark, sf_dir):
     return url_vocabulary.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"), rules=URL_RULES)
 

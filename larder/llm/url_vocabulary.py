@@ -4,14 +4,15 @@ One Aho-Corasick automaton finds every term of the vocabulary in the
 lower-cased URL in a single pass.  A hit counts only between boundaries (the
 characters next to it are not a-z or 0-9), and each term counts once per URL.
 A strict term rejects alone; soft terms reject when their weights add up to
-the threshold.  Host and path rules come first: the longest fitting rule wins.
+the threshold, to which no shipped soft term comes alone.  Host and path rules come first: the longest fitting rule wins.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,18 +20,46 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import LOWER, UPPER
 
-STRICT = ("casino", "escorts", "gambling", "hentai", "malware", "phishing", "porn", "sexcam", "viagra", "warez", "xxx")
-SOFT = {"ads": 1, "adult": 1, "bet": 1, "bets": 1, "bonus": 1, "cheap": 1, "click": 1, "dating": 1, "farm": 1,
-        "free": 1, "jackpot": 1, "loan": 1, "pills": 1, "poker": 1, "slots": 1, "spam": 1, "track": 1, "win": 1}
+#: Term, language and weight of the shipped vocabulary, one term a line.
+TERMS = Path(__file__).with_name("url_terms.tsv")
+#: Soft weights are 1 (weak sign), 2 or 3 (strong), so no soft term rejects alone.
+THRESHOLD = 4
 
 
 @dataclass(frozen=True)
 class Vocabulary:
     """Lower-case terms; a soft term's weight is a positive whole number."""
 
-    strict: tuple[str, ...] = STRICT
-    soft: dict[str, int] = field(default_factory=lambda: dict(SOFT))
-    threshold: int = 2
+    strict: tuple[str, ...]
+    soft: dict[str, int]
+    threshold: int = THRESHOLD
+
+    def __post_init__(self):
+        for term in (*self.strict, *self.soft):
+            if not term or term != term.translate(str.maketrans(UPPER, LOWER)):
+                raise ValueError(f"terms are lower-case and not empty: {term!r}")
+        if any(type(w) is not int or w < 1 for w in self.soft.values()):
+            raise ValueError("weights are positive whole numbers")
+
+    @classmethod
+    def read(cls, path: str | Path = TERMS, languages: Iterable[str] | None = None, threshold: int = THRESHOLD) -> Vocabulary:
+        """A vocabulary from a file of ``term <tab> language <tab> weight``
+        lines, where the weight of a strict term is ``strict`` and ``#``
+        begins a comment; of the given ``languages`` only, or of all.  A term
+        given twice has its greatest weight; strict is greater than any."""
+        strict, soft = set(), {}
+        wanted = None if languages is None else set(languages)
+        for line in Path(path).read_text(encoding="utf-8").splitlines():
+            if not line.strip() or line.startswith("#"):
+                continue
+            term, language, weight = line.split("\t")
+            if wanted is not None and language not in wanted:
+                continue
+            if weight == "strict":
+                strict.add(term)
+            else:
+                soft[term] = max(int(weight), soft.get(term, 0))
+        return cls(tuple(sorted(strict)), {t: w for t, w in sorted(soft.items()) if t not in strict}, threshold)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -87,12 +116,15 @@ def _counter(vocabulary: Vocabulary, name: str):
 
 
 def judge_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str]] = (),
-               vocabulary: Vocabulary = Vocabulary()) -> DataFrame:
+               vocabulary: Vocabulary | None = None) -> DataFrame:
     """One row per input row: id, host, path, rule, verdict and the hit counts.
 
     A null or empty URL, and one without ``://``, has an empty host and path;
     no rule fits it, and its verdict follows from the terms found (none in a
-    null URL, so it is allowed).  Repeated rows are judged alike."""
+    null URL, so it is allowed).  Repeated rows are judged alike, an empty
+    table gives an empty result, and a URL of any length is read whole, once.
+    Without ``vocabulary``, the shipped one is used."""
+    vocabulary = vocabulary or Vocabulary.read()
     host, path = host_and_path(F.col(url_col))
     text = F.translate(F.coalesce(F.col(url_col), F.lit("")), UPPER, LOWER)
     given = df.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), text.alias("url_"))

@@ -46,6 +46,40 @@ def test_weights_and_threshold(spark):
     assert out == {1: ("block", 0, 2, 3), 2: ("allow", 0, 1, 1), 3: ("block", 1, 0, 0), 4: ("allow", 0, 0, 0)}
 
 
+def test_shipped_vocabulary(spark):
+    words = uv.Vocabulary.read()
+    assert max(words.soft.values()) < words.threshold and len(set(words.soft.values())) == 3
+    assert not set(words.strict) & set(words.soft)
+    languages = {line.split("\t")[1] for line in uv.TERMS.read_text().splitlines() if not line.startswith("#")}
+    assert languages == {"en", "de", "es", "fr"}
+    only = uv.Vocabulary.read(languages=["de"])
+    assert "billig" in only.soft and "cheap" not in only.soft
+    urls = {1: "http://a.b/billig-kredit", 2: "http://a.b/promo/sale", 3: "http://a.b/promo/sale/deal/click", 4: "http://a.b/poker",
+            5: "http://a.b/poker-farm", 6: "http://a.b/paris-sportifs?x=offre", 7: "http://a.b/xparis-sportifs/offre"}
+    df = spark.createDataFrame(list(urls.items()), "page_id long, url string")
+    out = {r.page_id: (r.verdict, r.soft_hits, r.soft_weight) for r in uv.judge_urls(df).collect()}
+    assert out == {1: ("block", 2, 4), 2: ("allow", 2, 2), 3: ("block", 4, 4), 4: ("allow", 1, 3), 5: ("block", 2, 4),
+                   6: ("block", 2, 4), 7: ("allow", 1, 1)}
+
+
+def test_very_long_url(spark):
+    # Terms at both ends of 2,000,000 characters; 400,000 times a term without a boundary behind it.
+    rows = [(1, "http://a.b/free/" + "z" * 2_000_000 + "/win"), (2, "http://a.b/" + "casinox" * 400_000)]
+    out = {r.page_id: (r.verdict, r.strict_hits, r.soft_hits) for r in uv.judge_urls(
+        spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert out == {1: ("block", 0, 2), 2: ("allow", 0, 0)}
+
+
+def test_vocabulary_file(tmp_path):
+    file = tmp_path / "terms.tsv"
+    file.write_text("# note\nlow\ten\t1\nlow\tde\t3\nhard\ten\t2\nhard\tde\tstrict\n\n")
+    assert uv.Vocabulary.read(file) == uv.Vocabulary(("hard",), {"low": 3})
+    assert uv.Vocabulary.read(file, ["en"], 9) == uv.Vocabulary((), {"hard": 2, "low": 1}, 9)
+    for bad in ({"Low": 1}, {"low": 0}, {"": 1}):
+        with pytest.raises(ValueError):
+            uv.Vocabulary((), bad)
+
+
 def pages(spark):
     same, small = "<p>" + "same " * 50, "tiny"
     rows = [(5, "http://a/1", same), (2, "http://a/2", same), (9, None, same), (1, "http://b/ü x", small), (3, "u", small),
