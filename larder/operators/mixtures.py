@@ -146,9 +146,14 @@ def mixture_labels(features: DataFrame, model: dict) -> DataFrame:
     return features.withColumn("prediction", F.pandas_udf(label, "int")(vector_to_array("features")))
 
 
-def silhouettes(features: DataFrame, models: dict[int, dict]) -> dict[int, float | None]:
-    """Mean silhouette (squared Euclidean) of the likeliest components of every
-    candidate; None where one component takes all rows."""
+def _likeliest(x: np.ndarray, model: dict) -> np.ndarray:
+    return _weighted(x, model).argmax(axis=1)
+
+
+def silhouettes(features: DataFrame, models: dict[int, object], assign=_likeliest) -> dict[int, float | None]:
+    """Mean silhouette (squared Euclidean) of the clusters that ``assign(rows,
+    model)`` gives (the likeliest components), for every candidate; None where
+    one cluster takes all rows."""
     dense = features.select(vector_to_array("features").alias("x"))
 
     def steps(batches):
@@ -161,7 +166,7 @@ def silhouettes(features: DataFrame, models: dict[int, dict]) -> dict[int, float
     def summaries(batches):
         for x in steps(batches):
             for k, model in models.items():
-                labels = _weighted(x, model).argmax(axis=1)
+                labels = assign(x, model)
                 for c in np.unique(labels):
                     mine = x[labels == c]
                     sums = np.concatenate([[len(mine), (mine * mine).sum()], mine.sum(axis=0)])
@@ -180,7 +185,7 @@ def silhouettes(features: DataFrame, models: dict[int, dict]) -> dict[int, float
                 if len(names) < 2:
                     continue
                 s = np.array([held[k][c] for c in names])
-                own = np.searchsorted(names, _weighted(x, model).argmax(axis=1))
+                own = np.searchsorted(names, assign(x, model))
                 far = (x * x).sum(axis=1)[:, None] + s[:, 1] / s[:, 0] - 2 * (x @ s[:, 2:].T) / s[:, 0]
                 at, n = np.arange(len(x)), s[own, 0]
                 a = far[at, own] * n / np.maximum(n - 1, 1)

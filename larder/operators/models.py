@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from larder.operators.cluster_metrics import adjusted_rand_index
 from larder.operators.aggregates import attach_one_row
+from larder.operators.kmeans_sweep import kmeans_sweep
 from larder.operators.tfidf import english_stop_words, fit_vocabulary, term_counts, with_ngrams, word_tokens
 from larder.session import cut_lineage
 
@@ -118,24 +119,20 @@ def _total_spread(features: DataFrame) -> tuple[int, float]:
     return row["count"], float(sum(row["variance"].toArray())) * max(row["count"] - 1, 0)
 
 
-def kmeans_analysis(spark: SparkSession, features: DataFrame, k_range=(2, 15), n_init_strategies: int = 5,
-                    n_init: int = 10, max_iter: int = 300) -> DataFrame:
+def kmeans_analysis(spark: SparkSession, features: DataFrame, key: str, k_range=(2, 15), n_init_strategies: int = 5,
+                    n_init: int = 10, max_iter: int = 300, seed: int = 42) -> DataFrame:
     """For each k of the inclusive range, ``n_init_strategies`` runs,
     each the best of ``n_init`` starts by inertia.  Per k: silhouette (squared
-    Euclidean, ``ClusteringEvaluator``), Calinski-Harabasz and inertia of the
-    run with the best silhouette, and the population std of the runs'
-    silhouettes ("stability").  Calinski-Harabasz follows from the inertia
-    and the total spread, so it costs no pass."""
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
+    Euclidean), Calinski-Harabasz and inertia of the run with the best
+    silhouette, and the population std of the runs' silhouettes ("stability").
+    All starts of all k share their passes (``kmeans_sweep``).
+    Calinski-Harabasz follows from the inertia and the total spread, so it
+    costs no pass."""
     n, spread = _total_spread(features)
-    rows = []
-    for k in range(k_range[0], k_range[1] + 1):
-        for run in range(n_init_strategies):
-            m = kmeans_best_of(features, k, seed=run * n_init, n_init=n_init, max_iter=max_iter)
-            inertia = float(m.summary.trainingCost)
-            ch = (spread - inertia) / (k - 1) / (inertia / (n - k)) if n > k and inertia > 0 else None
-            rows.append((k, run, float(ev.evaluate(m.transform(features))), ch, inertia))
-    return best_runs(spark.createDataFrame(rows, "k int, run int, silhouette double, calinski_harabasz double, inertia double"))
+    runs = kmeans_sweep(spark, features, key, range(k_range[0], k_range[1] + 1), n_init_strategies, n_init, seed, max_iter)
+    ch = (F.lit(spread) - F.col("inertia")) / (F.col("k") - 1) / (F.col("inertia") / (F.lit(n) - F.col("k")))
+    ch = F.when((F.lit(n) > F.col("k")) & (F.col("inertia") > 0) & (F.col("k") > 1), ch)
+    return best_runs(runs.withColumn("calinski_harabasz", ch))
 
 
 def best_runs(runs: DataFrame) -> DataFrame:

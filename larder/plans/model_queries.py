@@ -15,6 +15,7 @@ from larder.operators.clean import dashboard_catalogue, valid_nova
 from larder.operators.pairs import ingredient_sequences
 from larder.operators.scoring import score_catalogue
 from larder.operators.category_pairs import category_pairs
+from larder.operators.kmeans_sweep import kmeans_sweep
 from larder.operators.mixtures import KINDS, kmeans_starts, mixture_sweep, sweep_table
 from larder.plans.registry import register, rounded
 from larder.plans.sqlkit import with_catalogue, with_dash
@@ -106,19 +107,15 @@ def q_label_nova_crosstab(spark, sf_dir):
 
 @register("kmeans_elbow")
 def q_kmeans_elbow(spark, sf_dir):
-    """Training cost for k = 2..11."""
-    feats = _bigram_features(spark, sf_dir)
-    rows = [(k, float(M.KMeans(k=k, seed=42, featuresCol="features").fit(feats).summary.trainingCost))
-            for k in range(2, 12)]
-    return spark.createDataFrame(rows, "k int, inertia double")
+    """Inertia of the best of ten starts for k = 2..11."""
+    return kmeans_sweep(spark, _bigram_features(spark, sf_dir), "code", range(2, 12)).select("k", "inertia")
 
 
 @register("kmeans_analysis")
 def q_kmeans_analysis(spark, sf_dir):
-    """K from 2 to 15, five runs each; silhouette, Calinski-Harabasz and
-    inertia of the best run, and the stability.  One k-means|| start per run
-    here; ``n_init`` of the operator is 10 by default."""
-    return M.kmeans_analysis(spark, _bigram_features(spark, sf_dir), n_init=1)
+    """K from 2 to 15, five runs of ten starts each; silhouette,
+    Calinski-Harabasz and inertia of the best run, and the stability."""
+    return M.kmeans_analysis(spark, _bigram_features(spark, sf_dir), "code")
 
 
 @register("bootstrap_stability")
@@ -289,7 +286,7 @@ def q_clustering_report(spark, sf_dir):
     label = lambda *parts: F.concat_ws(" ", *[F.concat(F.lit(f"{n}="), F.col(n).cast("string")) for n in parts])
     grid = D.dbscan_grid(docs.select("doc_id"), w, "doc_id", GRID_EPS, GRID_MIN_SAMPLES).where("valid")
     boot = M.bootstrap_stability(spark, feats, "code", k=5).agg(F.avg("ari").alias("m"), F.stddev_pop("ari").alias("s"))
-    return (best(M.kmeans_analysis(spark, feats, n_init=1), "kmeans", label("k"), "silhouette")
+    return (best(M.kmeans_analysis(spark, feats, "code"), "kmeans", label("k"), "silhouette")
             .unionByName(best(M.bisecting_analysis(spark, feats), "bisecting", label("k"), "silhouette"))
             .unionByName(best(M.gmm_selection(spark, emb, (2, 15), ("diag",)), "mixture", label("covariance", "n_components"), "silhouette"))
             .unionByName(best(grid, "dbscan", label("eps", "min_samples"), "n_clusters"))
