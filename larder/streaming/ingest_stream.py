@@ -9,6 +9,10 @@ other batches have written; a batch that is replayed after a failure
 overwrites its own folder, so the sink is idempotent, and the streaming
 checkpoint makes the job restartable after executor or driver loss.
 ``trigger(availableNow=True)`` processes everything landed so far and stops.
+
+A reader of the log scans all of it until it is compacted.  ``keyed_state`` keeps
+the latest rows in Spark's state store instead and bounds what a reader scans;
+the registered query uses it.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql.types import StructType
 
 from larder.session import ensure_checkpoint_dir
 from larder.sources.ingest import latest_per_key
+from larder.streaming.keyed_state import Table, run_keyed_stream
 
 
 def run_upsert_stream(source: DataFrame, log: str, key: str, order_cols: Iterable[str], checkpoint: str,
@@ -56,12 +61,13 @@ def stream_latest_events(spark: SparkSession, sf_dir: str, schema: StructType |
     """Latest event per user, maintained incrementally from the ``events``
     table.  The table is landed as ``files`` files that are dealt by hash, so
     every micro-batch (one file each) holds rows older than those already
-    logged; the result equals the batch ``latest_per_key``."""
+    in the state (``keyed_state``); the result equals the batch ``latest_per_key``."""
     base = ensure_checkpoint_dir(spark)
     run = f"{base.rstrip('/')}/larder-stream-{uuid.uuid4().hex}"
     columns = ["user_id", "event_id", "ts", "event_type", "value"]
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select(*columns)
     events.repartition(files, F.xxhash64("event_id")).write.parquet(f"{run}/landed")
     source = (spark.readStream.schema(schema or events.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/landed"))
-    run_upsert_stream(source, f"{run}/log", "user_id", ["ts", "event_id"], f"{run}/checkpoint")
-    return current_table(spark, f"{run}/log", "user_id", ["ts", "event_id"])
+    table = Table(spark, f"{run}/table", "user_id", ["ts", "event_id"], events.schema)
+    run_keyed_stream(source, table, f"{run}/checkpoint")
+    return table.read()
