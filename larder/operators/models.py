@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 
 from larder.operators.cluster_metrics import adjusted_rand_index
 from larder.operators.aggregates import attach_one_row
+from larder.operators.dense_index import exact_nearest
 from larder.operators.kmeans_sweep import kmeans_sweep
+from larder.operators.positions import position_index
 from larder.operators.tfidf import english_stop_words, fit_vocabulary, term_counts, with_ngrams, word_tokens
 from larder.session import cut_lineage
 
@@ -314,26 +316,25 @@ def unit_vectors(vectors: DataFrame, word_col: str = "word") -> DataFrame:
     return vectors.withColumn("_n", norm).where("_n > 0").select(word_col, scaled.alias("unit"))
 
 
-def _nearest(units: DataFrame, targets: DataFrame, word_col: str, top_n: int) -> DataFrame:
-    """The ``top_n`` words nearest to each target (query, unit, excluded), by
-    cosine, then word.  The targets are a bounded query set: they go to every
-    row as one array, and each query keeps its best rows before the shuffle."""
-    packed = targets.agg(F.collect_list(F.struct("query", "unit", "excluded")).alias("_t"))
-    each = attach_one_row(units, packed).select(word_col, "unit", F.explode("_t").alias("t"))
-    dot = F.aggregate(F.zip_with("unit", F.col("t.unit"), lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
-    scored = each.where(~F.array_contains("t.excluded", F.col(word_col))).select(
-        F.col("t.query").alias("query"), word_col, dot.alias("similarity"))
-    w = Window.partitionBy("query").orderBy(F.desc(F.round("similarity", 9)), F.asc(word_col))
-    return scored.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= top_n)
+def _numbered(units: DataFrame, name: str) -> DataFrame:
+    """(name, unit, k): ``k`` numbers the names, which are unique, in their order, so ties by ``k`` are ties by name."""
+    return cut_lineage(position_index(units, name, "k"))
+
+
+def _side(df: DataFrame) -> DataFrame:
+    return df.select("k", F.col("unit").alias("x"))
 
 
 def similar_words(vectors: DataFrame, queries: DataFrame, top_n: int = 10, word_col: str = "word") -> DataFrame:
-    """For each word of a bounded table of queries, the nearest other
-    words by cosine similarity.  Unknown query words give no row."""
-    units = unit_vectors(vectors, word_col)
-    targets = units.join(F.broadcast(queries.select(word_col).distinct()), word_col).select(
-        F.col(word_col).alias("query"), "unit", F.array(word_col).alias("excluded"))
-    return _nearest(units, targets, word_col, top_n)
+    """For each word of a table of queries, the nearest other words by
+    cosine similarity, then word; queries meet all words in blocks of bounded
+    size.  Unknown query words give no row."""
+    words = _numbered(unit_vectors(vectors, word_col), word_col)
+    asked = words.join(queries.select(word_col).distinct(), word_col, "left_semi")
+    found = exact_nearest(_side(words), _side(asked), top_n)
+    return (found.join(asked.select(F.col("k").alias("a"), F.col(word_col).alias("query")), "a")
+            .join(words.select(F.col("k").alias("b"), word_col), "b")
+            .select("query", word_col, F.col("sim").alias("similarity"), "rank"))
 
 
 def analogies(vectors: DataFrame, queries: DataFrame, top_n: int = 10, word_col: str = "word") -> DataFrame:
@@ -341,12 +342,21 @@ def analogies(vectors: DataFrame, queries: DataFrame, top_n: int = 10, word_col:
     the mean of the signed unit vectors, without the query's own words.
     Unknown words are left out of the mean."""
     units = unit_vectors(vectors, word_col)
-    signed = units.join(F.broadcast(queries), word_col).select(
+    signed = units.join(queries, word_col).select(
         "query", word_col, F.posexplode(F.transform("unit", lambda x: x * F.col("sign"))).alias("i", "x"))
     mean = signed.groupBy("query", "i").agg(F.avg("x").alias("x"))
-    own = queries.groupBy("query").agg(F.collect_set(word_col).alias("excluded"))
     vector = mean.groupBy("query").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("vector"))
-    return _nearest(units, unit_vectors(vector, "query").join(own, "query"), word_col, top_n)
+    words = _numbered(units, word_col)
+    # Queries are numbered below 0, apart from the words.
+    asked = _numbered(unit_vectors(vector, "query"), "query").withColumn("k", -1 - F.col("k"))
+    own = queries.select("query", word_col).distinct()
+    most = own.groupBy("query").count().agg(F.max("count")).first()[0] or 0
+    found = exact_nearest(_side(words), _side(asked), top_n + most)
+    named = (found.join(asked.select(F.col("k").alias("a"), "query"), "a").join(words.select(F.col("k").alias("b"), word_col), "b")
+             .join(own, ["query", word_col], "left_anti"))
+    w = Window.partitionBy("query").orderBy(F.desc(F.round("sim", 9)), F.asc(word_col))
+    return (named.select("query", word_col, F.col("sim").alias("similarity"), F.row_number().over(w).cast("long").alias("rank"))
+            .where(F.col("rank") <= top_n))
 
 
 def save_model(model, path: str) -> None:

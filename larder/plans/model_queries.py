@@ -13,6 +13,7 @@ from larder.operators import models as M
 from larder.operators.aggregates import crosstab
 from larder.operators.clean import dashboard_catalogue, valid_nova
 from larder.operators.pairs import ingredient_sequences
+from larder.operators.positions import position_index
 from larder.operators.scoring import score_catalogue
 from larder.operators.category_pairs import category_pairs
 from larder.operators.kmeans_sweep import kmeans_sweep
@@ -172,7 +173,6 @@ def q_ingredient_vectors(spark, sf_dir):
 _UNIT = """u as (select vec_id as word, list_transform(embedding, lambda x: cast(x as double) /
   sqrt(list_sum(list_transform(embedding, lambda y: cast(y as double) * cast(y as double))))) as unit
   from embeddings where list_sum(list_transform(embedding, lambda y: cast(y as double) * cast(y as double))) > 0)"""
-_CHOSEN = "order by md5(concat('{salt}|', cast(vec_id as varchar))) limit {n}"
 
 
 def _vectors(spark, sf_dir):
@@ -180,11 +180,6 @@ def _vectors(spark, sf_dir):
         F.col("vec_id").alias("word"), F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
 
 
-def _chosen(vectors, salt, n):
-    """A stated query set: ``n`` words by hash."""
-    return vectors.select("word").orderBy(F.md5(F.concat(F.lit(f"{salt}|"), F.col("word").cast("string")))).limit(n)
-
-
 @register("embedding_lookup", """
 select q.word, round(list_sum(coalesce(list_transform(e.embedding, lambda x: cast(x as double)), [0.0])), 6) as total,
        e.vec_id is null as unknown
@@ -202,21 +197,20 @@ def q_embedding_lookup(spark, sf_dir):
 
 @register("similar_words", f"""
 with {_UNIT},
-q as (select word, unit from u where word in (select vec_id from embeddings {_CHOSEN.format(salt=4, n=10)})),
+q as (select word, unit from u where word % 50 = 0),
 s as (select q.word as query, u.word, list_sum(list_transform(list_zip(q.unit, u.unit), lambda p: p[1] * p[2])) as similarity
       from q join u on u.word <> q.word),
 r as (select *, row_number() over (partition by query order by round(similarity, 9) desc, word) as rank from s)
 select query, word, round(similarity, 6) as similarity, rank from r where rank <= 10""")
 def q_similar_words(spark, sf_dir):
-    """The ten nearest of all words for each of ten query words."""
+    """The ten nearest of all words for each id divisible by 50."""
     v = _vectors(spark, sf_dir)
-    return rounded(M.similar_words(v, _chosen(v, 4, 10), 10), ["similarity"], 6)
+    return rounded(M.similar_words(v, v.where("word % 50 = 0"), 10), ["similarity"], 6)
 
 
 @register("word_analogies", f"""
 with {_UNIT},
-c as (select vec_id as word, row_number() over (order by md5(concat('5|', cast(vec_id as varchar)))) - 1 as n from embeddings {_CHOSEN.format(salt=5, n=12)}),
-q as (select n // 3 as query, word, case when n % 3 = 2 then -1 else 1 end as sign from c),
+q as (select vec_id as query, vec_id + unnest([0, 1, 2]) as word, unnest([1, 1, -1]) as sign from embeddings where vec_id % 50 = 0),
 m as (select query, i, avg(q.sign * u.unit[i]) as x from q join u using (word), unnest(range(1, 65)) t(i) group by all),
 t as (select query, list(x order by i) as v, sqrt(sum(x * x)) as n from m group by query),
 s as (select t.query, u.word, list_sum(list_transform(list_zip(t.v, u.unit), lambda p: p[1] * p[2])) / t.n as similarity
@@ -224,21 +218,20 @@ s as (select t.query, u.word, list_sum(list_transform(list_zip(t.v, u.unit), lam
 r as (select *, row_number() over (partition by query order by round(similarity, 9) desc, word) as rank from s)
 select query, word, round(similarity, 6) as similarity, rank from r where rank <= 10""")
 def q_word_analogies(spark, sf_dir):
-    """E5: two words less a third, for four such queries."""
+    """E5: a word with an id divisible by 50 and the next less the one after, against all words."""
     v = _vectors(spark, sf_dir)
-    from pyspark.sql import Window
-    n = F.row_number().over(Window.orderBy(F.md5(F.concat(F.lit("5|"), F.col("word").cast("string"))))) - 1  # twelve rows
-    queries = _chosen(v, 5, 12).withColumn("n", n).select(
-        F.floor(F.col("n") / 3).alias("query"), "word", F.when(F.col("n") % 3 == 2, -1).otherwise(1).alias("sign"))
+    part = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(sign).alias("sign")) for n, sign in ((0, 1), (1, 1), (2, -1))]))
+    queries = v.where("word % 50 = 0").select(F.col("word").alias("query"), part.alias("p")).select(
+        "query", (F.col("query") + F.col("p.n")).alias("word"), "p.sign")
     return rounded(M.analogies(v, queries, 10), ["similarity"], 6)
 
 
 @register("similar_ingredients")
 def q_similar_ingredients(spark, sf_dir):
-    """E4 on learnt vectors: nearest ingredients of a few query words."""
+    """E4 on learnt vectors: nearest ingredients of every fiftieth word in their order."""
     model = _w2v(spark, sf_dir)
     vectors = model.getVectors().select("word", vector_to_array("vector").alias("vector"))
-    return M.similar_words(vectors, vectors.select("word").orderBy("word").limit(5), 10)
+    return M.similar_words(vectors, position_index(vectors.select("word"), "word").where("pos % 50 = 0"), 10)
 
 
 @register("bisecting_analysis")
