@@ -9,6 +9,8 @@ that removes repetitions and no pair held in memory.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ from larder.session import cut_lineage
 
 #: Rounds of the permutation, and numbers that one row stands for until they are dealt out.
 ROUNDS, CHUNK = 3, 4_096
+#: Pairs that one task draws and places.
+PAIRS_PER_TASK = 500_000
 
 
 def _permuted(seed: int) -> Column:
@@ -51,8 +55,12 @@ def category_pairs(products: DataFrame, per_member: int | None = 10, max_pairs:
     cats = cats.where(n > 1).select(
         "off", "cat_idx", F.least(every, *wanted).alias("m") if wanted else every.alias("m"),
         F.when(even, n / 2).otherwise(n).cast("long").alias("A"), F.when(even, n - 1).otherwise((n - 1) / 2).cast("long").alias("B"))
-    chunks = cats.where("m > 0").withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1, F.lit(CHUNK).cast("long"))))
-    chunks = chunks.repartition("cat_idx", "from")
+    cats = cut_lineage(cats.where("m > 0"))  # one row per category
+    drawn = cats.agg(F.sum("m")).first()[0] or 0
+    # A chunk is a small row that stands for many, so the number of tasks is told, not left to the rows' size.
+    tasks = max(1, math.ceil(drawn / PAIRS_PER_TASK))
+    chunks = cats.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1, F.lit(CHUNK).cast("long"))))
+    chunks = chunks.repartition(tasks, "cat_idx", "from")
     p = chunks.withColumn("pair", F.explode(F.sequence("from", F.least(F.col("m"), F.col("from") + CHUNK) - 1)))
     p = p.withColumn("place", _permuted(seed))
     # Row i of the triangle holds the pairs (j, i) with j < i; the root is rounded, so it is put right.

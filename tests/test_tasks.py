@@ -1,5 +1,6 @@
 """How work is dealt over tasks where tables are large for their bytes."""
 
+from larder.operators import category_pairs as P
 from larder.sources.tables import PRODUCTS_PER_TASK, catalogue
 
 
@@ -12,3 +13,13 @@ def test_products_of_a_small_file_are_spread(spark, tmp_path):
     held = products.selectExpr("spark_partition_id() as task", "code").groupBy("task").agg({"code": "count"}).collect()
     assert len(held) >= 4 and sum(r[1] for r in held) == n and max(r[1] for r in held) < 2 * PRODUCTS_PER_TASK
     assert products.select("code").distinct().count() == n
+
+
+def test_pairs_are_drawn_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(P, "PAIRS_PER_TASK", 100)
+    monkeypatch.setattr(P, "CHUNK", 20)
+    df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(120)], "code int, category_searched string")
+    pairs = P.category_pairs(df)
+    # A count that is told is kept; one left to the rows' bytes would be merged into one task.
+    assert "REPARTITION_BY_NUM" in pairs._jdf.queryExecution().toString()
+    assert pairs.select("product1", "product2").distinct().count() == 1200
