@@ -23,3 +23,16 @@ def test_pairs_are_drawn_in_many_tasks(spark, monkeypatch):
     # A count that is told is kept; one left to the rows' bytes would be merged into one task.
     assert "REPARTITION_BY_NUM" in pairs._jdf.queryExecution().toString()
     assert pairs.select("product1", "product2").distinct().count() == 1200
+
+
+def test_box_stats_count_outliers_where_rows_lie(spark):
+    from larder.operators.aggregates import box_stats
+    df = spark.createDataFrame([("ab"[i % 2], float(i % 40)) for i in range(200)] + [("a", 1e6)], "g string, v double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = box_stats(df, "g", "v", exact=False)
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        assert {r["g"]: r["n_outliers"] for r in out.collect()} == {"a": 1, "b": 0}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
