@@ -71,22 +71,32 @@ def relevance(products: DataFrame, scenarios: DataFrame, key: str = "code", name
     group whose name does not occur in the scenario's category get 2 (W8, J6).
     Product order is the key; NULL-named products are not relevance items."""
     sc = F.broadcast(scenarios.select("scenario_id", "test_product", "test_category", "test_nova"))
-    named = products.where(F.col(name_col).isNotNull()).select(key, name_col, category_col, nova_col)
-    same = (named.join(sc, named[category_col] == sc["test_category"])
-            .where(~(sc["test_product"].isNotNull() & (F.col(name_col) == sc["test_product"]))))
+    # A product meets no scenario before it is among the first of its kind.
+    # Scenarios leave out their own names, so each of those (``_own_name``, null
+    # for all other products) is a kind by itself: a kind is taken or left whole.
+    own_names = F.broadcast(scenarios.select(F.col("test_product").alias(name_col)).where(F.col(name_col).isNotNull()).distinct()
+                            .withColumn("_own_name", F.col(name_col)))
+    named = (products.where(F.col(name_col).isNotNull()).select(key, name_col, category_col, nova_col)
+             .join(own_names, name_col, "left"))
+    cats = F.broadcast(scenarios.select(F.col("test_category").alias(category_col)).distinct())
+    same = _first_k(named.join(cats, category_col, "left_semi"), [category_col, "_own_name"], [F.col(key)],
+                    fixed.SAME_CATEGORY_LIMIT).drop("_r")
+    same = (same.join(sc, F.col(category_col) == F.col("test_category"))
+            .where(~(F.col("test_product").isNotNull() & (F.col(name_col) == F.col("test_product")))))
     same = _first_k(same, ["scenario_id"], [F.col(key)], fixed.SAME_CATEGORY_LIMIT) \
         .select("scenario_id", F.col(name_col).alias("item")).distinct() \
         .withColumn("rel", F.lit(fixed.RELEVANCE_SAME_CATEGORY))
     # The names that occur in a scenario's category are left out (J6).  The
     # categories of each name, out of those few that scenarios have, are
-    # collected once; a (category, NOVA) combination is then cut to its first
-    # items before it meets the scenarios that share it.
-    cats = F.broadcast(scenarios.select(F.col("test_category").alias(category_col)).distinct())
+    # collected once; a kind here has one NOVA group and one set of categories.
     held = (named.join(cats, category_col, "left_semi").groupBy(name_col)
-            .agg(F.collect_set(category_col).alias("_held")))
+            .agg(F.sort_array(F.collect_set(category_col)).alias("_held")))
     combos = F.broadcast(sc.select("test_category", "test_nova", F.when(F.col("test_category").isNull(), F.col("test_product"))
                                    .alias("_own")).distinct())
-    sim = named.join(held, name_col, "left").join(combos, named[nova_col] == combos["test_nova"])
+    novas = F.broadcast(scenarios.select(F.col("test_nova").alias(nova_col)).distinct())
+    sim = named.join(novas, nova_col, "left_semi").join(size_checked_broadcast(held), name_col, "left")
+    sim = _first_k(sim, [nova_col, "_held", "_own_name"], [F.col(key)], fixed.SIMILAR_NOVA_LIMIT).drop("_r")
+    sim = sim.join(combos, F.col(nova_col) == F.col("test_nova"))
     outside = ~F.coalesce(F.array_contains("_held", F.col("test_category")), F.lit(False))
     sim = sim.where(outside & ~F.coalesce(F.col(name_col) == F.col("_own"), F.lit(False)))
     # A scenario's own name occurs in its category (or is the combination's ``_own``), so it is out already.
@@ -108,6 +118,8 @@ def metrics_per_scenario(recs: DataFrame, rel: DataFrame, scenarios: DataFrame,
     category)`` gives the category of the first product with each name.
     A scenario without recommendations scores precision/recall/NDCG 0 and
     diversity 1.0; recall and NDCG are 0 without relevant items."""
+    # Only the recommended items are looked up, not every name of the catalogue.
+    item_category = item_category.join(F.broadcast(recs.select("item").distinct()), "item", "left_semi")
     ks = F.broadcast(scenarios.select("scenario_id", F.explode(F.array(*[F.lit(int(k)) for k in k_values])).alias("k")))
     topk = recs.join(ks, "scenario_id").where(F.col("rank") <= F.col("k"))
     topk = topk.join(rel, ["scenario_id", "item"], "left").join(item_category, "item", "left")

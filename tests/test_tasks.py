@@ -36,3 +36,22 @@ def test_box_stats_count_outliers_where_rows_lie(spark):
         assert {r["g"]: r["n_outliers"] for r in out.collect()} == {"a": 1, "b": 0}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_relevance_cuts_products_before_they_meet_scenarios(spark):
+    from larder.operators import ranking as R
+    rows = [(i, f"n{i % 7}" if i % 3 else f"u{i}", "ABC"[i % 5 % 3] if i % 11 else None, str(i % 4 + 1)) for i in range(600)]
+    prod = spark.createDataFrame(rows, "code int, product_name string, category_searched string, nova_group string")
+    scen = [(s, f"n{s % 7}" if s % 4 else None, "ABC"[s % 3] if s % 5 else None, str(s % 4 + 1)) for s in range(40)]
+    sc = spark.createDataFrame(scen, "scenario_id long, test_product string, test_category string, test_nova string")
+    rel = R.relevance(prod, sc)
+    want = set()
+    for s, name, cat, nova in scen:
+        held = {r[1] for r in rows if cat is not None and r[2] == cat}
+        same = [r[1] for r in rows if cat is not None and r[2] == cat and r[1] != name][:10]
+        other = [r[1] for r in rows if r[3] == nova and r[1] != name and r[1] not in held][:15]
+        want |= {(s, i, 3) for i in same} | {(s, i, 2) for i in other}
+    got = [tuple(r) for r in rel.select("scenario_id", "item", "rel").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    # Both lists are cut once before and once after they meet the scenarios.
+    assert rel._jdf.queryExecution().optimizedPlan().toString().count("WindowGroupLimit") == 4
