@@ -174,9 +174,13 @@ def pair_similarity(weights: DataFrame, pairs: DataFrame, key: str) -> DataFrame
     rows: each pair joins the terms of its first item, then the matching
     terms of its second.  Cost is bounded by pairs x terms per item; pairs
     sharing no term are absent (similarity 0)."""
+    p = size_checked_broadcast(pairs.select("ka", "kb").distinct())
+    # The rows of the listed items, stored, so that the planner knows their size
+    # and never takes the whole matrix for a table to broadcast.
+    listed = size_checked_broadcast(p.select(F.explode(F.array("ka", "kb")).alias(key)).distinct())
+    weights = cut_lineage(weights.join(listed, key, "left_semi"))
     a = weights.select(F.col(key).alias("ka"), "term", F.col("weight").alias("wa"))
     b = weights.select(F.col(key).alias("kb"), "term", F.col("weight").alias("wb"))
-    p = pairs.select("ka", "kb").distinct()
     return (p.join(a, "ka").join(b, ["kb", "term"])
             .groupBy("ka", "kb").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")))
 
@@ -187,7 +191,8 @@ def similarity_diversity(recs: DataFrame, item_key: DataFrame, weights: DataFram
     similarity is below ``threshold``; items are looked up by name
     (``item_key(item, key)``), pairs with an unknown item are skipped,
     pairs without shared terms have similarity 0; no pairs -> 0.0."""
-    r = recs.join(item_key, "item")
+    items = F.broadcast(recs.select("item").distinct())  # at most the recommendations
+    r = cut_lineage(recs.join(item_key.join(items, "item", "left_semi"), "item"))
     a = r.select("scenario_id", F.col("rank").alias("ra"), F.col(key).alias("ka"))
     b = r.select("scenario_id", F.col("rank").alias("rb"), F.col(key).alias("kb"))
     pairs = a.join(b, "scenario_id").where(F.col("ra") < F.col("rb"))

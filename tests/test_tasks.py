@@ -55,3 +55,14 @@ def test_relevance_cuts_products_before_they_meet_scenarios(spark):
     assert len(got) == len(set(got)) and set(got) == want
     # Both lists are cut once before and once after they meet the scenarios.
     assert rel._jdf.queryExecution().optimizedPlan().toString().count("WindowGroupLimit") == 4
+
+
+def test_diversity_keeps_the_listed_rows_only(spark, monkeypatch):
+    from larder.operators import ranking as R
+    kept, cut = [], R.cut_lineage
+    monkeypatch.setattr(R, "cut_lineage", lambda df: kept.append(df.count()) or cut(df))
+    weights = spark.createDataFrame([(i, t, 0.70710678) for i in range(300) for t in ("x", f"t{i // 2}")], "code int, term string, weight double")
+    seen = spark.createDataFrame([(0, 1), (0, 4), (0, 1)], "ka int, kb int")
+    sims = R.pair_similarity(weights, seen, "code")
+    assert sorted((r["ka"], r["kb"], round(r["sim"], 6)) for r in sims.collect()) == [(0, 1, 1.0), (0, 4, 0.5)]
+    assert kept == [6]  # two terms of each listed item; the matrix has 600 rows
