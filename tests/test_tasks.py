@@ -66,3 +66,15 @@ def test_diversity_keeps_the_listed_rows_only(spark, monkeypatch):
     sims = R.pair_similarity(weights, seen, "code")
     assert sorted((r["ka"], r["kb"], round(r["sim"], 6)) for r in sims.collect()) == [(0, 1, 1.0), (0, 4, 0.5)]
     assert kept == [6]  # two terms of each listed item; the matrix has 600 rows
+
+
+def test_terms_of_a_document_are_counted_where_its_text_lies(spark, tmp_path):
+    from larder.operators.tfidf import term_counts
+    from larder.sources.tables import documents_by_key
+    rows = [(1, "The fox and the fox"), (1, "A fox"), (2, None), (3, "Be the owl"), (None, "owl")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    counts = term_counts(documents_by_key(spark, str(tmp_path)), "doc_id", "text", stop_words=["the", "and", "be"])
+    assert {tuple(r) for r in counts.collect()} == {(1, "fox", 3), (3, "owl", 1), (None, "owl", 1)}
+    plan = counts._jdf.queryExecution()
+    assert plan.executedPlan().toString().count("hashpartitioning(doc_id") == plan.executedPlan().toString().count("hashpartitioning(")
+    assert "array_contains" not in plan.toString()  # a hash set, not a scan of the list per word
