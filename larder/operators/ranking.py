@@ -9,8 +9,11 @@ scanned, filtered and top-k'd with map-side window limits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -228,6 +231,87 @@ def evaluate(products: DataFrame, recommender: Callable[[DataFrame], DataFrame],
 MAX_FEATURES, NGRAM_RANGES, MIN_DF, MAX_DF = (50, 100, 200, 500), ((1, 1), (1, 2), (1, 3)), (1, 2, 3), (0.8, 0.9, 0.95)
 
 
+#: Products of a task of the grid, and those it weighs at once.
+_GRID_PER_TASK, _GRID_STEP = 25_000, 1_000
+
+
+def _grid_nearest(tf: DataFrame, key: str, n: int, vocabulary: list, sides: list[tuple[int, float]], max_features: Sequence[int],
+                  targets: DataFrame, top_n: int) -> DataFrame:
+    """(config, a, b, sim): in every task, per configuration and target a, the
+    ``top_n`` most similar of the task's products b (ties by key) that share a
+    term with it; the target's norm, which orders nothing, is left out.
+
+    The vocabularies of a side (min_df, max_df) are first terms of one ranking,
+    so a task weighs a product's terms once per side and takes the sums of its
+    configurations from the leading columns."""
+    spark = tf.sparkSession
+    numbers = {t: i for i, t in enumerate(sorted({v["term"] for v in vocabulary}))}
+    ranked = [sorted((v for v in vocabulary if (v["lo"], v["hi"]) == side), key=lambda v: v["_r"]) for side in sides]
+    columns = [np.array([numbers[v["term"]] for v in side], dtype=int) for side in ranked]
+    idf = [np.array([math.log((1.0 + n) / (1.0 + v["df"])) + 1.0 for v in side]) for side in ranked]
+    ids = F.broadcast(spark.createDataFrame(list(numbers.items()), "term string, t int"))
+    pairs = F.sort_array(F.collect_list(F.struct("t", F.col("tf").cast("double").alias("tf")))).alias("p")
+
+    def packed(counts):
+        return counts.groupBy(F.col(key).alias("b")).agg(pairs).select("b", F.col("p.t").alias("t"), F.col("p.tf").alias("tf"))
+
+    known = tf.where(F.col(key).isNotNull()).join(ids, "term")
+    asked = packed(known.join(targets, key, "left_semi")).orderBy("b").collect()  # the targets
+    wide = np.zeros((len(numbers), len(asked)))
+    for i, row in enumerate(asked):
+        wide[row["t"], i] = row["tf"]
+    weights = [wide[c] * f[:, None] for c, f in zip(columns, idf, strict=True)]
+    width, many = len(numbers), len(asked)
+
+    def nearest(batches):
+        held, kind = {}, None  # (config, target): similarities, keys; best first
+        for batch in batches:
+            kind = batch.schema.field("b").type
+            for lo in range(0, batch.num_rows, _GRID_STEP):
+                part = batch.slice(lo, _GRID_STEP)
+                terms, own = part.column("t"), np.asarray(part.column("own"))
+                x = np.zeros((part.num_rows, width))
+                at = np.repeat(np.arange(part.num_rows), np.asarray(terms.value_lengths()))
+                x[at, np.asarray(terms.flatten())] = np.asarray(part.column("tf").flatten())
+                for s, (cols, factor) in enumerate(zip(columns, idf, strict=True)):
+                    w = x[:, cols] * factor
+                    square = np.cumsum(w * w, axis=1)
+                    for j, most in enumerate(max_features):
+                        upto = min(most, len(cols))
+                        if not upto:
+                            continue
+                        dots = w[:, :upto] @ weights[s][:upto]
+                        sim = np.where(dots > 0, dots / np.sqrt(np.maximum(square[:, upto - 1], 1e-300))[:, None], -1.0)
+                        mine = np.flatnonzero(own >= 0)
+                        sim[mine, own[mine]] = -1.0
+                        # Rows come in key order: a later one must be better than the last one held.
+                        config = s * len(max_features) + j
+                        full = [held.get((config, a)) for a in range(many)]
+                        least = np.array([np.round(h[0][-1], 9) if h and len(h[0]) == top_n else -1.0 for h in full])
+                        better = np.round(sim, 9) > least
+                        for a in np.flatnonzero(better.any(axis=0)):
+                            rows = np.flatnonzero(better[:, a])
+                            rows = rows[np.argsort(-np.round(sim[rows, a], 9), kind="stable")[:top_n]]
+                            was = full[a] or (np.empty(0), [])
+                            value = np.concatenate([was[0], sim[rows, a]])
+                            keys = was[1] + part.column("b").take(pa.array(rows)).to_pylist()
+                            order = np.argsort(-np.round(value, 9), kind="stable")[:top_n]
+                            held[config, a] = value[order], [keys[o] for o in order]
+        out = [(c, a, k, v) for (c, a), (values, keys) in held.items() for v, k in zip(values, keys, strict=True)]
+        if out:
+            c, a, k, v = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()), pa.array(a, pa.int32()), pa.array(k, kind), pa.array(v, pa.float64())],
+                                             names=["config", "i", "b", "sim"])
+
+    kind = tf.schema[key].dataType.simpleString()
+    order = spark.createDataFrame([(i, row["b"]) for i, row in enumerate(asked)], f"own int, a {kind}")
+    dealt = packed(known.repartition(max(1, math.ceil(n / _GRID_PER_TASK)), key))
+    dealt = (dealt.join(F.broadcast(order.withColumnRenamed("a", "b")), "b", "left").select("b", "t", "tf", F.coalesce("own", F.lit(-1)).alias("own"))
+             .sortWithinPartitions("b"))
+    found = dealt.mapInArrow(nearest, f"config int, i int, b {kind}, sim double")
+    return found.join(F.broadcast(order.withColumnRenamed("own", "i")), "i").select("config", "a", "b", "sim")
+
+
 def tfidf_grid_search(products: DataFrame, scenarios: DataFrame, rel: DataFrame, max_features: Sequence[int] = MAX_FEATURES,
                       ngram_ranges: Sequence[tuple[int, int]] = NGRAM_RANGES, min_dfs: Sequence[int] = MIN_DF,
                       max_dfs: Sequence[float] = MAX_DF, n_eval: int = 20, k: int = 10, top_n: int = 20, key: str = "code",
@@ -239,7 +323,7 @@ def tfidf_grid_search(products: DataFrame, scenarios: DataFrame, rel: DataFrame,
 
     Terms are counted once per n-gram range.  A configuration only chooses
     among them, so the vocabularies of all configurations of a range are one
-    small table, and only the scenarios' terms meet the postings."""
+    small table, and the products pass once per range (``_grid_nearest``)."""
     text = F.lower(F.coalesce(F.nullif(F.col(text_col), F.lit("")), F.lit("unknown")))
     docs = cut_lineage(products.select(key, text.alias("text")))
     n = docs.count()
@@ -258,17 +342,9 @@ def tfidf_grid_search(products: DataFrame, scenarios: DataFrame, rel: DataFrame,
         each = stats.withColumn("s", sides).where((F.col("df") >= F.col("s.lo")) & (F.col("df") <= F.col("s.hi") * n))
         order = Window.partitionBy("s.lo", "s.hi").orderBy(F.desc("ctf"), F.asc("term"))
         each = each.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= max(max_features))
-        config = F.array(*[F.when((F.col("s.lo") == lo) & (F.col("s.hi") == float(hi)) & (F.col("_r") <= mf), F.lit(r * len(cells) + i))
-                           for i, (lo, hi, mf) in enumerate(cells)])
-        # Bounded: at most max_features terms per configuration.
-        vocab = F.broadcast(each.select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf"),
-                                        F.explode(F.array_compact(config)).alias("config")))
-        w = tf.join(vocab, "term").select("config", key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-        norm = w.groupBy("config", F.col(key).alias("b")).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        t = size_checked_broadcast(w.join(targets, key).select("config", F.col(key).alias("a"), "term", F.col("w").alias("wa")))
-        dots = (w.withColumnRenamed(key, "b").join(t, ["config", "term"]).where(F.col("a") != F.col("b"))
-                .groupBy("config", "a", "b").agg(F.sum(F.col("w") * F.col("wa")).alias("dot")))
-        sims = dots.join(norm, ["config", "b"]).withColumn("sim", F.col("dot") / F.col("norm"))  # the target's norm orders nothing
+        vocabulary = each.select("s.lo", "s.hi", "_r", "term", "df").collect()  # bounded: at most max_features terms per side
+        sims = _grid_nearest(tf, key, n, vocabulary, [(lo, float(hi)) for lo in min_dfs for hi in max_dfs], max_features, targets, top_n)
+        sims = sims.withColumn("config", F.col("config") + r * len(cells))
         best = Window.partitionBy("config", "a").orderBy(F.desc(F.round("sim", 9)), F.asc("b"))
         sims = sims.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top_n)
         # Each scenario counts once per configuration, under a number of its own.

@@ -1,5 +1,7 @@
 """How work is dealt over tasks where tables are large for their bytes."""
 
+import numpy as np
+
 from larder.operators import category_pairs as P
 from larder.sources.tables import PRODUCTS_PER_TASK, catalogue
 
@@ -78,3 +80,27 @@ def test_terms_of_a_document_are_counted_where_its_text_lies(spark, tmp_path):
     plan = counts._jdf.queryExecution()
     assert plan.executedPlan().toString().count("hashpartitioning(doc_id") == plan.executedPlan().toString().count("hashpartitioning(")
     assert "array_contains" not in plan.toString()  # a hash set, not a scan of the list per word
+
+
+def test_grid_finds_the_nearest_of_all_tasks(spark, monkeypatch):
+    from larder.operators import ranking as R
+    monkeypatch.setattr(R, "_GRID_PER_TASK", 20)
+    monkeypatch.setattr(R, "_GRID_STEP", 7)
+    rows = [(i, t, 1 + (i * j) % 3) for i in range(90) for j, t in enumerate("abcdefgh") if (i + j) % 3]
+    tf = spark.createDataFrame([*rows, (None, "a", 1)], "code int, term string, tf long")
+    df = {t: sum(r[1] == t for r in rows) for t in "abcdefgh"}
+    ranking = [{"lo": lo, "hi": 1.0, "_r": i + 1, "term": t, "df": df[t]} for lo in (1, 2) for i, t in enumerate("hgfedcba"[lo - 1:])]
+    targets = spark.createDataFrame([(3,), (50,)], "code int")
+    found = R._grid_nearest(tf, "code", 90, ranking, [(1, 1.0), (2, 1.0)], [2, 5], targets, 4)
+    got = {}
+    for r in found.collect():
+        got.setdefault((r["config"], r["a"]), []).append((-round(r["sim"], 9), r["b"]))
+    counts = {}
+    for k, t, n in rows:
+        counts.setdefault(k, {})[t] = n
+    for config in range(4):
+        terms = "hgfedcba"[config // 2:][:(2, 5)[config % 2]]
+        w = {k: np.array([c.get(t, 0) * (np.log(91 / (1 + df[t])) + 1) for t in terms]) for k, c in counts.items()}
+        for a in (3, 50):
+            sims = sorted((-round(float(v @ w[a] / np.sqrt(v @ v)), 9), k) for k, v in w.items() if k != a and v @ w[a] > 0)
+            assert [(round(s, 6), k) for s, k in sorted(got.get((config, a), []))[:4]] == [(round(s, 6), k) for s, k in sims[:4]]
