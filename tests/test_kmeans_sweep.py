@@ -135,3 +135,13 @@ def test_a_pass_holds_few_distances_at_once():
             else:
                 assert c not in found
             c += 1
+
+
+def test_rows_without_a_common_term_go_to_the_first_centre(spark):
+    """Centres of length 1 but for rounding are as far as each other from such rows."""
+    rng = np.random.default_rng(3)
+    terms = rng.random((6, 5)) + 0.1
+    start = np.hstack([terms / np.sqrt((terms * terms).sum(axis=1))[:, None], np.zeros((6, 4))])
+    far = np.hstack([np.zeros((40, 5)), np.eye(4)[np.arange(40) % 4]])
+    (held, cost), = K._pass(K._dense(_features(spark, far)), [start])
+    assert held[:, 0].tolist() == [40, 0, 0, 0, 0, 0] and abs(cost - 80) < 1e-9
