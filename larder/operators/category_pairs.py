@@ -72,4 +72,5 @@ def category_pairs(products: DataFrame, per_member: int | None = 10, max_pairs:
     p = p.select("pair", (F.col("off") + F.col("u") - below(F.col("i"))).alias("p1"), (F.col("off") + F.col("i")).alias("p2"))
     a = pos.select(F.col("pos").alias("p1"), F.col(category_col).alias("category"), F.col(key).alias("product1"))
     b = pos.select(F.col("pos").alias("p2"), F.col(key).alias("product2"))
-    return p.join(a, "p1").join(b, "p2").select("category", "pair", "product1", "product2")
+    # A few chunks stand for all pairs, so adaptive execution takes the pairs for a small table and would send them through the driver.
+    return p.hint("merge").join(a, "p1").hint("merge").join(b, "p2").select("category", "pair", "product1", "product2")

@@ -104,3 +104,11 @@ def test_grid_finds_the_nearest_of_all_tasks(spark, monkeypatch):
         for a in (3, 50):
             sims = sorted((-round(float(v @ w[a] / np.sqrt(v @ v)), 9), k) for k, v in w.items() if k != a and v @ w[a] > 0)
             assert [(round(s, 6), k) for s, k in sorted(got.get((config, a), []))[:4]] == [(round(s, 6), k) for s, k in sims[:4]]
+
+
+def test_drawn_pairs_do_not_pass_the_driver(spark):
+    df = spark.range(3000).selectExpr("id as code", "'a' as category_searched")
+    pairs = P.category_pairs(df)
+    pairs.collect()  # a few chunks stand for 30,000 pairs, and the plan is made anew once they are counted
+    final = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
