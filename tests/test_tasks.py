@@ -112,3 +112,16 @@ def test_drawn_pairs_do_not_pass_the_driver(spark):
     pairs.collect()  # a few chunks stand for 30,000 pairs, and the plan is made anew once they are counted
     final = pairs._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
+
+
+def test_similar_rows_do_not_pass_the_driver(spark, monkeypatch):
+    from larder.operators import tfidf as T
+    monkeypatch.setattr(T, "size_checked_broadcast", lambda df: df, raising=False)  # as with a large vocabulary
+    docs = spark.range(300).selectExpr("id as code", "concat('w', id % 7, ' x', id % 11, ' z', id % 2) as text")
+    w, _ = T.tfidf(docs, "code", "text", with_df=True)
+    near = T.cosine_topk_of(w, docs.where("code % 50 = 0").select("code"), "code", 3)
+    assert near.count() == 18
+    for df in (w, near):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
