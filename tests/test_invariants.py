@@ -171,6 +171,22 @@ def test_dbscan_grid_equals_single_runs(spark):
         assert (r["n_clusters"], r["n_noise"], r["valid"]) == (len(clusters), noise, len(clusters) >= 2), r
 
 
+@pytest.mark.parametrize("zero_rows", [0, 2])
+def test_dbscan_grid_has_all_radii(spark, monkeypatch, zero_rows):
+    from larder.operators import sparse_cells
+    from larder.operators.dbscan import dbscan_grid
+    monkeypatch.setattr(sparse_cells, "MOST_ROWS", 25)  # three blocks, so forests of several cells meet
+    monkeypatch.setattr(sparse_cells, "HELD", 50)
+    rows, keys, w = dbscan_frame(spark, zero_rows)
+    got = dbscan_grid(keys, w, "k", [0.2, 0.5, 1.0, 1.2, 1.4, 1.5], [3, 9, 40]).collect()
+    assert len(got) == 18
+    for r in got:
+        want = brute_dbscan(rows, r["eps"], r["min_samples"])
+        clusters = {c for c, _ in want.values() if c is not None}
+        noise = sum(c is None for c, _ in want.values())
+        assert (r["n_clusters"], r["n_noise"], r["valid"]) == (len(clusters), noise, len(clusters) >= 2), r
+
+
 def test_components_of_a_chain_of_300(spark):
     import random
 
